@@ -146,6 +146,10 @@ SQL: dict[str, str] = {
     "factors": FACTORS,
     "surrogate_key": """
 SELECT row_number() OVER (ORDER BY p_partkey) AS row_id, p_partkey, p_type FROM part""",
+    "numbered_lines": """
+SELECT row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey) AS transaction_id,
+       l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey
+FROM lineitem""",
     "daily_revenue": "WITH" + DAILY + """
 SELECT date, daily_revenue, daily_units_sold, promo_rate, avg_discount_pct, transaction_count
 FROM daily""",

@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 from tillflow.schema import MONEY
 
+SUM = T.DecimalType(MONEY.precision + 10, MONEY.scale)  # the type of a sum of MONEY
+
 
 def discounted_amount(units: Column, price: Column, discount_pct: Column) -> Column:
     """units x price less a discount in whole percent, to the cent."""
@@ -20,6 +22,31 @@ def discounted_amount(units: Column, price: Column, discount_pct: Column) -> Col
     ).cast(MONEY)
 
 
+def cents(amount: Column) -> Column:
+    """An amount in whole cents."""
+    return F.round(amount * 100).cast("long")
+
+
+def from_cents(cents: Column, money: T.DecimalType = MONEY) -> Column:
+    return (cents.cast(T.DecimalType(20, 0)) * F.lit(Decimal("0.01"))).cast(money)
+
+
+def discounted_cents(units: Column, unit_cents: Column, discount_pct: Column) -> Column:
+    """The same in whole cents, half a cent rounded away from zero. Integers stay
+    in machine words, which makes long sums much cheaper than decimal ones."""
+    hundredths = units.cast("long") * unit_cents * (F.lit(100) - discount_pct)
+    half = F.when(hundredths < 0, F.lit(-50)).otherwise(F.lit(50))
+    return F.call_function("div", hundredths + half, F.lit(100).cast("long"))
+
+
+def total(df: DataFrame, name: str) -> Column:
+    """Sum of an amount over rows: of whole cents if the table has ``<name>_cents``,
+    else of the decimal column ``<name>_amount``. The same value either way."""
+    if f"{name}_cents" in df.columns:
+        return from_cents(F.sum(f"{name}_cents"), SUM)
+    return F.sum(f"{name}_amount")
+
+
 def promoted_discount(promotion_flag: Column, discount_pct: Column) -> Column:
     """The discount of a promoted line, 0 of any other."""
     return F.when(promotion_flag == 1, discount_pct).otherwise(0)

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillflow.functions import money
+
 
 def daily_rollup(tx: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """One row per date (and key). Ids that are null are not counted."""
     return tx.groupBy("date", *keys).agg(
-        F.sum("sales_amount").alias("daily_revenue"),
+        money.total(tx, "sales").alias("daily_revenue"),
         F.sum("units_sold").alias("daily_units_sold"),
         F.avg("promotion_flag").alias("promo_rate"),
         F.avg("discount_pct").alias("avg_discount_pct"),
@@ -20,7 +22,7 @@ def daily_rollup(tx: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
 def group_totals(tx: DataFrame, *by: str) -> DataFrame:
     """Revenue and units per group of transactions."""
     return tx.groupBy(*by).agg(
-        F.sum("sales_amount").alias("total_revenue"),
+        money.total(tx, "sales").alias("total_revenue"),
         F.sum("units_sold").alias("total_units_sold"),
     )
 

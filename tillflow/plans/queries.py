@@ -53,6 +53,13 @@ def surrogate_key(spark: SparkSession, folder: str) -> DataFrame:
     return number_rows(parts, "p_partkey", name="row_id")
 
 
+def numbered_lines(spark: SparkSession, folder: str) -> DataFrame:
+    lines = table(spark, folder, "lineitem").select(
+        "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"
+    )
+    return number_rows(lines, *lines.columns)
+
+
 # --- the daily series --------------------------------------------------------
 
 def daily_revenue(spark: SparkSession, folder: str) -> DataFrame:
@@ -88,8 +95,8 @@ def date_spine(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def gap_filled_daily(spark: SparkSession, folder: str) -> DataFrame:
-    daily = retail.daily_revenue(spark, folder)
-    return money_as_double(features.fill_missing_days(daily, date_spine(spark, folder)))
+    daily = stored(retail.daily_revenue(spark, folder), "daily")
+    return money_as_double(features.fill_missing_days(daily, date_spine_of(daily)))
 
 
 # --- predictions and reports -------------------------------------------------
@@ -312,7 +319,7 @@ def rf_importances(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
-        transactions, factors, surrogate_key,
+        transactions, factors, surrogate_key, numbered_lines,
         daily_revenue, calendar_features, lag_rolling, daily_features, holdout_split,
         date_spine, gap_filled_daily,
         baseline_predictions, forecast_errors, eval_metrics, overview,

@@ -26,15 +26,16 @@ def prediction_page(predictions: DataFrame, wanted: object = 1, size: int = PAGE
 def weekday_profile(predictions: DataFrame) -> DataFrame:
     """Mean actual and predicted revenue of each weekday, Monday first; days
     without rows report 0."""
-    week = predictions.sparkSession.range(1, 8).select(
+    week = predictions.sparkSession.range(1, 8, 1, 1).select(
         F.col("id").cast("int").alias("day_of_week_num")
     )
+    # At most one row per weekday, so it may be broadcast.
     means = predictions.groupBy("day_of_week_num").agg(
         F.avg("actual_revenue").alias("avg_actual"),
         F.avg("predicted_revenue").alias("avg_predicted"),
     )
     return (
-        week.join(means, "day_of_week_num", "left")
+        week.join(F.broadcast(means), "day_of_week_num", "left")
         .na.fill(0.0, subset=["avg_actual", "avg_predicted"])
         .withColumns({
             "sort_key": calendar.index_of_number(F.col("day_of_week_num")).cast("int"),

@@ -1,10 +1,8 @@
 """Transactions from the order tables.
 
-A sale line is priced through its product and placed through its store. Products
-and stores grow with the business, so these joins carry no broadcast hint: Spark
-broadcasts them while their size is below its threshold and otherwise shuffles,
-splitting keys that hold too many rows at run time. All joins are left joins on a
-unique key; no line is lost.
+A sale line is priced through its product and placed through its store. All joins
+are left joins on a unique key; no line is lost. Each roll-up joins only what it
+needs: prices for the daily series, and stores after the lines are summed.
 """
 
 from __future__ import annotations
@@ -13,53 +11,52 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.functions import calendar, money, text
+from tillflow.operators.lookups import lookup, small_side
 from tillflow.operators.totals import daily_rollup, group_totals, merge_totals
-from tillflow.schema import MONEY, TRANSACTION
+from tillflow.schema import TRANSACTION
 from tillflow.sources.files import table
 
 
 def priced_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Sale lines with category and amount, still under the numeric keys
+    """Sale lines with category and amount in cents, still under the numeric keys
     ``store_key`` and ``product_key``. Enough for any roll-up without regions."""
+    promoted = F.col("l_discount") > 0
     lines = table(spark, folder, "lineitem").select(
         F.col("l_orderkey").alias("transaction_id"),
         F.col("l_shipdate").cast("date").alias("date"),
         F.col("l_suppkey").alias("store_key"),
         F.col("l_partkey").alias("product_key"),
         F.col("l_quantity").cast("int").alias("units_sold"),
-        F.when(F.col("l_discount") > 0, 1).otherwise(0).alias("promotion_flag"),
+        F.when(promoted, 1).otherwise(0).alias("promotion_flag"),
         F.round(F.col("l_discount") * 100).cast("int").alias("_pct"),
     )
     products = table(spark, folder, "part").select(
         F.col("p_partkey").alias("product_key"),
         F.col("p_type").alias("category"),
-        F.col("p_retailprice").cast(MONEY).alias("unit_price"),
+        money.cents(F.col("p_retailprice")).alias("unit_cents"),
     )
-    return lines.join(products, "product_key", "left").withColumn(
+    return lookup(lines, products, "product_key").withColumn(
         "discount_pct", money.promoted_discount(F.col("promotion_flag"), F.col("_pct"))
     ).withColumn(
-        "sales_amount",
-        money.discounted_amount(F.col("units_sold"), F.col("unit_price"), F.col("discount_pct")),
+        "sales_cents",
+        money.discounted_cents(F.col("units_sold"), F.col("unit_cents"), F.col("discount_pct")),
     ).drop("_pct")
 
 
 def with_region(df: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
-    """Adds the region of ``store_key``."""
+    """Adds the region of ``store_key``. Nations, with their regions, are a short
+    list; stores are not."""
     stores = table(spark, folder, "supplier").select(
         F.col("s_suppkey").alias("store_key"), F.col("s_nationkey").alias("_nation")
     )
-    nations = table(spark, folder, "nation").select(
-        F.col("n_nationkey").alias("_nation"), F.col("n_regionkey").alias("_region")
-    )
     regions = table(spark, folder, "region").select(
         F.col("r_regionkey").alias("_region"), F.col("r_name").alias("region")
     )
-    return (
-        df.join(stores, "store_key", "left")
-        .join(nations, "_nation", "left")
-        .join(regions, "_region", "left")
-        .drop("_nation", "_region")
+    nations = table(spark, folder, "nation").select(
+        F.col("n_nationkey").alias("_nation"), F.col("n_regionkey").alias("_region")
     )
+    places = small_side(lookup(nations, regions, "_region").drop("_region"))
+    return lookup(lookup(df, stores, "store_key"), places, "_nation").drop("_nation")
 
 
 def transactions(spark: SparkSession, folder: str) -> DataFrame:
@@ -70,6 +67,8 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
             "day_of_week": calendar.day_name(F.col("date")),
             "store_id": text.padded_key("S", F.col("store_key"), 3),
             "product_id": text.padded_key("P", F.col("product_key"), 4),
+            "unit_price": money.from_cents(F.col("unit_cents")),
+            "sales_amount": money.from_cents(F.col("sales_cents")),
         })
         .select(*TRANSACTION.fieldNames())
     )
