@@ -256,6 +256,7 @@ SELECT event_id, ts, event_type, value FROM events ORDER BY event_id LIMIT 1000"
     "stream_totals": "WITH" + TOTALS + """
 SELECT region, category, total_revenue, total_units_sold FROM totals""",
     "stream_raw_append": "WITH" + TX + TX_COLUMNS,
+    "stream_throughput": "SELECT count(*) AS input_rows FROM lineitem",
     "live_snapshot": "WITH" + TOTALS + """
 SELECT (SELECT count(*) FROM lineitem) > 0 AS has_data,
        (SELECT count(*) FROM lineitem) AS total_transactions,

@@ -1,0 +1,72 @@
+"""All registered queries next to their SQL, and the shape of the main plans."""
+
+import pytest
+from conftest import SMALL
+from pyspark.sql import functions as F
+
+from __spark_entry__ import entry, oracle_sql, queries
+from check import compare, duck
+from tillflow.plans import retail
+
+WITHOUT_SQL = {"report_json", "rf_predictions", "rf_metrics", "rf_importances"}
+
+
+@pytest.fixture(scope="module")
+def connection():
+    return duck(SMALL)
+
+
+def test_only_known_queries_lack_sql():
+    assert set(queries()) - set(oracle_sql()) == WITHOUT_SQL
+    assert set(oracle_sql()) <= set(queries())
+
+
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
+def test_query_equals_its_sql(spark, connection, name):
+    assert compare(queries()[name](spark, SMALL), connection, oracle_sql()[name]) == ""
+
+
+def test_entry(spark):
+    df = entry(spark)
+    assert df.columns[:2] == ["date", "daily_revenue"] and df.count() == 2288
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_daily_revenue_sums_before_its_shuffle_and_reads_few_columns(spark):
+    text = plan(retail.daily_revenue(spark, SMALL))
+    assert "partial_sum(sales_cents" in text
+    assert text.count("Exchange hashpartitioning") == 1
+    assert "supplier" not in text
+    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double,l_discount:double,l_shipdate" in text
+
+
+def test_no_query_runs_python_or_a_cross_join(spark):
+    lazy = ["transactions", "factors", "daily_features", "overview", "weekday_profile", "top15_groups",
+            "json_roundtrip", "json_dead_letter"]
+    for name in lazy:
+        text = plan(queries()[name](spark, SMALL))
+        for word in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
+            assert word not in text, (name, word)
+
+
+def test_small_dimensions_are_broadcast(spark):
+    text = plan(retail.transactions(spark, SMALL))
+    assert text.count("BroadcastHashJoin") >= 3 and "SortMergeJoin" not in text
+
+
+def test_daily_revenue_adds_up_to_the_facts(spark):
+    daily = retail.daily_revenue(spark, SMALL).agg(F.sum("daily_revenue")).first()[0]
+    facts = retail.transactions(spark, SMALL).agg(F.sum("sales_amount")).first()[0]
+    assert daily == facts
+
+
+def test_results_do_not_depend_on_how_tables_are_joined(spark, connection):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("transactions", "daily_revenue", "region_category_totals"):
+            assert compare(queries()[name](spark, SMALL), connection, oracle_sql()[name]) == ""
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -1,0 +1,106 @@
+import json
+import math
+
+import pytest
+from conftest import days
+from pyspark.sql import functions as F
+
+from tillflow.operators import evaluate, model, paging
+from tillflow.plans import reports
+
+
+@pytest.fixture(scope="module")
+def predictions(make_predictions):
+    return make_predictions(*[
+        (d, 100 + 7 * (i % 11), 100 + 5 * (i % 13)) for i, d in enumerate(days("2024-01-01", 31))
+    ]).cache()
+
+
+def test_metrics_equal_the_evaluators(predictions):
+    found = evaluate.metrics(predictions).first()
+    for name in ("rmse", "mae", "r2"):
+        assert math.isclose(found[name], model.evaluator(name).evaluate(predictions), rel_tol=1e-9), name
+
+
+def test_metrics_of_one_constant_day_have_no_r2(make_predictions):
+    found = evaluate.metrics(make_predictions(("2024-01-01", 10, 12))).first()
+    assert found.r2 is None and found.rmse == 2.0 and found.mape == 20.0 and found.quality == "poor"
+
+
+def test_zero_actual_stays_in_the_mean(make_predictions):
+    found = evaluate.metrics(make_predictions(("2024-01-01", 0, 12), ("2024-01-02", 100, 110))).first()
+    assert found.mape == 5.0
+
+
+def test_ties_go_to_the_earlier_day(make_predictions):
+    rows = make_predictions(
+        ("2024-01-04", 100, 110), ("2024-01-02", 100, 110), ("2024-01-03", 100, 150), ("2024-01-01", 100, 150),
+    )
+    found = evaluate.overview(rows).first()
+    assert (str(found.best_date), str(found.worst_date)) == ("2024-01-02", "2024-01-01")
+    assert (found.best_percent_error, found.worst_percent_error) == (10.0, 50.0)
+
+
+def test_overview_of_an_empty_table(predictions):
+    found = evaluate.overview(predictions.limit(0)).first()
+    assert found.has_data is False and found.days == 0 and found.mape == 0.0 and found.best_date is None
+
+
+@pytest.mark.parametrize("wanted, number", [
+    (1, 1), ("2", 2), (2.0, 2), (2.5, 1), ("abc", 1), (None, 1), ("", 1), (0, 2), (-3, 2), (99, 2),
+])
+def test_page_numbers_are_clamped(wanted, number):
+    assert paging.locate(31, wanted).number == number
+
+
+@pytest.mark.parametrize("rows, pages", [(0, 1), (1, 1), (30, 1), (31, 2), (60, 2), (61, 3)])
+def test_page_count(spark, rows, pages):
+    assert paging.locate(rows).pages == pages
+    info = paging.page_info(spark.range(rows)).orderBy("page").collect()
+    assert [r.page for r in info] == list(range(1, pages + 1))
+    assert [r.has_previous for r in info] == [False] + [True] * (pages - 1)
+    assert [r.has_next for r in info] == [True] * (pages - 1) + [False]
+
+
+@pytest.mark.parametrize("size", [1, 7, 10, 30, 31, 40])
+def test_pages_make_up_the_table(predictions, size):
+    wanted = [r.date for r in predictions.orderBy(F.desc("date")).collect()]
+    seen = []
+    for number in range(1, paging.locate(31, 1, size).pages + 1):
+        seen += [r.date for r in paging.newest_first(predictions, number, size).collect()]
+    assert seen == wanted
+
+
+def test_page_of_an_empty_table(predictions):
+    assert paging.newest_first(predictions.limit(0), 3).count() == 0
+
+
+def test_weekdays_without_rows_report_zero(make_predictions):
+    monday = make_predictions(("2024-01-01", 10, 12), ("2024-01-08", 20, 18))
+    found = reports.weekday_profile(monday).collect()
+    assert [r.day_name for r in found] == ["Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"]
+    assert [r.day_of_week_num for r in found] == [2, 3, 4, 5, 6, 7, 1]
+    assert [r.avg_actual for r in found] == [15.0, 0, 0, 0, 0, 0, 0]
+
+
+def test_chart_document(predictions):
+    found = json.loads(reports.chart_document(predictions).first().document)
+    rows = predictions.orderBy("date").collect()
+    assert found["dates"] == [r.date.isoformat() for r in rows]
+    assert found["actual"] == [r.actual_revenue for r in rows]
+    assert found["errors"] == [round(r.predicted_revenue - r.actual_revenue, 2) for r in rows]
+    assert found["scatter"][3] == {"x": rows[3].actual_revenue, "y": rows[3].predicted_revenue}
+    assert found["dow_labels"][0] == "Mon" and len(found["dow_avg_actual"]) == 7
+    assert found["has_data"] is True
+
+
+def test_chart_document_of_an_empty_table(predictions):
+    found = json.loads(reports.chart_document(predictions.limit(0)).first().document)
+    assert found["has_data"] is False and found["dates"] == [] and found["dow_avg_actual"] == [0.0] * 7
+
+
+def test_error_series_and_bounds(predictions):
+    series = reports.error_series(predictions).collect()
+    assert [r.date for r in series] == sorted(r.date for r in series)
+    low, high = reports.scatter_bounds(predictions).first()
+    assert (low, high) == (100.0, 170.0)

@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tillflow.functions import calendar, codec, money, text
 from tillflow.functions.money import money_as_double
@@ -261,13 +262,14 @@ def _run_totals(spark: SparkSession, topic: str) -> str:
     return path
 
 
-def _run_raw(spark: SparkSession, topic: str) -> str:
+def _run_raw(spark: SparkSession, topic: str) -> tuple[str, StreamingQuery]:
     path = new_folder(spark, "live-raw")
-    live.run_to_end(live.start_raw(
+    query = live.start_raw(
         live.file_stream(spark, topic), live.raw_files(path),
         new_folder(spark, "raw-checkpoint"), _name("raw_records"),
-    ))
-    return path
+    )
+    live.run_to_end(query)
+    return path, query
 
 
 def stream_totals(spark: SparkSession, folder: str) -> DataFrame:
@@ -279,16 +281,22 @@ def stream_totals(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_raw_append(spark: SparkSession, folder: str) -> DataFrame:
-    path = _run_raw(spark, _topic(spark, folder))
+    path, _ = _run_raw(spark, _topic(spark, folder))
     rows, _ = live.read_raw(spark, path)
     return money_as_double(rows.select(*TRANSACTION.fieldNames()))
 
 
+def stream_throughput(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows the raw query took in; the rates beside them differ from run to run."""
+    _, query = _run_raw(spark, _topic(spark, folder))
+    return live.throughput(spark, query).agg(F.sum("input_rows").alias("input_rows"))
+
+
 def live_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     """Both live queries, then the live report over their tables."""
     topic = _topic(spark, folder)
-    sums, raw = _run_totals(spark, topic), _run_raw(spark, topic)
-    (sums, summed), (raw, arrived) = live.read_totals(spark, sums), live.read_raw(spark, raw)
+    sums, summed = live.read_totals(spark, _run_totals(spark, topic))
+    raw, arrived = live.read_raw(spark, _run_raw(spark, topic)[0])
     report = reports.live_snapshot(sums, raw, has_data=summed and arrived)
     return report.select(
         "has_data", "total_transactions", "total_revenue",
@@ -328,7 +336,7 @@ QUERIES: dict[str, Query] = {
         region_category_totals, top15_groups, live_totals, recent_events_20,
         json_roundtrip, json_good_rows, json_dead_letter,
         csv_roundtrip, appended_orders, bounded_scan,
-        stream_totals, stream_raw_append, live_snapshot,
+        stream_totals, stream_raw_append, stream_throughput, live_snapshot,
         rf_predictions, rf_metrics, rf_importances,
     )
 }

@@ -100,12 +100,14 @@ def _started(
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch = batch.withColumn(stamp, F.current_timestamp())
         if mode == "complete":
-            # A few rows out of the state: compute them once for test and write.
+            # A few rows out of the state, computed once for the test and the
+            # write. A batch of raw rows is not tested: that would read it twice.
             batch = batch.persist()
-        if not batch.isEmpty():
-            if show:
-                preview(batch, show)
-            sink(batch, batch_id)
+            if batch.isEmpty():
+                return
+        if show:
+            preview(batch, show)
+        sink(batch, batch_id)
         batch.unpersist()
 
     return (
