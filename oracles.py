@@ -233,10 +233,21 @@ FROM week LEFT JOIN means ON means.day_of_week_num = week.day_of_week_num""",
 SELECT date, actual_revenue, predicted_revenue, error, direction FROM errors ORDER BY date""",
     "scatter_bounds": "WITH" + PREDICTIONS + """
 SELECT min(actual_revenue) AS actual_min, max(actual_revenue) AS actual_max FROM predictions""",
+    "chart_series": "WITH" + PREDICTIONS + """
+SELECT count(*) > 0 AS has_data,
+       string_agg(strftime(date, '%Y-%m-%d'), ',' ORDER BY date) AS dates,
+       string_agg(CAST(CAST(actual_revenue AS DECIMAL(28,2)) AS VARCHAR), ',' ORDER BY date) AS actual,
+       string_agg(CAST(CAST(actual_revenue AS DECIMAL(28,2)) AS VARCHAR), ',' ORDER BY date) AS scatter_x,
+       count(predicted_revenue) AS predicted_points, count(error) AS error_points
+FROM errors""",
     "region_category_totals": "WITH" + TOTALS + """
 SELECT region, category, total_revenue, total_units_sold FROM totals""",
     "top15_groups": "WITH" + TOTALS + """
 SELECT region, category, total_revenue, total_units_sold, label FROM top""",
+    "totals_text": "WITH" + TOTALS + """
+SELECT region || ' / ' || category AS label, format('{:,.2f}', total_revenue) AS revenue,
+       format('{:,}', total_units_sold) AS units
+FROM totals""",
     "live_totals": "WITH" + TOTALS + """
 SELECT CAST(coalesce(sum(exact_revenue), 0) AS DOUBLE) AS total_revenue, count(*) AS groups,
        (SELECT count(*) FROM lineitem) AS total_transactions
@@ -253,6 +264,13 @@ SELECT event_id, message FROM messages WHERE event_type <> 'purchase'""",
     "appended_orders": "SELECT * FROM orders",
     "bounded_scan": """
 SELECT event_id, ts, event_type, value FROM events ORDER BY event_id LIMIT 1000""",
+    "published_messages": "WITH" + TX + """
+SELECT '{"transaction_id":' || transaction_id || ',"date":"' || strftime(date, '%Y-%m-%d')
+  || '","day_of_week":"' || day_of_week || '","store_id":"' || store_id || '","region":"' || region
+  || '","product_id":"' || product_id || '","category":"' || category || '","units_sold":' || units_sold
+  || ',"unit_price":' || unit_price || ',"promotion_flag":' || promotion_flag
+  || ',"discount_pct":' || discount_pct || ',"sales_amount":' || sales_amount || '}' AS message
+FROM tx""",
     "stream_totals": "WITH" + TOTALS + """
 SELECT region, category, total_revenue, total_units_sold FROM totals""",
     "stream_raw_append": "WITH" + TX + TX_COLUMNS,

@@ -47,6 +47,13 @@ def test_permissive_keeps_every_row(mixed):
     assert sorted(r.transaction_id for r in rows if r.transaction_id is not None) == [1, 2, 3000000000]
 
 
+@pytest.mark.parametrize("permissive", [True, False])
+def test_columns_of_the_message_can_be_carried(spark, permissive):
+    df = messages(spark, GOOD).selectExpr("value", "'sales' as topic", "3 as partition", "42L as offset")
+    row = codec.decode(df, permissive, ("topic", "partition", "offset")).first()
+    assert (row.topic, row.partition, row.offset, row.transaction_id) == ("sales", 3, 42, 1)
+
+
 def test_encode_writes_plain_json(make_tx):
     row = codec.encode(make_tx(dict(region=None, unit_price=Decimal("2.50")))).first()
     body = json.loads(bytes(row.value).decode())

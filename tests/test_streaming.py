@@ -6,9 +6,12 @@ from pyspark.sql import functions as F
 
 from tillflow.functions import codec
 from tillflow.operators.totals import group_totals
-from tillflow.plans.reports import live_snapshot
+from tillflow.plans.jobs import start_live
+from tillflow.plans.reports import database_snapshot, live_snapshot
 from tillflow.schema import LIVE_RAW, LIVE_TOTALS, MESSAGE, TRANSACTION
-from tillflow.sinks.files import append_rows, publish
+from tillflow.sinks.files import append_rows, publish, publish_files
+from tillflow.sources.files import read_if_exists
+from tillflow.sources.jdbc import Database
 from tillflow.streaming import live
 
 
@@ -98,10 +101,62 @@ def test_a_repeated_batch_replaces_itself(spark, make_tx, tmp_path):
 
 def test_rows_already_written_to_a_database_are_left_out(spark):
     batch = spark.createDataFrame([(0, 1, "a"), (0, 2, "b"), (1, 1, "c")], "partition int, offset long, x string")
-    left = live.missing_rows(batch, batch.where("x = 'b'"), ["partition", "offset"])
+    left = live.missing_rows(batch, batch.where("x = 'b'"), ("partition", "offset"))
     assert sorted(r.x for r in left.collect()) == ["a", "c"]
 
 
+class FolderDatabase(Database):
+    """Keeps its tables as files, to follow what the sinks ask of a database."""
+
+    def path(self, name):
+        return f"{self.url}/{name}"
+
+    def has_table(self, spark, name):
+        return read_if_exists(spark, self.path(name), LIVE_RAW)[1]
+
+    def read_table(self, spark, name):
+        return spark.read.parquet(self.path(name))
+
+    def read_query(self, spark, sql):
+        for name in ("raw", "totals"):
+            if self.has_table(spark, name):
+                self.read_table(spark, name).createOrReplaceTempView(name)
+        return spark.sql(sql)
+
+    def append(self, df, name, **more):
+        append_rows(df, self.path(name))
+
+    def replace(self, df, name, **more):
+        df.write.mode("overwrite").parquet(self.path(name))
+
+
+def test_database_tables_survive_a_repeated_batch(spark, make_tx, tmp_path):
+    database = FolderDatabase(str(tmp_path / "db"), "none")
+    before = database_snapshot(spark, database, "totals", "raw").first()
+    assert tuple(before) == (False, [], [], 0, 0.0)
+
+    topic = f"{tmp_path}/topic"
+    publish(make_tx(*rows(0, 40)), "parquet", key="transaction_id", path=topic)
+    raw, sums = start_live(
+        live.file_stream(spark, topic), live.raw_database(database, "raw", ("key",)),
+        live.totals_database(database, "totals"), f"{tmp_path}/checkpoint", carry=("key",),
+    )
+    live.run_to_end(raw, sums)
+    assert database.read_table(spark, "raw").count() == 40
+
+    # Batch 0 comes again, after a first try that was cut off half way.
+    again = database.read_table(spark, "raw").drop("batch_id").cache()
+    again.count()
+    other = FolderDatabase(str(tmp_path / "db2"), "none")
+    other.append(again.where("transaction_id < 13").withColumn("batch_id", F.lit(0).cast("long")), "raw")
+    live.raw_database(other, "raw", ("key",))(again, 0)
+    assert sorted(r.transaction_id for r in other.read_table(spark, "raw").collect()) == list(range(40))
+
+    found = database_snapshot(spark, database, "totals", "raw").first()
+    assert found.has_data and found.total_transactions == 40 and len(found.aggregates) == 4
+    assert [r.transaction_id for r in found.recent] == list(range(39, 19, -1))
+
+
 def test_unreadable_messages_stay_out_of_the_state(spark, make_tx, tmp_path):
     path = str(tmp_path)
     bad = spark.createDataFrame([(None, bytearray(b"notjson")), (None, None)], MESSAGE)
@@ -151,9 +206,13 @@ def test_both_queries_run_together(spark, make_tx, tmp_path):
 
 def test_throughput_counts_the_rows(spark, make_tx, tmp_path):
     path = str(tmp_path)
-    publish(make_tx(*rows(0, 12)).coalesce(1), "parquet", path=f"{path}/topic")
-    query = run_raw(spark, path)
-    assert live.throughput(spark, query).agg(F.sum("input_rows")).first()[0] == 12
+    for first, n in ((0, 12), (12, 5)):
+        publish_files(make_tx(*rows(first, n)).coalesce(1), f"{path}/topic")
+    query = run_raw(spark, path, maxFilesPerTrigger="1")
+    assert live.throughput(spark, query).agg(F.sum("input_rows")).first()[0] == 17
+    rates = live.batch_rates(live.read_raw(spark, f"{path}/raw")[0]).orderBy("batch_id").collect()
+    assert sorted(r.rows for r in rates) == [5, 12]
+    assert rates[0].rows_per_second is None and rates[1].rows_per_second > 0
 
 
 def test_totals_state_is_summed_before_the_shuffle(spark, make_tx, tmp_path):

@@ -34,16 +34,19 @@ def _usable(record: Column) -> Column:
     return record[BAD].isNull() & record["transaction_id"].isNotNull()
 
 
-def decode(messages: DataFrame, permissive: bool = False) -> DataFrame:
+def decode(
+    messages: DataFrame, permissive: bool = False, carry: tuple[str, ...] = ()
+) -> DataFrame:
     """Transactions of the messages. Messages that hold none are left out, or,
-    with ``permissive``, kept as rows with nulls for what could not be read."""
+    with ``permissive``, kept as rows with nulls for what could not be read.
+    ``carry`` names columns of the message, such as its offset, to keep."""
     if permissive:
-        rows = messages.select(_parsed(F.col("value")).alias("record")).select("record.*")
-        return rows.drop(BAD)
+        rows = messages.select(*carry, _parsed(F.col("value")).alias("_record"))
+        return rows.select(*carry, "_record.*").drop(BAD)
     # The test sits inside the generator: written as a filter over the parsed
     # column it would be pushed below it and every message parsed twice.
     good = F.filter(F.array(_parsed(F.col("value"))), _usable)
-    return messages.select(F.inline(good)).drop(BAD)
+    return messages.select(*carry, F.inline(good)).drop(BAD)
 
 
 def dead_letters(messages: DataFrame) -> DataFrame:

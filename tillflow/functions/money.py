@@ -40,11 +40,18 @@ def discounted_cents(units: Column, unit_cents: Column, discount_pct: Column) ->
 
 
 def total(df: DataFrame, name: str) -> Column:
-    """Sum of an amount over rows: of whole cents if the table has ``<name>_cents``,
-    else of the decimal column ``<name>_amount``. The same value either way."""
+    """Exact sum of an amount over rows, from ``<name>_cents`` if the table has it,
+    else from the decimal column ``<name>_amount``.
+
+    Either way whole cents are added, in a 64-bit buffer: several times cheaper
+    than decimal sums, and good for 90,000 million million per group. Beyond that
+    Spark's default (ANSI) mode stops with an error rather than wrap around.
+    """
     if f"{name}_cents" in df.columns:
-        return from_cents(F.sum(f"{name}_cents"), SUM)
-    return F.sum(f"{name}_amount")
+        whole = F.col(f"{name}_cents")
+    else:
+        whole = (F.col(f"{name}_amount") * 100).cast("long")
+    return from_cents(F.sum(whole), SUM)
 
 
 def promoted_discount(promotion_flag: Column, discount_pct: Column) -> Column:

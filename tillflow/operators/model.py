@@ -15,6 +15,8 @@ TREES = 100
 DEPTH = 8
 SEED = 42
 
+PARTS = 8  # partitions of the training frame; another number grows another forest
+
 
 def assembled(df: DataFrame, inputs: list[str] = FEATURES) -> DataFrame:
     return VectorAssembler(inputCols=inputs, outputCol="features").transform(df)
@@ -25,11 +27,11 @@ def fit(
     seed: int = SEED,
 ) -> RandomForestRegressionModel:
     """Train on a daily frame. The draw of rows per tree depends on how the rows
-    are partitioned, so the frame, one row per day, is put into one sorted
-    partition: the same days and seed then give the same forest."""
+    are partitioned, so each day is given a place that depends on its date alone:
+    the same days and seed then give the same forest on any cluster."""
     if train.isEmpty():
         raise ValueError("no days left to train on: the series is not longer than the holdout")
-    pinned = assembled(train, inputs).repartition(1).sortWithinPartitions("date")
+    pinned = assembled(train, inputs).repartition(PARTS, "date").sortWithinPartitions("date")
     forest = RandomForestRegressor(
         featuresCol="features", labelCol=LABEL, numTrees=trees, maxDepth=depth, seed=seed
     )

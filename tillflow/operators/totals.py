@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from tillflow.functions import money
 
+# The lengths of two report lists.
+TOP_GROUPS = 15
+RECENT_ROWS = 20
+
 
 def daily_rollup(tx: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """One row per date (and key). Ids that are null are not counted."""
@@ -35,12 +39,12 @@ def merge_totals(partial: DataFrame, *by: str) -> DataFrame:
     )
 
 
-def top_groups(totals: DataFrame, n: int = 15) -> DataFrame:
+def top_groups(totals: DataFrame, n: int = TOP_GROUPS) -> DataFrame:
     """The ``n`` groups of most revenue."""
     return totals.orderBy(F.desc("total_revenue"), "region", "category").limit(n)
 
 
-def latest(rows: DataFrame, arrived: str, key: str, n: int = 20) -> DataFrame:
+def latest(rows: DataFrame, arrived: str, key: str, n: int = RECENT_ROWS) -> DataFrame:
     """The ``n`` rows that arrived last; ``key`` decides between equal times."""
     return rows.orderBy(F.desc(arrived), F.desc(key)).limit(n)
 

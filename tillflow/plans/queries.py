@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -19,9 +19,9 @@ from tillflow.functions.money import money_as_double
 from tillflow.operators import evaluate, features, model, paging, split, totals
 from tillflow.operators.keys import surrogate_key as number_rows
 from tillflow.plans import forecast, reports, retail
-from tillflow.schema import LABEL, TRANSACTION
+from tillflow.schema import LABEL, MESSAGE, TRANSACTION
 from tillflow.session import new_folder, stored
-from tillflow.sinks.files import append_rows, publish, write_csv
+from tillflow.sinks.files import append_rows, publish_files, write_csv
 from tillflow.sources.files import bounded, date_spine_of, read_csv, table
 from tillflow.streaming import live
 
@@ -149,6 +149,21 @@ def scatter_bounds(spark: SparkSession, folder: str) -> DataFrame:
     return reports.scatter_bounds(baseline_predictions(spark, folder))
 
 
+def chart_series(spark: SparkSession, folder: str) -> DataFrame:
+    """The lists behind the charts, each as one text."""
+    lists = reports.chart_series(baseline_predictions(spark, folder))
+
+    def cents(name: str) -> Column:
+        return F.transform(name, lambda x: x.cast("decimal(28,2)").cast("string"))
+
+    return lists.select(
+        "has_data", F.concat_ws(",", "dates").alias("dates"),
+        F.concat_ws(",", cents("actual")).alias("actual"),
+        F.concat_ws(",", cents("scatter.x")).alias("scatter_x"),
+        F.size("predicted").alias("predicted_points"), F.size("errors").alias("error_points"),
+    )
+
+
 def report_json(spark: SparkSession, folder: str) -> DataFrame:
     predictions = stored(baseline_predictions(spark, folder), "predictions")
     return reports.chart_document(predictions)
@@ -166,6 +181,15 @@ def top15_groups(spark: SparkSession, folder: str) -> DataFrame:
     return money_as_double(top.withColumn("label", label))
 
 
+def totals_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The totals as a report prints them."""
+    return retail.region_category_totals(spark, folder).select(
+        text.group_label(F.col("region"), F.col("category")).alias("label"),
+        text.figure(F.col("total_revenue"), 2).alias("revenue"),
+        text.figure(F.col("total_units_sold"), 0).alias("units"),
+    )
+
+
 def live_totals(spark: SparkSession, folder: str) -> DataFrame:
     revenue = totals.live_totals(retail.region_category_totals(spark, folder))
     lines = table(spark, folder, "lineitem").agg(F.count("*")).scalar()
@@ -245,7 +269,7 @@ def bounded_scan(spark: SparkSession, folder: str) -> DataFrame:
 def _topic(spark: SparkSession, folder: str) -> str:
     """The transactions, published as messages to files."""
     path = new_folder(spark, "topic")
-    publish(retail.transactions(spark, folder), "parquet", path=path)
+    publish_files(retail.transactions(spark, folder), path)
     return path
 
 
@@ -253,27 +277,36 @@ def _name(query: str) -> str:
     return f"{query}_{uuid.uuid4().hex[:8]}"
 
 
-def _run_totals(spark: SparkSession, topic: str) -> str:
+def _start_totals(spark: SparkSession, topic: str) -> tuple[str, StreamingQuery]:
     path = new_folder(spark, "live-totals")
-    live.run_to_end(live.start_totals(
+    return path, live.start_totals(
         live.file_stream(spark, topic), live.totals_files(path),
         new_folder(spark, "totals-checkpoint"), _name("running_totals"),
-    ))
-    return path
+    )
 
 
-def _run_raw(spark: SparkSession, topic: str) -> tuple[str, StreamingQuery]:
+def _start_raw(spark: SparkSession, topic: str) -> tuple[str, StreamingQuery]:
     path = new_folder(spark, "live-raw")
-    query = live.start_raw(
+    return path, live.start_raw(
         live.file_stream(spark, topic), live.raw_files(path),
         new_folder(spark, "raw-checkpoint"), _name("raw_records"),
     )
+
+
+def _raw_table(spark: SparkSession, folder: str) -> DataFrame:
+    path, query = _start_raw(spark, _topic(spark, folder))
     live.run_to_end(query)
-    return path, query
+    return live.read_raw(spark, path)[0]
+
+
+def published_messages(spark: SparkSession, folder: str) -> DataFrame:
+    messages = spark.read.schema(MESSAGE).parquet(_topic(spark, folder))
+    return messages.select(F.col("value").cast("string").alias("message"))
 
 
 def stream_totals(spark: SparkSession, folder: str) -> DataFrame:
-    path = _run_totals(spark, _topic(spark, folder))
+    path, query = _start_totals(spark, _topic(spark, folder))
+    live.run_to_end(query)
     rows, _ = live.read_totals(spark, path)
     return money_as_double(rows.select(
         "region", "category", "total_revenue", "total_units_sold"
@@ -281,22 +314,23 @@ def stream_totals(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_raw_append(spark: SparkSession, folder: str) -> DataFrame:
-    path, _ = _run_raw(spark, _topic(spark, folder))
-    rows, _ = live.read_raw(spark, path)
-    return money_as_double(rows.select(*TRANSACTION.fieldNames()))
+    return money_as_double(_raw_table(spark, folder).select(*TRANSACTION.fieldNames()))
 
 
 def stream_throughput(spark: SparkSession, folder: str) -> DataFrame:
     """Rows the raw query took in; the rates beside them differ from run to run."""
-    _, query = _run_raw(spark, _topic(spark, folder))
-    return live.throughput(spark, query).agg(F.sum("input_rows").alias("input_rows"))
+    rates = live.batch_rates(_raw_table(spark, folder))
+    return rates.agg(F.sum("rows").alias("input_rows"))
 
 
 def live_snapshot(spark: SparkSession, folder: str) -> DataFrame:
-    """Both live queries, then the live report over their tables."""
+    """Both live queries side by side, then the live report over their tables."""
     topic = _topic(spark, folder)
-    sums, summed = live.read_totals(spark, _run_totals(spark, topic))
-    raw, arrived = live.read_raw(spark, _run_raw(spark, topic)[0])
+    totals_path, summing = _start_totals(spark, topic)
+    raw_path, appending = _start_raw(spark, topic)
+    live.run_to_end(summing, appending)
+    sums, summed = live.read_totals(spark, totals_path)
+    raw, arrived = live.read_raw(spark, raw_path)
     report = reports.live_snapshot(sums, raw, has_data=summed and arrived)
     return report.select(
         "has_data", "total_transactions", "total_revenue",
@@ -332,11 +366,11 @@ QUERIES: dict[str, Query] = {
         date_spine, gap_filled_daily,
         baseline_predictions, forecast_errors, eval_metrics, overview,
         predictions_page_1, predictions_page_last, page_info,
-        weekday_profile, error_series, scatter_bounds, report_json,
-        region_category_totals, top15_groups, live_totals, recent_events_20,
+        weekday_profile, error_series, scatter_bounds, chart_series, report_json,
+        region_category_totals, top15_groups, totals_text, live_totals, recent_events_20,
         json_roundtrip, json_good_rows, json_dead_letter,
         csv_roundtrip, appended_orders, bounded_scan,
-        stream_totals, stream_raw_append, stream_throughput, live_snapshot,
+        published_messages, stream_totals, stream_raw_append, stream_throughput, live_snapshot,
         rf_predictions, rf_metrics, rf_importances,
     )
 }

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.functions import calendar, text
 from tillflow.functions.money import money_as_double
 from tillflow.operators.evaluate import with_errors
 from tillflow.operators.paging import PAGE_ROWS, newest_first
-from tillflow.operators.totals import latest, top_groups
+from tillflow.operators.totals import RECENT_ROWS, latest, top_groups
+from tillflow.schema import LIVE_RAW, LIVE_TOTALS
 from tillflow.sinks.files import json_document
+from tillflow.sources.jdbc import Database
 
 RECENT_COLUMNS = [
     "transaction_id", "date", "store_id", "region", "product_id", "category",
@@ -94,8 +96,31 @@ def chart_document(predictions: DataFrame) -> DataFrame:
 
 
 def live_snapshot(totals: DataFrame, raw: DataFrame, has_data: bool = True) -> DataFrame:
+    """The live report over the tables of the two live queries."""
+    recent = latest(raw, "received_at", "transaction_id").select(*RECENT_COLUMNS)
+    return _snapshot(totals, recent, raw.agg(F.count("*")), has_data)
+
+
+def database_snapshot(
+    spark: SparkSession, database: Database, totals_table: str, raw_table: str
+) -> DataFrame:
+    """The live report over tables in a database. The raw table grows without end,
+    so its latest rows and its count are found in the database."""
+    if not (database.has_table(spark, totals_table) and database.has_table(spark, raw_table)):
+        empty = [spark.createDataFrame([], schema) for schema in (LIVE_TOTALS, LIVE_RAW)]
+        return live_snapshot(*empty, has_data=False)
+    recent = database.read_query(
+        spark,
+        f"select {', '.join(RECENT_COLUMNS)} from {raw_table}"
+        f" order by received_at desc, transaction_id desc limit {RECENT_ROWS}",
+    )
+    count = database.read_query(spark, f"select count(*) as n from {raw_table}")
+    return _snapshot(database.read_table(spark, totals_table), recent, count, True)
+
+
+def _snapshot(totals: DataFrame, recent: DataFrame, count: DataFrame, has_data: bool) -> DataFrame:
     """Top groups, latest transactions, count and revenue in one row. Both lists
-    are cut to their report length before they are collected."""
+    have been cut to their report length before they are collected."""
     groups = money_as_double(top_groups(totals).select(
         "region", "category", "total_revenue", "total_units_sold"
     )).withColumn("label", text.group_label(F.col("region"), F.col("category")))
@@ -103,7 +128,7 @@ def live_snapshot(totals: DataFrame, raw: DataFrame, has_data: bool = True) -> D
         F.negative("total_revenue").alias("order"), F.struct(*groups.columns).alias("row")
     ))).alias("found"))
 
-    rows = money_as_double(latest(raw, "received_at", "transaction_id").select(*RECENT_COLUMNS))
+    rows = money_as_double(recent)
     row_list = rows.agg(F.sort_array(F.collect_list(F.struct(
         "received_at", "transaction_id", F.struct(*rows.columns).alias("row")
     )), asc=False).alias("found"))
@@ -113,6 +138,6 @@ def live_snapshot(totals: DataFrame, raw: DataFrame, has_data: bool = True) -> D
         F.lit(has_data).alias("has_data"),
         group_list.select("found.row").scalar().alias("aggregates"),
         row_list.select("found.row").scalar().alias("recent"),
-        raw.agg(F.count("*")).scalar().alias("total_transactions"),
+        count.scalar().alias("total_transactions"),
         "total_revenue",
     )

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tillflow.functions.codec import encode
 
+MESSAGE_BLOCK = 16 * 1024 * 1024
+
 
 def write_csv(df: DataFrame, path: str, append: bool = False) -> None:
     """CSV files with one header each; replaces what is there unless ``append``."""
@@ -20,10 +22,17 @@ def append_rows(df: DataFrame, path: str) -> None:
 def publish(
     df: DataFrame, fmt: str = "kafka", key: str | None = None, **options: str
 ) -> None:
-    """One JSON message per row to a topic, or to files in the layout of one."""
+    """One JSON message per row to a topic."""
     encode(df, key).write.format(fmt).options(**options).mode("append").save()
 
 
+def publish_files(df: DataFrame, path: str, key: str | None = None) -> None:
+    """The same to files in the layout of a topic. Reading JSON is bound by the
+    processor, not the disk, so row groups are kept small: several tasks can then
+    share a file."""
+    publish(df, "parquet", key, **{"path": path, "parquet.block.size": str(MESSAGE_BLOCK)})
+
+
 def json_document(df: DataFrame, **parts: Column) -> DataFrame:
     """A one-row report as one JSON text."""
     body = F.struct(*[c.alias(n) for n, c in parts.items()]) if parts else F.struct("*")

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillflow.functions.calendar import parse_date
 from tillflow.schema import TRANSACTION
 
 
@@ -31,6 +32,16 @@ def read_csv(
     return reader.schema(schema).csv(path)
 
 
+def dated(df: DataFrame, column: str = "date") -> tuple[DataFrame, DataFrame]:
+    """The rows with a readable date, parsed, and the rows without, unchanged. A
+    null date would sort first and shift every lag of the series."""
+    date = parse_date(F.col(column))
+    return (
+        df.withColumn(column, date).where(F.col(column).isNotNull()),
+        df.where(date.isNull()),
+    )
+
+
 def bounded(df: DataFrame, n: int | None, order_by: list[Column] | None = None) -> DataFrame:
     """The first ``n`` rows, all of them for ``None``; in a given order if one is named."""
     if n is None:

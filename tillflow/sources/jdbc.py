@@ -14,6 +14,7 @@ class Database:
     url: str
     driver: str
     properties: dict[str, str] = field(default_factory=dict)
+    catalog: str = "select table_name from information_schema.tables"
 
     @classmethod
     def from_environment(cls, prefix: str = "TILLFLOW_JDBC") -> Database:
@@ -41,11 +42,9 @@ class Database:
     def read_query(self, spark: SparkSession, sql: str) -> DataFrame:
         return spark.read.format("jdbc").options(**self.options(query=sql)).load()
 
-    def has_table(self, spark: SparkSession, name: str, catalog_query: str) -> bool:
-        """Whether the database lists ``name``; ``catalog_query`` returns its table
-        names in a column ``table_name``."""
-        names = self.read_query(spark, catalog_query)
-        return not names.where(names["table_name"] == name).isEmpty()
+    def has_table(self, spark: SparkSession, name: str) -> bool:
+        """Whether the database lists ``name`` in its catalog."""
+        return not self.read_query(spark, f"{self.catalog} where table_name = '{name}'").isEmpty()
 
     def append(self, df: DataFrame, name: str, **more: str) -> None:
         self._write(df, "append", dbtable=name, **more)

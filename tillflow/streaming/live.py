@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -22,20 +23,28 @@ from tillflow.sources.jdbc import Database
 
 BATCH = "batch_id"
 SLOTS = 3
+BATCH_BYTES = 1024**4
+BATCH_MESSAGES = 1_000_000_000
+
+#: Columns that name a message of a topic.
+COORDINATES = ("topic", "partition", "offset")
 
 #: What a batch is handed to: the rows and the number of the batch.
 BatchSink = Callable[[DataFrame, int], None]
 
 
 def kafka_stream(
-    spark: SparkSession, servers: str, topic: str, starting: str = "earliest", **options: str
+    spark: SparkSession, servers: str, topic: str, starting: str = "earliest",
+    batch_messages: int = BATCH_MESSAGES, **options: str,
 ) -> DataFrame:
-    """Messages of a topic. ``maxOffsetsPerTrigger`` bounds a batch."""
+    """Messages of a topic, at most ``batch_messages`` in a batch: the first batch
+    of a new query would else hold all that the topic has kept."""
     return (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", starting)
+        .option("maxOffsetsPerTrigger", batch_messages)
         .options(**options)
         .load()
     )
@@ -43,7 +52,10 @@ def kafka_stream(
 
 def file_stream(spark: SparkSession, path: str, **options: str) -> DataFrame:
     """Messages kept as files with the columns of a topic: a table replayed as a
-    stream. ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` bounds a batch."""
+    stream. ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` bounds a batch; by
+    default a batch is large enough to keep a cluster busy and small enough to be
+    repeated when it fails."""
+    options = options or {"maxBytesPerTrigger": str(BATCH_BYTES)}
     return spark.readStream.schema(MESSAGE).options(**options).parquet(path)
 
 
@@ -72,13 +84,17 @@ def totals_files(path: str) -> BatchSink:
     return sink
 
 
-def raw_database(database: Database, table: str, keys: list[str]) -> BatchSink:
-    """Appends a batch with its number. ``keys`` name a row of the source (topic,
-    partition and offset): rows an earlier attempt has written are left out."""
+def raw_database(
+    database: Database, table: str, keys: tuple[str, ...] = COORDINATES
+) -> BatchSink:
+    """Appends a batch with its number. ``keys`` name a message and have to be
+    carried by the query: rows an earlier attempt has written are left out."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        written = database.read_table(batch.sparkSession, table).where(F.col(BATCH) == batch_id)
-        numbered = batch.withColumn(BATCH, F.lit(batch_id).cast("long"))
-        database.append(missing_rows(numbered, written, keys), table)
+        rows = batch.withColumn(BATCH, F.lit(batch_id).cast("long"))
+        if database.has_table(batch.sparkSession, table):
+            written = database.read_table(batch.sparkSession, table)
+            rows = missing_rows(rows, written.where(F.col(BATCH) == batch_id), keys)
+        database.append(rows, table)
     return sink
 
 
@@ -86,9 +102,9 @@ def totals_database(database: Database, table: str) -> BatchSink:
     return lambda batch, batch_id: database.replace(batch, table)
 
 
-def missing_rows(batch: DataFrame, written: DataFrame, keys: list[str]) -> DataFrame:
+def missing_rows(batch: DataFrame, written: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """Rows of ``batch`` that are not among those already ``written``."""
-    return batch.join(written.select(*keys), keys, "left_anti")
+    return batch.join(written.select(*keys), list(keys), "left_anti")
 
 
 # --- queries -----------------------------------------------------------------
@@ -122,12 +138,12 @@ def _started(
 
 def start_raw(
     messages: DataFrame, sink: BatchSink, checkpoint: str, name: str = "raw_records",
-    permissive: bool = False, show: int = 0, **trigger,
+    permissive: bool = False, carry: tuple[str, ...] = (), show: int = 0, **trigger,
 ) -> StreamingQuery:
     """Appends every transaction with its time of arrival. ``trigger`` is that of
     ``DataStreamWriter.trigger``; by default all there is now, then stop."""
     return _started(
-        decode(messages, permissive), "append", sink, "received_at", name, checkpoint,
+        decode(messages, permissive, carry), "append", sink, "received_at", name, checkpoint,
         trigger or {"availableNow": True}, show,
     )
 
@@ -172,8 +188,21 @@ def read_totals(spark: SparkSession, path: str) -> tuple[DataFrame, bool]:
     return slots.where(F.col(BATCH) == newest).drop("slot"), found
 
 
+def batch_rates(raw: DataFrame) -> DataFrame:
+    """Rows of each batch of the raw table, and rows per second since the batch
+    before it arrived. There is one row per batch, so the window is small."""
+    order = W.orderBy(BATCH)
+    batches = raw.groupBy(BATCH).agg(
+        F.count("*").alias("rows"), F.max("received_at").alias("received_at")
+    )
+    seconds = F.col("received_at").cast("double") - F.lag("received_at").over(order).cast("double")
+    return batches.withColumn("seconds", seconds).withColumn(
+        "rows_per_second", F.when(F.col("seconds") > 0, F.col("rows") / F.col("seconds"))
+    )
+
+
 def throughput(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Rows and rates of the batches a query has run lately."""
+    """Rows and rates of the batches a running query has reported lately."""
     rows = [
         (p["batchId"], p["numInputRows"], p["inputRowsPerSecond"], p["processedRowsPerSecond"])
         for p in query.recentProgress
