@@ -20,27 +20,30 @@ from tillflow.sources.files import table
 def priced_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Sale lines with category and amount in cents, still under the numeric keys
     ``store_key`` and ``product_key``. Enough for any roll-up without regions."""
-    promoted = F.col("l_discount") > 0
     lines = table(spark, folder, "lineitem").select(
         F.col("l_orderkey").alias("transaction_id"),
         F.col("l_shipdate").cast("date").alias("date"),
         F.col("l_suppkey").alias("store_key"),
         F.col("l_partkey").alias("product_key"),
         F.col("l_quantity").cast("int").alias("units_sold"),
-        F.when(promoted, 1).otherwise(0).alias("promotion_flag"),
-        F.round(F.col("l_discount") * 100).cast("int").alias("_pct"),
+        F.col("l_discount"),
     )
     products = table(spark, folder, "part").select(
         F.col("p_partkey").alias("product_key"),
         F.col("p_type").alias("category"),
         money.cents(F.col("p_retailprice")).alias("unit_cents"),
     )
+    # What follows from a line's own columns is derived after the join, which then
+    # has fewer columns to move if it has to shuffle.
+    percent = F.round(F.col("l_discount") * 100).cast("int")
     return lookup(lines, products, "product_key").withColumn(
-        "discount_pct", money.promoted_discount(F.col("promotion_flag"), F.col("_pct"))
+        "promotion_flag", F.when(F.col("l_discount") > 0, 1).otherwise(0)
+    ).withColumn(
+        "discount_pct", money.promoted_discount(F.col("promotion_flag"), percent)
     ).withColumn(
         "sales_cents",
         money.discounted_cents(F.col("units_sold"), F.col("unit_cents"), F.col("discount_pct")),
-    ).drop("_pct")
+    ).drop("l_discount")
 
 
 def with_region(df: DataFrame, spark: SparkSession, folder: str) -> DataFrame:

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillflow.functions.calendar import parse_date
-from tillflow.schema import TRANSACTION
+from tillflow.schema import TABLES, TRANSACTION
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    reader = spark.read.schema(TABLES[name]) if name in TABLES else spark.read
+    return reader.parquet(f"{folder}/{name}.parquet")
 
 
 def read_csv(
