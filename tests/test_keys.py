@@ -45,3 +45,32 @@ def test_only_small_sides_are_marked_for_broadcast(spark):
 
     assert marked(small_side(spark.range(10), 10))
     assert not marked(small_side(spark.range(11), 10))
+
+
+def test_a_key_with_a_third_of_the_facts_is_split(spark):
+    """Neither side is broadcast, and the hot partition is shared by several tasks."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        facts = spark.range(300_000, numPartitions=8).select(
+            F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 1000).alias("key"),
+            F.xxhash64("id").alias("x"),
+        )
+        dimension = spark.range(1000).select(F.col("id").alias("key"), (F.col("id") * 2).alias("name"))
+        found = lookup(facts, dimension, "key").where("name = 2 * key").select("key", "x", "name")
+        counts = found.collect()
+        text = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert len(counts) == 300_000
+    assert "skew=true" in text and "skewed" in text

@@ -13,8 +13,8 @@ def lookup(facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     without a match keep nulls; none is lost.
 
     There is no hint: Spark broadcasts a dimension whose files are below its
-    threshold, and otherwise sorts and merges, splitting at run time the
-    partitions in which one key holds too many facts.
+    threshold and otherwise shuffles. Sizes then seen at run time decide between
+    hashing and sorting, and split the partitions of keys with too many facts.
     """
     return facts.join(dimension, key, "left")
 

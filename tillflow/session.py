@@ -17,6 +17,9 @@ def build_session(app: str = "tillflow", master: str | None = None, **conf: str)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Dimensions too large to broadcast, whose partitions turn out to fit in
+        # memory, are hashed: the facts then need no sort.
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "128MB")
         .config("spark.ui.enabled", "false")
     )
     if master:
