@@ -41,8 +41,8 @@ HISTORY = DAILY + """,
 history AS (
   SELECT date, daily_revenue, daily_units_sold, promo_rate, avg_discount_pct,
          transaction_count,
-         dayofweek(date) + 1 AS day_of_week_num,
-         month(date) AS month_num,
+         CAST(dayofweek(date) + 1 AS INTEGER) AS day_of_week_num,
+         CAST(month(date) AS INTEGER) AS month_num,
          CASE WHEN dayofweek(date) IN (0, 6) THEN 1 ELSE 0 END AS is_weekend,
          CASE WHEN month(date) IN (11, 12) THEN 1 ELSE 0 END AS is_holiday_season,
          lag(daily_revenue) OVER (ORDER BY date NULLS FIRST) AS prev_day_revenue,
@@ -58,7 +58,7 @@ features AS (
   WHERE prev_day_revenue IS NOT NULL AND rolling_7day_avg_revenue IS NOT NULL
 ),
 indexed AS (
-  SELECT *, row_number() OVER (ORDER BY date) - 1 AS idx, count(*) OVER () AS days
+  SELECT *, CAST(row_number() OVER (ORDER BY date) - 1 AS INTEGER) AS idx, count(*) OVER () AS days
   FROM features
 )"""
 
@@ -66,7 +66,7 @@ PREDICTIONS = FEATURES + """,
 predictions AS (
   SELECT date, daily_revenue AS actual_revenue,
          rolling_7day_avg_revenue AS predicted_revenue,
-         CAST(day_of_week_num AS INTEGER) AS day_of_week_num, is_weekend, is_holiday_season
+         day_of_week_num, is_weekend, is_holiday_season
   FROM indexed WHERE idx >= days - 180
 ),
 errors AS (
@@ -154,8 +154,9 @@ FROM lineitem""",
 SELECT date, daily_revenue, daily_units_sold, promo_rate, avg_discount_pct, transaction_count
 FROM daily""",
     "calendar_features": """
-SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date, dayofweek(o_orderdate) + 1 AS day_of_week_num,
-       month(o_orderdate) AS month_num,
+SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date,
+       CAST(dayofweek(o_orderdate) + 1 AS INTEGER) AS day_of_week_num,
+       CAST(month(o_orderdate) AS INTEGER) AS month_num,
        CASE WHEN dayofweek(o_orderdate) IN (0, 6) THEN 1 ELSE 0 END AS is_weekend,
        CASE WHEN month(o_orderdate) IN (11, 12) THEN 1 ELSE 0 END AS is_holiday_season
 FROM orders""",
@@ -238,7 +239,8 @@ SELECT count(*) > 0 AS has_data,
        string_agg(strftime(date, '%Y-%m-%d'), ',' ORDER BY date) AS dates,
        string_agg(CAST(CAST(actual_revenue AS DECIMAL(28,2)) AS VARCHAR), ',' ORDER BY date) AS actual,
        string_agg(CAST(CAST(actual_revenue AS DECIMAL(28,2)) AS VARCHAR), ',' ORDER BY date) AS scatter_x,
-       count(predicted_revenue) AS predicted_points, count(error) AS error_points
+       CAST(count(predicted_revenue) AS INTEGER) AS predicted_points,
+       CAST(count(error) AS INTEGER) AS error_points
 FROM errors""",
     "region_category_totals": "WITH" + TOTALS + """
 SELECT region, category, total_revenue, total_units_sold FROM totals""",
@@ -279,7 +281,7 @@ SELECT region, category, total_revenue, total_units_sold FROM totals""",
 SELECT (SELECT count(*) FROM lineitem) > 0 AS has_data,
        (SELECT count(*) FROM lineitem) AS total_transactions,
        CAST(coalesce(sum(exact_revenue), 0) AS DOUBLE) AS total_revenue,
-       least(20, (SELECT count(*) FROM lineitem)) AS recent_rows,
+       CAST(least(20, (SELECT count(*) FROM lineitem)) AS INTEGER) AS recent_rows,
        (SELECT string_agg(label, '; ' ORDER BY exact_revenue DESC, region, category) FROM top) AS top_labels
 FROM totals""",
 }

@@ -134,6 +134,7 @@ def test_database_writes_append_or_replace_in_place():
     database.append(Frame, "raw")
     assert Frame.write.seen == {
         "format": "jdbc", "url": "jdbc:x:db", "driver": "x.Driver", "dbtable": "raw", "mode": "append", "saved": True,
+        "numPartitions": "16",
     }
     Frame.write = Recorder()
     database.replace(Frame, "totals", createTableColumnTypes="region varchar(32)")

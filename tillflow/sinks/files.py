@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tillflow.functions.codec import encode
 
-MESSAGE_BLOCK = 16 * 1024 * 1024
+MESSAGE_BLOCK = 4 * 1024 * 1024
 
 
 def write_csv(df: DataFrame, path: str, append: bool = False) -> None:

@@ -8,6 +8,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+WRITERS = 16
+
 
 @dataclass(frozen=True)
 class Database:
@@ -55,4 +57,6 @@ class Database:
         self._write(df, "overwrite", dbtable=name, truncate="true", **more)
 
     def _write(self, df: DataFrame, mode: str, **more: str) -> None:
-        df.write.format("jdbc").options(**self.options(**more)).mode(mode).save()
+        # However many executors there are, the database meets a few writers.
+        options = self.options(**{"numPartitions": str(WRITERS), **more})
+        df.write.format("jdbc").options(**options).mode(mode).save()

@@ -85,21 +85,23 @@ def totals_files(path: str) -> BatchSink:
 
 
 def raw_database(
-    database: Database, table: str, keys: tuple[str, ...] = COORDINATES
+    database: Database, table: str, keys: tuple[str, ...] = COORDINATES, **options: str
 ) -> BatchSink:
     """Appends a batch with its number. ``keys`` name a message and have to be
-    carried by the query: rows an earlier attempt has written are left out."""
+    carried by the query: rows an earlier attempt has written are left out.
+    ``options`` are those of the write, such as column types."""
     def sink(batch: DataFrame, batch_id: int) -> None:
         rows = batch.withColumn(BATCH, F.lit(batch_id).cast("long"))
         if database.has_table(batch.sparkSession, table):
             written = database.read_table(batch.sparkSession, table)
             rows = missing_rows(rows, written.where(F.col(BATCH) == batch_id), keys)
-        database.append(rows, table)
+        database.append(rows, table, **options)
     return sink
 
 
-def totals_database(database: Database, table: str) -> BatchSink:
-    return lambda batch, batch_id: database.replace(batch, table)
+def totals_database(database: Database, table: str, **options: str) -> BatchSink:
+    """Replaces the totals in a table that stays."""
+    return lambda batch, batch_id: database.replace(batch, table, **options)
 
 
 def missing_rows(batch: DataFrame, written: DataFrame, keys: tuple[str, ...]) -> DataFrame:
