@@ -75,5 +75,7 @@ def test_round_trip(make_tx):
 
 
 def test_messages_are_parsed_once(spark, mixed):
-    plan = codec.decode(mixed)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("from_json") == 1
+    for df in (codec.decode(mixed), codec.decode(mixed, permissive=True)):
+        assert df._jdf.queryExecution().executedPlan().toString().count("from_json") == 1
+    condition = codec.dead_letters(mixed)._jdf.queryExecution().optimizedPlan().toString()
+    assert condition.count("from_json") == 1

@@ -6,12 +6,17 @@ from pyspark.sql import functions as F
 
 from tillflow.functions import codec
 from tillflow.schema import LIVE_TOTALS, MESSAGE, TRANSACTION
-from tillflow.session import CHECKPOINT_DIR, new_folder, shared_root, stored
+from tillflow.session import CHECKPOINT_DIR, new_folder, shared_root, shuffle_partitions, stored
 from tillflow.sinks.files import append_rows, json_document, publish, write_csv
 from tillflow.sources.files import bounded, read_csv, read_if_exists, table
 from tillflow.sources.jdbc import Database
 
 
+def test_shuffle_partitions_grow_with_the_data():
+    assert shuffle_partitions(10**6) == 200
+    assert shuffle_partitions(100 * 2**40) == 819200
+
+
 def test_shared_folder_is_the_one_the_session_names(spark):
     assert new_folder(spark, "x").startswith(shared_root(spark))
     assert new_folder(spark, "x") != new_folder(spark, "x")

@@ -246,3 +246,15 @@ def test_snapshot_before_the_stream_has_run(spark, tmp_path):
 def test_live_tables_have_the_declared_columns():
     assert LIVE_RAW.fieldNames()[:12] == TRANSACTION.fieldNames()
     assert LIVE_TOTALS.fieldNames() == ["region", "category", "total_revenue", "total_units_sold", "updated_at", "batch_id"]
+
+
+def test_live_session_has_few_state_partitions(spark, make_tx, tmp_path):
+    path = str(tmp_path)
+    publish(make_tx(*rows(0, 16)), "parquet", path=f"{path}/topic")
+    session = live.live_session(spark, 2)
+    assert spark.conf.get("spark.sql.shuffle.partitions") != "2"
+    live.run_to_end(live.start_totals(
+        live.file_stream(session, f"{path}/topic"), live.totals_files(f"{path}/totals"), f"{path}/c", name(),
+    ))
+    assert len(list((tmp_path / "c" / "state" / "0").glob("[0-9]*"))) == 2
+    assert totals(spark, path) == expected(make_tx(*rows(0, 16)))

@@ -280,7 +280,7 @@ def _name(query: str) -> str:
 def _start_totals(spark: SparkSession, topic: str) -> tuple[str, StreamingQuery]:
     path = new_folder(spark, "live-totals")
     return path, live.start_totals(
-        live.file_stream(spark, topic), live.totals_files(path),
+        live.file_stream(live.live_session(spark), topic), live.totals_files(path),
         new_folder(spark, "totals-checkpoint"), _name("running_totals"),
     )
 
@@ -288,7 +288,7 @@ def _start_totals(spark: SparkSession, topic: str) -> tuple[str, StreamingQuery]
 def _start_raw(spark: SparkSession, topic: str) -> tuple[str, StreamingQuery]:
     path = new_folder(spark, "live-raw")
     return path, live.start_raw(
-        live.file_stream(spark, topic), live.raw_files(path),
+        live.file_stream(live.live_session(spark), topic), live.raw_files(path),
         new_folder(spark, "raw-checkpoint"), _name("raw_records"),
     )
 

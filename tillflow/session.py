@@ -8,10 +8,17 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+PARTITION_BYTES = 128 * 1024 * 1024
+LEAST_PARTITIONS = 200
 
 
-def build_session(app: str = "tillflow", master: str | None = None, **conf: str) -> SparkSession:
-    """A session in UTC with adaptive execution; ``conf`` keys use ``__`` for dots."""
+def build_session(
+    app: str = "tillflow", master: str | None = None, data_bytes: int | None = None, **conf: str
+) -> SparkSession:
+    """A session in UTC with adaptive execution; ``conf`` keys use ``__`` for dots.
+
+    ``data_bytes`` is the size of the facts and sets the partitions of a shuffle.
+    """
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.session.timeZone", "UTC")
@@ -24,11 +31,19 @@ def build_session(app: str = "tillflow", master: str | None = None, **conf: str)
     )
     if master:
         builder = builder.master(master)
+    if data_bytes:
+        builder = builder.config("spark.sql.shuffle.partitions", shuffle_partitions(data_bytes))
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
 
 
+def shuffle_partitions(data_bytes: int) -> int:
+    """A partition for every 128 MB. Adaptive execution merges partitions that turn
+    out small, but does not split evenly filled ones that are too large."""
+    return max(LEAST_PARTITIONS, -(-data_bytes // PARTITION_BYTES))
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 

@@ -23,6 +23,7 @@ from tillflow.sources.jdbc import Database
 
 BATCH = "batch_id"
 SLOTS = 3
+STATE_PARTITIONS = 8
 BATCH_BYTES = 1024**4
 BATCH_MESSAGES = 1_000_000_000
 
@@ -33,6 +34,20 @@ COORDINATES = ("topic", "partition", "offset")
 BatchSink = Callable[[DataFrame, int], None]
 
 
+def live_session(spark: SparkSession, partitions: int = STATE_PARTITIONS) -> SparkSession:
+    """A session for live queries beside that of the batch jobs.
+
+    State has as many partitions as the session's shuffles, fixed with the first
+    batch of a checkpoint. Batch jobs over many facts want many; totals of a few
+    groups, summed before the shuffle, want few.
+    """
+    session = spark.newSession()
+    zone = "spark.sql.session.timeZone"
+    session.conf.set(zone, spark.conf.get(zone))
+    session.conf.set("spark.sql.shuffle.partitions", partitions)
+    return session
+
+
 def kafka_stream(
     spark: SparkSession, servers: str, topic: str, starting: str = "earliest",
     batch_messages: int = BATCH_MESSAGES, **options: str,
