@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tillflow.operators.keys import surrogate_key
+from tillflow.operators.keys import _placed, surrogate_key
 from tillflow.operators.lookups import lookup, small_side
 
 
@@ -32,6 +32,21 @@ def test_a_key_that_is_most_of_the_rows_is_spread_by_more_columns(spark):
     assert [r.id for r in found] == list(range(20000))
 
 
+def test_copies_are_spread_over_partitions(spark):
+    copies = spark.range(20000, numPartitions=4).select(F.when(F.col("id") < 100, F.col("id")).otherwise(50).alias("v"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = [r["count"] for r in _placed(copies, ("v",), True).groupBy("_part").count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(sizes) == 4 and max(sizes) < 10000
+    found = surrogate_key(copies, "v", name="n", copies=True)
+    assert found.columns == ["n", "v"]
+    rows = found.orderBy("n").collect()
+    assert [r.n for r in rows] == list(range(1, 20001))
+    assert [r.v for r in rows] == sorted(r.v for r in rows)
+
+
 def test_lookup_keeps_facts_without_a_match(spark):
     facts = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "key int, x string")
     dimension = spark.createDataFrame([(1, "one")], "key int, name string")

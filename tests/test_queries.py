@@ -43,6 +43,19 @@ def test_daily_revenue_sums_before_its_shuffle_and_reads_few_columns(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double,l_discount:double,l_shipdate" in text
 
 
+def test_queries_read_only_the_tables_they_need(spark):
+    tables = ("lineitem", "part", "supplier", "nation", "region", "orders", "events")
+    needed = {
+        "factors": {"lineitem"}, "numbered_lines": set(), "date_spine": {"lineitem"},
+        "daily_features": {"lineitem", "part"}, "overview": {"lineitem", "part"},
+        "region_category_totals": {"lineitem", "part", "supplier", "nation", "region"},
+        "recent_events_20": {"events"}, "calendar_features": {"orders"},
+    }
+    for name, expected in needed.items():
+        text = plan(queries()[name](spark, SMALL))
+        assert {t for t in tables if f"/{t}.parquet" in text} == expected, name
+
+
 def test_no_query_runs_python_or_a_cross_join(spark):
     lazy = ["transactions", "factors", "daily_features", "overview", "weekday_profile", "top15_groups",
             "json_roundtrip", "json_dead_letter"]

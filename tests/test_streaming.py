@@ -258,3 +258,41 @@ def test_live_session_has_few_state_partitions(spark, make_tx, tmp_path):
     ))
     assert len(list((tmp_path / "c" / "state" / "0").glob("[0-9]*"))) == 2
     assert totals(spark, path) == expected(make_tx(*rows(0, 16)))
+
+
+class Breaks:
+    """A target that fails once in the middle of a batch, after part of the write."""
+
+    def __init__(self, sink, batch_id):
+        self.sink, self.batch_id = sink, batch_id
+
+    def __call__(self, batch, batch_id):
+        if batch_id == self.batch_id:
+            self.batch_id = None
+            self.sink(batch.limit(2), batch_id)
+            raise RuntimeError("lost half way")
+        self.sink(batch, batch_id)
+
+
+@pytest.mark.parametrize("broken", [0, 1, 2])
+def test_a_failed_batch_runs_again_without_doubling(spark, make_tx, tmp_path, broken):
+    path = str(tmp_path)
+    for i in range(3):
+        publish(make_tx(*rows(i * 10, 10)).coalesce(1), "parquet", path=f"{path}/topic")
+    stream = live.file_stream(spark, f"{path}/topic", maxFilesPerTrigger="1")
+    raw = Breaks(live.raw_files(f"{path}/raw"), broken)
+    sums = Breaks(live.totals_files(f"{path}/totals"), broken)
+
+    def run():
+        live.run_to_end(live.start_raw(stream, raw, f"{path}/c1", name()))
+
+    def run_sums():
+        live.run_to_end(live.start_totals(stream, sums, f"{path}/c2", name()))
+
+    for once in (run, run_sums):
+        with pytest.raises(Exception, match="lost half way"):
+            once()
+        once()
+    found = live.read_raw(spark, f"{path}/raw")[0]
+    assert sorted(r.transaction_id for r in found.collect()) == list(range(30))
+    assert totals(spark, path) == expected(make_tx(*rows(0, 30)))

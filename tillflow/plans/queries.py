@@ -37,7 +37,7 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
 def factors(spark: SparkSession, folder: str) -> DataFrame:
     """Weekday and season factors of every sale line, and its units scaled by them
     and by the least boost of a promotion (1.3)."""
-    lines = retail.priced_lines(spark, folder)
+    lines = retail.with_promotion(retail.sale_lines(spark, folder))
     boost = F.when(F.col("promotion_flag") == 1, F.lit(1.3)).otherwise(F.lit(1.0))
     return lines.select(
         "transaction_id", "date", "units_sold",
@@ -58,7 +58,7 @@ def numbered_lines(spark: SparkSession, folder: str) -> DataFrame:
     lines = table(spark, folder, "lineitem").select(
         "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"
     )
-    return number_rows(lines, *lines.columns)
+    return number_rows(lines, *lines.columns, copies=True)
 
 
 # --- the daily series --------------------------------------------------------

@@ -17,33 +17,41 @@ from tillflow.schema import TRANSACTION
 from tillflow.sources.files import table
 
 
-def priced_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Sale lines with category and amount in cents, still under the numeric keys
-    ``store_key`` and ``product_key``. Enough for any roll-up without regions."""
-    lines = table(spark, folder, "lineitem").select(
+def sale_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Sale lines as written, under the numeric keys ``store_key`` and ``product_key``."""
+    return table(spark, folder, "lineitem").select(
         F.col("l_orderkey").alias("transaction_id"),
         F.col("l_shipdate").cast("date").alias("date"),
         F.col("l_suppkey").alias("store_key"),
         F.col("l_partkey").alias("product_key"),
         F.col("l_quantity").cast("int").alias("units_sold"),
-        F.col("l_discount"),
+        F.col("l_discount").alias("discount_rate"),
     )
+
+
+def with_promotion(lines: DataFrame) -> DataFrame:
+    """Flag and whole percent of the discount in place of its rate."""
+    rate = F.col("discount_rate")
+    return lines.withColumn("promotion_flag", F.when(rate > 0, 1).otherwise(0)).withColumn(
+        "discount_pct",
+        money.promoted_discount(F.col("promotion_flag"), F.round(rate * 100).cast("int")),
+    ).drop("discount_rate")
+
+
+def priced_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Sale lines with category and amount in cents. Enough for any roll-up without
+    regions. What follows from a line's own columns is derived after the join, which
+    then has fewer columns to move if it has to shuffle."""
     products = table(spark, folder, "part").select(
         F.col("p_partkey").alias("product_key"),
         F.col("p_type").alias("category"),
         money.cents(F.col("p_retailprice")).alias("unit_cents"),
     )
-    # What follows from a line's own columns is derived after the join, which then
-    # has fewer columns to move if it has to shuffle.
-    percent = F.round(F.col("l_discount") * 100).cast("int")
-    return lookup(lines, products, "product_key").withColumn(
-        "promotion_flag", F.when(F.col("l_discount") > 0, 1).otherwise(0)
-    ).withColumn(
-        "discount_pct", money.promoted_discount(F.col("promotion_flag"), percent)
-    ).withColumn(
+    lines = lookup(sale_lines(spark, folder), products, "product_key")
+    return with_promotion(lines).withColumn(
         "sales_cents",
         money.discounted_cents(F.col("units_sold"), F.col("unit_cents"), F.col("discount_pct")),
-    ).drop("l_discount")
+    )
 
 
 def with_region(df: DataFrame, spark: SparkSession, folder: str) -> DataFrame:

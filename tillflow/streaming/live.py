@@ -136,11 +136,10 @@ def _started(
             # A few rows out of the state, computed once for the test and the
             # write. A batch of raw rows is not tested: that would read it twice.
             batch = batch.persist()
-            if batch.isEmpty():
-                return
-        if show:
-            preview(batch, show)
-        sink(batch, batch_id)
+        if mode != "complete" or not batch.isEmpty():
+            if show:
+                preview(batch, show)
+            sink(batch, batch_id)
         batch.unpersist()
 
     return (
