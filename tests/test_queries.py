@@ -76,6 +76,15 @@ def test_daily_revenue_adds_up_to_the_facts(spark):
     assert daily == facts
 
 
+def test_totals_of_few_and_of_many_stores_are_the_same(spark):
+    few = retail.region_category_totals(spark, SMALL)
+    many = retail.region_category_totals(spark, SMALL, few_stores=0)
+    assert plan(few).count("Exchange hashpartitioning") == 1
+    assert plan(many).count("Exchange hashpartitioning") == 2
+    assert few.dtypes == many.dtypes
+    assert set(few.collect()) == set(many.collect())
+
+
 def test_results_do_not_depend_on_how_tables_are_joined(spark, connection):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

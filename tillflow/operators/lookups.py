@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SMALL_ROWS = 10_000
+SMALL_ROWS = 100_000
 
 
 def lookup(facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
@@ -19,7 +19,11 @@ def lookup(facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     return facts.join(dimension, key, "left")
 
 
+def is_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> bool:
+    """Whether a table has at most ``max_rows`` rows. Counting reads no columns."""
+    return df.count() <= max_rows
+
+
 def small_side(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Marks ``df`` for broadcast if it has at most ``max_rows`` rows. The count
-    stops there; a larger table is returned without a mark."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    """Marks ``df`` for broadcast if it is small, else returns it without a mark."""
+    return F.broadcast(df) if is_small(df, max_rows) else df

@@ -34,7 +34,7 @@ def group_totals(tx: DataFrame, *by: str) -> DataFrame:
 def merge_totals(partial: DataFrame, *by: str) -> DataFrame:
     """Totals of totals: coarser groups from finer ones."""
     return partial.groupBy(*by).agg(
-        F.sum("total_revenue").alias("total_revenue"),
+        F.sum("total_revenue").cast(money.SUM).alias("total_revenue"),
         F.sum("total_units_sold").alias("total_units_sold"),
     )
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.functions import calendar, money, text
-from tillflow.operators.lookups import lookup, small_side
+from tillflow.operators.lookups import SMALL_ROWS, is_small, lookup, small_side
 from tillflow.operators.totals import daily_rollup, group_totals, merge_totals
 from tillflow.schema import TRANSACTION
 from tillflow.sources.files import table
@@ -54,26 +54,33 @@ def priced_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def with_region(df: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
-    """Adds the region of ``store_key``. Nations, with their regions, are a short
-    list; stores are not."""
-    stores = table(spark, folder, "supplier").select(
-        F.col("s_suppkey").alias("store_key"), F.col("s_nationkey").alias("_nation")
-    )
-    regions = table(spark, folder, "region").select(
-        F.col("r_regionkey").alias("_region"), F.col("r_name").alias("region")
+def stores(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "supplier").select(
+        F.col("s_suppkey").alias("store_key"), F.col("s_nationkey").alias("nation_key")
     )
+
+
+def places(spark: SparkSession, folder: str) -> DataFrame:
+    """Nations with the name of their region: a short list, checked to be one."""
     nations = table(spark, folder, "nation").select(
-        F.col("n_nationkey").alias("_nation"), F.col("n_regionkey").alias("_region")
+        F.col("n_nationkey").alias("nation_key"), F.col("n_regionkey").alias("region_key")
     )
-    places = small_side(lookup(nations, regions, "_region").drop("_region"))
-    return lookup(lookup(df, stores, "store_key"), places, "_nation").drop("_nation")
+    regions = table(spark, folder, "region").select(
+        F.col("r_regionkey").alias("region_key"), F.col("r_name").alias("region")
+    )
+    return small_side(lookup(nations, regions, "region_key").drop("region_key"))
+
+
+def with_region(df: DataFrame, stores: DataFrame, places: DataFrame) -> DataFrame:
+    """Adds the region of ``store_key``."""
+    placed = lookup(lookup(df, stores, "store_key"), places, "nation_key")
+    return placed.drop("nation_key")
 
 
 def transactions(spark: SparkSession, folder: str) -> DataFrame:
     """The full transaction table, one row per sale line."""
     return (
-        with_region(priced_lines(spark, folder), spark, folder)
+        with_region(priced_lines(spark, folder), stores(spark, folder), places(spark, folder))
         .withColumns({
             "day_of_week": calendar.day_name(F.col("date")),
             "store_id": text.padded_key("S", F.col("store_key"), 3),
@@ -89,9 +96,18 @@ def daily_revenue(spark: SparkSession, folder: str) -> DataFrame:
     return daily_rollup(priced_lines(spark, folder))
 
 
-def region_category_totals(spark: SparkSession, folder: str) -> DataFrame:
-    """Totals per region and category. Lines are summed per store and category
-    first, so what meets the store table is a few rows per store, however many
-    lines one store may hold."""
-    per_store = group_totals(priced_lines(spark, folder), "store_key", "category")
-    return merge_totals(with_region(per_store, spark, folder), "region", "category")
+def region_category_totals(
+    spark: SparkSession, folder: str, few_stores: int = SMALL_ROWS
+) -> DataFrame:
+    """Totals per region and category.
+
+    Few stores are broadcast, and each task sums its lines to the few groups at
+    once. Of many stores the lines are summed per store and category first: what
+    meets the store table is a few rows per store, however many lines one has.
+    """
+    lines, by_key = priced_lines(spark, folder), stores(spark, folder)
+    where = places(spark, folder)
+    if is_small(by_key, few_stores):
+        return group_totals(with_region(lines, F.broadcast(by_key), where), "region", "category")
+    per_store = group_totals(lines, "store_key", "category")
+    return merge_totals(with_region(per_store, by_key, where), "region", "category")
