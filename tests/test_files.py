@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tillflow.functions import codec
 from tillflow.schema import LIVE_TOTALS, MESSAGE, TRANSACTION
-from tillflow.session import CHECKPOINT_DIR, new_folder, shared_root, shuffle_partitions, stored
+from tillflow.session import CHECKPOINT_DIR, emptied, new_folder, shared_root, shuffle_partitions, stored
 from tillflow.sinks.files import append_rows, json_document, publish, write_csv
 from tillflow.sources.files import bounded, read_csv, read_if_exists, table
 from tillflow.sources.jdbc import Database
@@ -32,6 +32,14 @@ def test_stored_is_written_once_and_cuts_the_lineage(spark):
     assert "Range" not in plan and "FileScan parquet" in plan
 
 
+def test_emptied_frees_the_files(spark, tmp_path):
+    path = tmp_path / "t"
+    spark.range(10000, numPartitions=3).write.parquet(str(path))
+    emptied(spark, str(path))
+    assert spark.read.parquet(str(path)).count() == 0
+    assert len(list(path.glob("*.parquet"))) == 1
+
+
 def test_csv_round_trip(spark, make_tx, tmp_path):
     tx = make_tx(dict(transaction_id=1), dict(transaction_id=2, unit_price=Decimal("12.34"), date=dt.date(2022, 5, 6)))
     write_csv(tx, str(tmp_path / "c"))

@@ -20,7 +20,7 @@ from tillflow.operators import evaluate, features, model, paging, split, totals
 from tillflow.operators.keys import surrogate_key as number_rows
 from tillflow.plans import forecast, reports, retail
 from tillflow.schema import LABEL, MESSAGE, TRANSACTION
-from tillflow.session import new_folder, stored
+from tillflow.session import emptied, new_folder, stored
 from tillflow.sinks.files import append_rows, publish_files, write_csv
 from tillflow.sources.files import bounded, date_spine_of, read_csv, table
 from tillflow.streaming import live
@@ -294,8 +294,10 @@ def _start_raw(spark: SparkSession, topic: str) -> tuple[str, StreamingQuery]:
 
 
 def _raw_table(spark: SparkSession, folder: str) -> DataFrame:
-    path, query = _start_raw(spark, _topic(spark, folder))
+    topic = _topic(spark, folder)
+    path, query = _start_raw(spark, topic)
     live.run_to_end(query)
+    emptied(spark, topic)
     return live.read_raw(spark, path)[0]
 
 
@@ -305,8 +307,10 @@ def published_messages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_totals(spark: SparkSession, folder: str) -> DataFrame:
-    path, query = _start_totals(spark, _topic(spark, folder))
+    topic = _topic(spark, folder)
+    path, query = _start_totals(spark, topic)
     live.run_to_end(query)
+    emptied(spark, topic)
     rows, _ = live.read_totals(spark, path)
     return money_as_double(rows.select(
         "region", "category", "total_revenue", "total_units_sold"
@@ -329,6 +333,7 @@ def live_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     totals_path, summing = _start_totals(spark, topic)
     raw_path, appending = _start_raw(spark, topic)
     live.run_to_end(summing, appending)
+    emptied(spark, topic)
     sums, summed = live.read_totals(spark, totals_path)
     raw, arrived = live.read_raw(spark, raw_path)
     report = reports.live_snapshot(sums, raw, has_data=summed and arrived)

@@ -65,6 +65,11 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def emptied(spark: SparkSession, path: str) -> None:
+    """Frees the space of a table nobody will read again: an empty one replaces it."""
+    spark.range(0).write.mode("overwrite").parquet(path)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and read it back.
 
