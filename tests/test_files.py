@@ -8,7 +8,7 @@ from tillflow.functions import codec
 from tillflow.schema import LIVE_TOTALS, MESSAGE, TRANSACTION
 from tillflow.session import CHECKPOINT_DIR, emptied, new_folder, shared_root, shuffle_partitions, stored
 from tillflow.sinks.files import append_rows, json_document, publish, write_csv
-from tillflow.sources.files import bounded, read_csv, read_if_exists, table
+from tillflow.sources.files import bounded, read_csv, read_if_exists, spread, table
 from tillflow.sources.jdbc import Database
 
 
@@ -32,6 +32,14 @@ def test_stored_is_written_once_and_cuts_the_lineage(spark):
     assert "Range" not in plan and "FileScan parquet" in plan
 
 
+def test_only_tables_in_few_pieces_are_spread(spark):
+    cores = spark.sparkContext.defaultParallelism
+    few, many = spark.range(100, numPartitions=1), spark.range(100, numPartitions=cores)
+    assert spread(few).rdd.getNumPartitions() == min(cores, 8)
+    assert "repartition" in spread(few)._jdf.queryExecution().analyzed().toString().lower()
+    assert "repartition" not in spread(many)._jdf.queryExecution().analyzed().toString().lower()
+
+
 def test_emptied_frees_the_files(spark, tmp_path):
     path = tmp_path / "t"
     spark.range(10000, numPartitions=3).write.parquet(str(path))

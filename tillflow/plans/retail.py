@@ -14,7 +14,7 @@ from tillflow.functions import calendar, money, text
 from tillflow.operators.lookups import SMALL_ROWS, is_small, lookup, small_side
 from tillflow.operators.totals import daily_rollup, group_totals, merge_totals
 from tillflow.schema import TRANSACTION
-from tillflow.sources.files import table
+from tillflow.sources.files import spread, table
 
 
 def sale_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -38,22 +38,25 @@ def with_promotion(lines: DataFrame) -> DataFrame:
     ).drop("discount_rate")
 
 
-def priced_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Sale lines with category and amount in cents. Enough for any roll-up without
-    regions. What follows from a line's own columns is derived after the join, which
+def priced(lines: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
+    """Sale lines with category and amount in cents. What follows from a line's own columns is derived after the join, which
     then has fewer columns to move if it has to shuffle."""
     products = table(spark, folder, "part").select(
         F.col("p_partkey").alias("product_key"),
         F.col("p_type").alias("category"),
         money.cents(F.col("p_retailprice")).alias("unit_cents"),
     )
-    lines = lookup(sale_lines(spark, folder), products, "product_key")
-    return with_promotion(lines).withColumn(
+    return with_promotion(lookup(lines, products, "product_key")).withColumn(
         "sales_cents",
         money.discounted_cents(F.col("units_sold"), F.col("unit_cents"), F.col("discount_pct")),
     )
 
 
+def priced_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Enough for any roll-up without regions."""
+    return priced(sale_lines(spark, folder), spark, folder)
+
+
 def stores(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "supplier").select(
         F.col("s_suppkey").alias("store_key"), F.col("s_nationkey").alias("nation_key")
@@ -79,8 +82,9 @@ def with_region(df: DataFrame, stores: DataFrame, places: DataFrame) -> DataFram
 
 def transactions(spark: SparkSession, folder: str) -> DataFrame:
     """The full transaction table, one row per sale line."""
+    lines = priced(spread(sale_lines(spark, folder)), spark, folder)
     return (
-        with_region(priced_lines(spark, folder), stores(spark, folder), places(spark, folder))
+        with_region(lines, stores(spark, folder), places(spark, folder))
         .withColumns({
             "day_of_week": calendar.day_name(F.col("date")),
             "store_id": text.padded_key("S", F.col("store_key"), 3),

@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from tillflow.functions.codec import encode
 
-MESSAGE_BLOCK = 4 * 1024 * 1024
-
 
 def write_csv(df: DataFrame, path: str, append: bool = False) -> None:
     """CSV files with one header each; replaces what is there unless ``append``."""
@@ -27,10 +25,8 @@ def publish(
 
 
 def publish_files(df: DataFrame, path: str, key: str | None = None) -> None:
-    """The same to files in the layout of a topic. Reading JSON is bound by the
-    processor, not the disk, so row groups are kept small: several tasks can then
-    share a file."""
-    publish(df, "parquet", key, **{"path": path, "parquet.block.size": str(MESSAGE_BLOCK)})
+    """The same to files in the layout of a topic."""
+    publish(df, "parquet", key, path=path)
 
 
 def json_document(df: DataFrame, **parts: Column) -> DataFrame:

@@ -10,12 +10,23 @@ from pyspark.sql import types as T
 from tillflow.functions.calendar import parse_date
 from tillflow.schema import TABLES, TRANSACTION
 
+FEW_PIECES = 32
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     reader = spark.read.schema(TABLES[name]) if name in TABLES else spark.read
     return reader.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over more cores, for costly work per row, if it comes in a few pieces
+    only: a small table in one row group would leave the others idle. Any larger one
+    is returned as it is, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    pieces = df.rdd.getNumPartitions()
+    return df if pieces >= min(cores, FEW_PIECES) else df.repartition(min(cores, 8 * pieces))
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
