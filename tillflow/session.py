@@ -51,12 +51,13 @@ def shared_root(spark: SparkSession) -> str:
     own, once. On a cluster a machine-local folder would not be seen by the
     other machines, so a missing setting is an error there.
     """
-    root = spark.conf.get(CHECKPOINT_DIR, None)
+    context = spark.sparkContext
+    root = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if root is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="tillflow-")
-        spark.conf.set(CHECKPOINT_DIR, root)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tillflow-"))
+        root = context.getCheckpointDir()
     return root.rstrip("/")
 
 
