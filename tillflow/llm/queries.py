@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm import bpe, exact_dedup, mixing, quality_rules
+from tillflow.llm import bpe, exact_dedup, jaccard_join, mixing, quality_rules
 from tillflow.sources.files import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,10 @@ def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, folder, "documents"))
 
 
+def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.jaccard_join(table(spark, folder, "documents"), width=4, percent=85)
+
+
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -41,7 +45,7 @@ def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_exact_dedup, op5_quality_rules, op8_mixing, op9_bpe)
+    f.__name__: f for f in (op1_exact_dedup, op4_jaccard_join, op5_quality_rules, op8_mixing, op9_bpe)
 }
 
 SQL: dict[str, str] = {}
