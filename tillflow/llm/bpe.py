@@ -11,6 +11,7 @@ met before come from a table of bounded size.
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -21,8 +22,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Texts of ASCII and Latin letters alone, and the words of the vocabulary's pattern in
+#: them, spelled out: much faster than properties of all of Unicode.
+UNUSUAL = re.compile(r"[^\x00-\x7F\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]")
+USUAL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+USUAL_WORD = re.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d|[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+|[0-9]"
+    r"|[^ \t-\rA-Za-z0-9\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+")
 NEVER = np.iinfo(np.int64).max
-KNOWN_WORDS = 300_000  # words a task remembers before it starts afresh
+KNOWN_WORDS = 400_000  # words a task remembers before it starts afresh
 KNOWN_LENGTH = 64  # longer words are not remembered
 BATCH_SYMBOLS = 2_000_000  # symbols merged at once; a longer word is a batch of its own
 
@@ -145,6 +153,7 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self.find = regex.compile(vocabulary.word).findall
+        self.usual = vocabulary.word == USUAL_PATTERN
         names = sorted(vocabulary.specials, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, names)) + ")")
         self.known: dict[str, tuple[bytes, str]] = {}
@@ -152,12 +161,17 @@ class Encoder:
     def words(self, text: str) -> list[str]:
         """The words of a text, normalised; special tokens stand for themselves."""
         if "<|" not in text:
-            return self.find(self.normal(text))
+            return self.cut(self.normal(text))
         found: list[str] = []
         for k, piece in enumerate(self.special.split(text)):
-            found += ["\0" + piece] if k % 2 else self.find(self.normal(piece))
+            found += ["\0" + piece] if k % 2 else self.cut(self.normal(piece))
         return found
 
+    def cut(self, text: str) -> list[str]:
+        if self.usual and not UNUSUAL.search(text):
+            return USUAL_WORD.findall(text)
+        return self.find(text)
+
     @staticmethod
     def normal(text: str) -> str:
         """Composed and in lower case, letter by letter: no final sigma."""
@@ -182,9 +196,10 @@ class Encoder:
                 stop += 1
             ids, places = merge(raw, self.vocabulary)
             flat = ids.astype("<u4").tobytes()
-            for k, word in enumerate(plain[start:stop]):
-                a, b = int(places[k]), int(places[k + 1])
-                learnt[word] = (flat[4 * a:4 * b], " ".join([tokens[i] for i in ids[a:b]]))
+            names = [tokens[i] for i in ids.tolist()]
+            ends = places.tolist()
+            for word, a, b in zip(plain[start:stop], ends[:-1], ends[1:], strict=True):
+                learnt[word] = (flat[4 * a:4 * b], " ".join(names[a:b]))
             start = stop
         return learnt
 
@@ -194,16 +209,16 @@ class Encoder:
         if len(self.known) > KNOWN_WORDS:
             self.known = {}
         known = self.known
-        new = set().union(*cut).difference(known) if cut else set()
+        new = {w for words in cut for w in set(words) if w not in known}
         learnt = self.learn(list(new))
-        known.update((w, v) for w, v in learnt.items() if len(w) <= KNOWN_LENGTH)
-        long = {w: v for w, v in learnt.items() if len(w) > KNOWN_LENGTH}
+        known.update(learnt)
+        find = known.__getitem__
         for words in cut:
-            if long:
-                parts = [known[w] if w in known else long[w] for w in words]
-            else:
-                parts = [known[w] for w in words]
-            yield b"".join([p[0] for p in parts]), " ".join([p[1] for p in parts])
+            ids, names = zip(*map(find, words), strict=True) if words else ((), ())
+            yield b"".join(ids), " ".join(names)
+        for word in learnt:
+            if len(word) > KNOWN_LENGTH:
+                del known[word]
 
 
 def encode(docs: DataFrame, vocabulary_path: str, doc_id: str = "doc_id", text: str = "text",
