@@ -17,7 +17,8 @@ from tillflow.llm.words import SPACE_CHARS, text_or_empty, words
 
 BUCKETS = 16_384
 SYMBOLS = "#*$%&|<>"
-THRESHOLD = -0.35
+THRESHOLD = -0.08
+TRUSTED = 20_000  # trusted documents that the target is counted from
 
 
 def without(text: Column, characters: str) -> Column:
@@ -88,18 +89,19 @@ def ngram_buckets(tokens: Column, buckets: int = BUCKETS) -> Column:
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text",
-               buckets: int = BUCKETS) -> list[float]:
+               buckets: int = BUCKETS, trusted_documents: int = TRUSTED) -> list[float]:
     """log p_target - log p_raw of every bucket, both smoothed by one.
 
-    Target counts are of the documents whose id is in ``trusted`` (doc_id), raw counts
-    of all. Only ``buckets`` sums reach the driver, whatever the size of the corpus.
+    Target counts are of ``trusted_documents`` of the ids in ``trusted`` (doc_id), those
+    of least hash; their ids are few enough to broadcast. Raw counts are of all
+    documents. Only ``buckets`` sums reach the driver, whatever the size of the corpus.
     """
-    marks = trusted.select(F.col("doc_id").alias("trusted_id")).where("trusted_id is not null").distinct()
-    rows = docs.select(F.col(doc_id).alias("id"), words(text_or_empty(text)).alias("tokens"))
-    counts = _bucket_sums(rows, buckets).withColumnRenamed("n", "raw")
-    target = _bucket_sums(
-        rows.join(marks, F.col("id") == F.col("trusted_id"), "left_semi"), buckets,
-    ).withColumnRenamed("n", "target")
+    marks = trusted.select(F.col("doc_id").alias("trusted_id")).where("trusted_id is not null").distinct(
+    ).orderBy(F.xxhash64("trusted_id"), "trusted_id").limit(trusted_documents)
+    whole = docs.select(F.col(doc_id).alias("id"), text_or_empty(text).alias("text"))
+    chosen = whole.join(F.broadcast(marks), F.col("id") == F.col("trusted_id"), "left_semi")
+    counts = _bucket_sums(whole, buckets).withColumnRenamed("n", "raw")
+    target = _bucket_sums(chosen, buckets).withColumnRenamed("n", "target")
     raw_n, target_n = [1] * buckets, [1] * buckets
     for row in counts.join(target, "bucket", "left").collect():
         raw_n[row["bucket"]] += row["raw"]
@@ -110,7 +112,8 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text
 
 
 def _bucket_sums(rows: DataFrame, buckets: int) -> DataFrame:
-    return rows.select(F.explode(ngram_buckets(F.col("tokens"), buckets)).alias("bucket")).groupBy(
+    cut = rows.select(words(F.col("text")).alias("tokens"))
+    return cut.select(F.explode(ngram_buckets(F.col("tokens"), buckets)).alias("bucket")).groupBy(
         "bucket").agg(F.count("*").alias("n"))
 
 
@@ -127,7 +130,8 @@ def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
                   text: str = "text", buckets: int = BUCKETS) -> DataFrame:
     """Per row of ``docs``: doc_id, the counts, base_failed, score, kept.
 
-    ``labels`` (doc_id, quality) names the trusted documents by quality 1; a null label
+    ``labels`` (doc_id, quality) names the trusted documents by quality 1 (the target is
+    counted from at most 20,000 of them, all else from every document); a null label
     or doc_id trusts nothing. ``kept`` is false if the rules fail, else whether the score
     reaches ``threshold``; the same text has the same score in any run over the same
     corpus. Null text counts as empty: no words, base_failed, score null. Every row is

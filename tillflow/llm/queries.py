@@ -9,10 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm import bpe, exact_dedup, jaccard_join, mixing, quality_rules
+from tillflow.llm import bpe, exact_dedup, jaccard_join, licences, mixing, pii, quality_rules, url_templates
 from tillflow.sources.files import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,16 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op6_url_templates(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    marks = url_templates.page_labels(pages, table(spark, folder, "labels"))
+    return url_templates.judge(pages, marks)
+
+
+def op7_licences(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.scan(table(spark, folder, "documents")).drop("matches")
+
+
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken(table(spark, folder, "documents")).drop("source", "copies")
 
@@ -44,8 +54,22 @@ def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
+    rows = pii.sanitise(table(spark, folder, "documents"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return rows.select(
+        "doc_id", *map(count, pii.KINDS),
+        F.sha2(F.encode(pii.spelled(F.col("base")), "utf-8"), 256).alias("base_sha256"),
+        pii.all_spans(F.col("base"), F.col("terms")).alias("spans"))
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_exact_dedup, op4_jaccard_join, op5_quality_rules, op8_mixing, op9_bpe)
+    f.__name__: f for f in (
+        op1_exact_dedup, op4_jaccard_join, op5_quality_rules, op6_url_templates, op7_licences,
+        op8_mixing, op9_bpe, op10_pii)
 }
 
 SQL: dict[str, str] = {}
