@@ -44,9 +44,10 @@ def targets(sizes: DataFrame, share: float = 1.5, most: float = 2.0,
         F.lit(share) * F.sum("source_size").over(everything)
         - F.coalesce(F.sum("cap").over(before), F.lit(0.0))
     ) / (F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0.0)))
-    # Up to the first source whose cap is above the level all stop at their caps.
+    # Up to the first source whose cap is above the level all stop at their caps; the level
+    # there is the one of all the rest (those computed after it only fall).
     stops = F.col("cap") <= F.col("level") * F.col("weight")
-    free_level = F.min(F.when(~stops, F.col("level"))).over(everything)
+    free_level = F.max(F.when(~stops, F.col("level"))).over(everything)
     return weighed.withColumn("level", level).select(
         "source", "source_size",
         F.when(stops, F.col("cap")).otherwise(free_level * F.col("weight")).alias("target"))

@@ -18,6 +18,7 @@ from tillflow.llm.words import SPACE_CHARS, text_or_empty, words
 BUCKETS = 16_384
 SYMBOLS = "#*$%&|<>"
 THRESHOLD = -0.08
+SMOOTHING = 8
 TRUSTED = 20_000  # trusted documents that the target is counted from
 
 
@@ -90,7 +91,9 @@ def ngram_buckets(tokens: Column, buckets: int = BUCKETS) -> Column:
 
 def log_ratios(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text",
                buckets: int = BUCKETS, trusted_documents: int = TRUSTED) -> list[float]:
-    """log p_target - log p_raw of every bucket, both smoothed by one.
+    """log p_target - log p_raw of every bucket. The target is smoothed towards the raw
+    distribution by ``SMOOTHING`` n-grams a bucket: without a trusted document all
+    ratios are 0.
 
     Target counts are of ``trusted_documents`` of the ids in ``trusted`` (doc_id), those
     of least hash; their ids are few enough to broadcast. Raw counts are of all
@@ -102,13 +105,17 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text
     chosen = whole.join(F.broadcast(marks), F.col("id") == F.col("trusted_id"), "left_semi")
     counts = _bucket_sums(whole, buckets).withColumnRenamed("n", "raw")
     target = _bucket_sums(chosen, buckets).withColumnRenamed("n", "target")
-    raw_n, target_n = [1] * buckets, [1] * buckets
+    raw, target_n = [1] * buckets, [0] * buckets
     for row in counts.join(target, "bucket", "left").collect():
-        raw_n[row["bucket"]] += row["raw"]
+        raw[row["bucket"]] += row["raw"]
         target_n[row["bucket"]] += row["target"] or 0
-    raw_all, target_all = sum(raw_n), sum(target_n)
-    return [math.log(t / target_all) - math.log(r / raw_all)
-            for t, r in zip(target_n, raw_n, strict=True)]
+    raw_all, target_all = sum(raw), sum(target_n)
+    weight = SMOOTHING * buckets
+    ratios = []
+    for r, t in zip(raw, target_n, strict=True):
+        share = r / raw_all
+        ratios.append(math.log((t + weight * share) / (target_all + weight)) - math.log(share))
+    return ratios
 
 
 def _bucket_sums(rows: DataFrame, buckets: int) -> DataFrame:
@@ -136,15 +143,20 @@ def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
     reaches ``threshold``; the same text has the same score in any run over the same
     corpus. Null text counts as empty: no words, base_failed, score null. Every row is
     answered, repeated doc_ids each for itself; other columns are ignored. With no
-    trusted document, or an empty corpus, all scores are 0 but for smoothing, and the
-    rules alone decide.
+    trusted document, or an empty corpus, all scores are 0, and the rules
+    alone decide.
     """
     return judged(docs, labels, threshold, doc_id, text, buckets).drop("row")
 
 
 def keep(docs: DataFrame, labels: DataFrame, **options: float) -> DataFrame:
-    """The rows of ``docs`` that `quality_rules` keeps, with their columns."""
-    return judged(docs, labels, **options).where("kept").select("row.*")
+    """The rows of ``docs`` that `quality_rules` keeps, with their columns.
+
+    The rows come out of an array with one or no element: a filter would be moved below
+    the staged columns and take their expressions along, into each other's lambdas.
+    """
+    kept = F.when(F.col("kept"), F.array("row")).otherwise(F.slice(F.array("row"), 1, 0))
+    return judged(docs, labels, **options).select(F.explode(kept).alias("row")).select("row.*")
 
 
 def judged(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, doc_id: str = "doc_id",
