@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm import bpe, exact_dedup, mixing, quality_rules
+from tillflow.llm import bpe, exact_dedup, jaccard_join, mixing, quality_rules
 from tillflow.session import stored
 from tillflow.sources.files import table
 
@@ -27,6 +27,11 @@ def drop_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return exact_dedup.keep(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """One document of each group of near copies: of five-word shingles, 80 % in common."""
+    return jaccard_join.keep(docs, width=5, percent=80)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     return mixing.mix(docs)
@@ -44,6 +49,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 STAGES: list[tuple[str, Stage]] = [
     ("quality rules", keep_quality),
     ("exact dedup", drop_copies),
+    ("jaccard join", drop_near_copies),
     ("mixing", mix_sources),
     ("bpe", encode),
 ]

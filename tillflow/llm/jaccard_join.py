@@ -485,6 +485,17 @@ def jaccard_join(docs: DataFrame, width: int = 4, percent: int = 85, doc_id: str
     return filled.unionByName(empty).withColumnRenamed("n", "n_shingles")
 
 
+def keep(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options: int) -> DataFrame:
+    """The rows of ``docs`` that stay when one document of each component does: that with
+    the least doc_id, once. Documents without words stay. All columns are kept."""
+    joined = jaccard_join(docs, doc_id=doc_id, text=text, **options)
+    staying = joined.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
+        F.col("doc_id").alias("kept_id")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.col(doc_id).cast("long").alias("id"))
+    kept = rows.join(staying, F.col("id").eqNullSafe(F.col("kept_id")), "left_semi")
+    return kept.dropDuplicates(["id"]).select("row.*")
+
+
 def class_links(texts: DataFrame, classes: DataFrame, rows: DataFrame, rule: Rule, levels: np.ndarray,
                 partitions: int, region_shingles: int) -> DataFrame:
     packed = postings(texts, rule, levels, 4 * partitions)

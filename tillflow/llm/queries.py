@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm import bpe, exact_dedup, jaccard_join, licences, mixing, pii, quality_rules, url_templates
+from tillflow.llm import bpe, exact_dedup, html_text, jaccard_join, licences, mixing, pii, quality_rules, url_templates
 from tillflow.sources.files import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,11 @@ def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, folder, "documents"))
 
 
+def op2_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    found = html_text.extract(table(spark, folder, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, folder, "documents"), width=4, percent=85)
 
@@ -68,7 +73,7 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
-        op1_exact_dedup, op4_jaccard_join, op5_quality_rules, op6_url_templates, op7_licences,
+        op1_exact_dedup, op2_html_text, op4_jaccard_join, op5_quality_rules, op6_url_templates, op7_licences,
         op8_mixing, op9_bpe, op10_pii)
 }
 
