@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm import bpe, exact_dedup, html_text, jaccard_join, licences, mixing, pii, quality_rules, url_templates
+from tillflow.llm import bpe, exact_dedup, html_text, jaccard_join, licences, mixing, pii, quality_rules, suffix_dedup, url_templates
 from tillflow.sources.files import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,14 @@ def op2_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = suffix_dedup.suffix_dedup(table(spark, folder, "documents"), least=50)
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
+    return cut.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, folder, "documents"), width=4, percent=85)
 
@@ -73,7 +81,7 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
-        op1_exact_dedup, op2_html_text, op4_jaccard_join, op5_quality_rules, op6_url_templates, op7_licences,
+        op1_exact_dedup, op2_html_text, op3_suffix_dedup, op4_jaccard_join, op5_quality_rules, op6_url_templates, op7_licences,
         op8_mixing, op9_bpe, op10_pii)
 }
 
