@@ -356,18 +356,25 @@ class Region:
             for k, pivot in enumerate(pivots[:-1]):
                 self.measure(int(pivot), pivots[k + 1:])
             apart = np.stack([self.measure(int(p), rest) for p in pivots])
-            nearest = apart.min(0)
-            inside = apart <= nearest + 2 * self.rule.radius
-            for k in range(len(pivots)):
-                # Pairs of the region: at least one has this pivot as its nearest, and both
-                # are about as far from it.
-                core = np.isclose(apart[k], nearest)
-                near = inside[k]
-                if not core.any():
-                    continue
-                low, high = apart[k][core].min(), apart[k][core].max()
-                near &= (apart[k] >= low - self.rule.radius) & (apart[k] <= high + self.rule.radius)
-                work.append(rest[near])
+            below = list(self.cells(rest, apart))
+            # Where pivots do not tell the members apart, they have at least been settled
+            # themselves: the rest goes on as one region, so that the work stays quadratic at most.
+            work += below if sum(map(len, below)) <= 2 * len(rest) else [rest]
+
+    def cells(self, rest: np.ndarray, apart: np.ndarray) -> Iterator[np.ndarray]:
+        """The Voronoi cells with what is replicated into them from beyond their borders.
+
+        Who is nearly as far as can be from all pivots belongs to none, but to a cell of its
+        own: whoever is linked with it is far from all pivots, too.
+        """
+        r, nearest, own = self.rule.radius, apart.min(0), apart.argmin(0)
+        for k in range(len(apart)):
+            core = apart[k][(own == k) & (nearest < 1 - r)]
+            if len(core):
+                near = (apart[k] <= nearest + 2 * r) & (apart[k] >= core.min() - r) & (apart[k] <= core.max() + r)
+                yield rest[near]
+        if (nearest >= 1 - r).any():
+            yield rest[nearest >= 1 - 2 * r]
 
 
 def join_regions(members: DataFrame, rule: Rule, partitions: int) -> DataFrame:
@@ -386,16 +393,16 @@ def join_regions(members: DataFrame, rule: Rule, partitions: int) -> DataFrame:
     return _by_region(members, partitions).mapInArrow(work, "a long, b long")
 
 
-def cut_regions(members: DataFrame, rule: Rule) -> DataFrame:
+def measure_pivots(members: DataFrame, rule: Rule) -> DataFrame:
     """One level of the recursion across the cluster, for regions too large for a task.
 
-    members: (region, cls, shingles, n, ball): ball tells that the member is linked to
-    the pivot of the region above. The pivots of a region are its first members outside
-    the ball, then others. Returns links (a, b) and the members of the regions
-    below (region, cls, ball, distance) as rows of one table.
+    members: (region, cls, shingles, ball): ball tells that the member is linked to the
+    pivot of the region above. The pivots of a region are its first members outside the
+    ball, then others. Returns links (a, b), and for all others than the pivots their
+    distances from these (region, cls, apart, linked), as rows of one table.
     """
     order = Window.partitionBy("region").orderBy("ball", "cls")
-    # Only the least PIVOTS rows of a region pass a task before they are moved.
+    # Only the first PIVOTS rows of a region pass a task before they are moved.
     ranked = members.select("region", "cls", "ball").withColumn("k", F.row_number().over(order)).where(
         F.col("k") <= PIVOTS)
     sets = members.select("region", "cls", "shingles")
@@ -403,50 +410,68 @@ def cut_regions(members: DataFrame, rule: Rule) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("k", F.col("cls").alias("cls"), "shingles"))).alias("pivots"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: tuple[int, list, list] | None = None
+        region, numbers, shingles = None, np.zeros(0, np.int64), []
         for batch in batches:
-            out: dict[str, list] = {k: [] for k in ("region", "cls", "ball", "distance", "core", "a", "b")}
+            away, links = [], []
             regions, classes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for i, (region, cls) in enumerate(zip(regions, classes, strict=True)):
-                if known is None or known[0] != region:
+            for i, cls in enumerate(classes):
+                if regions[i] != region:
                     rows = batch.column(3)[i].as_py()
-                    known = region, [r["cls"] for r in rows], [np.frombuffer(r["shingles"], U) for r in rows]
+                    region, numbers = regions[i], np.array([r["cls"] for r in rows])
+                    shingles = [np.frombuffer(r["shingles"], U) for r in rows]
                 own = np.frombuffer(batch.column(2)[i].as_py(), U)
-                common = np.array([len(np.intersect1d(own, p, True)) for p in known[2]])
-                total = np.array([len(own) + len(p) for p in known[2]])
+                common = np.array([len(np.intersect1d(own, p, True)) for p in shingles])
+                total = np.array([len(own) + len(p) for p in shingles])
                 linked = rule.linked(common, total)
-                for pivot in np.array(known[1])[linked]:
-                    if pivot != cls:
-                        _add(out, a=int(pivot), b=cls)
-                if cls in known[1]:
-                    continue  # it has met every member
-                apart = 1 - common / (total - common)
-                for k in np.flatnonzero(apart <= apart.min() + 2 * rule.radius):
-                    below = int(mix(np.array([(region ^ known[1][k]) & (2**63 - 1)], U))[0] >> U(1))
-                    _add(out, region=below, cls=cls, ball=bool(linked[k]), distance=float(apart[k]),
-                         core=bool(apart[k] <= apart.min() + 1e-12))
-            types = [pa.int64(), pa.int64(), pa.bool_(), pa.float64(), pa.bool_(), pa.int64(), pa.int64()]
+                links += [(int(p), cls) for p in numbers[linked] if p != cls]
+                if cls not in numbers:  # a pivot has met every member
+                    away.append((region, cls, (1 - common / (total - common)).tolist(), linked.tolist()))
+            columns = [
+                *([row[k] for row in away] + [None] * len(links) for k in range(4)),
+                *([None] * len(away) + [link[k] for link in links] for k in range(2))]
+            types = [pa.int64(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.bool_()), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out[k], t) for k, t in zip(out, types, strict=True)], names=list(out))
+                [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
+                names=["region", "cls", "apart", "linked", "a", "b"])
 
     return members.select("region", "cls", "shingles").join(pivots, "region").mapInArrow(
-        work, "region long, cls long, ball boolean, distance double, core boolean, a long, b long")
-
-
-def _add(out: dict[str, list], **values: object) -> None:
-    for name, column in out.items():
-        column.append(values.get(name))
-
-
-def needed(below: DataFrame, rule: Rule) -> DataFrame:
-    """Of the regions below, the members that may still have a link to find: those of a
-    region whose ball does not hold all, and of the ball those that are far enough from
-    the pivot to reach a member outside it."""
-    facts = below.groupBy("region").agg(
+        work, "region long, cls long, apart array<double>, linked array<boolean>, a long, b long")
+
+
+def cells_below(measured: DataFrame, rule: Rule) -> DataFrame:
+    """The members (region, cls, ball) of the regions below, as `Region.cells` has them,
+    without those that have no link left to find: regions whose members a pivot has linked
+    all, and members too near the pivot to reach one outside its ball."""
+    r = rule.radius
+    nearest = F.array_min("apart")
+    kind = "array<struct<k:int,distance:double,ball:boolean,core:boolean>>"
+    own = F.array_position("apart", F.col("nearest")).cast("int") - 1
+    cells = F.filter(
+        F.transform("apart", lambda d, k: F.struct(
+            k.alias("k"), d.alias("distance"), F.get("linked", k).alias("ball"),
+            ((k == own) & (F.col("nearest") < 1 - r)).alias("core"))),
+        lambda c: (c["distance"] < 1) & (c["distance"] <= F.col("nearest") + 2 * r)).cast(kind)
+    remote = F.when(F.col("nearest") >= 1 - 2 * r, F.array(F.struct(
+        F.lit(-1).alias("k"), F.col("nearest").alias("distance"), F.lit(False).alias("ball"),
+        (F.col("nearest") >= 1 - r).alias("core"))).cast(kind)).otherwise(F.array().cast(kind))
+    # Where the pivots do not tell the members apart, all go on as one region.
+    whole = F.array(F.struct(
+        F.lit(-2).alias("k"), F.get("apart", F.lit(0)).alias("distance"), F.get("linked", F.lit(0)).alias("ball"),
+        F.lit(True).alias("core"))).cast(kind)
+    placed = measured.withColumn("nearest", nearest).withColumn("cells", F.concat(cells, remote))
+    useless = placed.groupBy(F.col("region").alias("of")).agg(
+        (F.sum(F.size("cells")) > 2 * F.count("*")).alias("useless"))
+    rows = placed.join(useless, F.col("region") == F.col("of")).select(
+        "region", "cls", F.explode(F.when(F.col("useless"), whole).otherwise(F.col("cells"))).alias("cell"),
+    ).select(F.xxhash64("region", "cell.k").alias("region"), "cls", "cell.distance", "cell.ball", "cell.core")
+    facts = rows.groupBy(F.col("region").alias("of")).agg(
         F.min(F.when(~F.col("ball"), F.col("distance"))).alias("least_outside"),
-        F.max(F.col("core").cast("int")).alias("has_core"), F.count("*").alias("members"))
-    return below.join(facts.where("has_core = 1 and least_outside is not null and members > 1"), "region").where(
-        ~F.col("ball") | (F.col("distance") >= F.col("least_outside") - rule.radius),
+        F.min(F.when(F.col("core"), F.col("distance"))).alias("first_core"),
+        F.max(F.when(F.col("core"), F.col("distance"))).alias("last_core"), F.count("*").alias("members"))
+    facts = facts.where("first_core is not null and least_outside is not null and members > 1")
+    return rows.join(facts, F.col("region") == F.col("of")).where(
+        F.col("distance").between(F.col("first_core") - r, F.col("last_core") + r)
+        & (~F.col("ball") | (F.col("distance") >= F.col("least_outside") - r)),
     ).select("region", "cls", "ball")
 
 
@@ -514,9 +539,9 @@ def class_links(texts: DataFrame, classes: DataFrame, rows: DataFrame, rule: Rul
     links = stored(join_regions(held.where("fits").select("region", "cls", "shingles"), rule, partitions), "links")
     rest = stored(chosen.where("not fits").select("region", "cls", F.lit(False).alias("ball")), "large")
     while not rest.isEmpty():
-        level = stored(cut_regions(rest.join(sets, "cls"), rule), "level")
+        level = stored(measure_pivots(rest.join(sets, "cls"), rule), "level")
         links = links.unionByName(level.where("a is not null").select("a", "b"))
-        below = stored(needed(level.where("region is not null"), rule), "below")
+        below = stored(cells_below(level.where("region is not null"), rule), "below")
         weights = stored(below.join(sets.select("cls", "n"), "cls").groupBy("region").agg(
             F.sum("n").alias("weight"), F.count("*").alias("members")), "below-sizes")
         small = below.join(weights.where(fits).select("region"), "region", "left_semi").join(sets, "cls")

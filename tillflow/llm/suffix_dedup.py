@@ -146,6 +146,8 @@ def pieces_of(block: Block, least: int) -> Pieces:
 def settled(pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
     """For equal pieces, which are not of the least document (they go), and which are."""
     order = np.lexsort((pieces.doc, pieces.content, pieces.key))
+    if not len(order):
+        return order, order
     key, content, doc = pieces.key[order], pieces.content[order], pieces.doc[order]
     new = np.append(True, (key[1:] != key[:-1]) | (content[1:] != content[:-1]))
     least = np.repeat(doc[new], np.diff(np.append(np.flatnonzero(new), len(new))))
@@ -155,6 +157,8 @@ def settled(pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
 # --- packed rows: arrays of one kind for a bucket or a block --------------------------
 
 def _by(number: np.ndarray, *arrays: np.ndarray) -> Iterator[tuple[int, list[np.ndarray]]]:
+    if not len(number):
+        return
     order = np.argsort(number, kind="stable")
     found, first = np.unique(number[order], return_index=True)
     for n, b, e in zip(found, first, np.append(first[1:], len(order)), strict=True):
