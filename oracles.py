@@ -185,10 +185,11 @@ FROM spine LEFT JOIN daily ON daily.date = spine.date""",
 SELECT count(*) AS days,
        sqrt(avg(error * error ORDER BY date)) AS rmse,
        avg(abs(error) ORDER BY date) AS mae,
-       1 - sum(error * error ORDER BY date) / (var_pop(actual_revenue ORDER BY date) * count(*)) AS r2,
+       1 - sum(error * error ORDER BY date)
+         / sum((actual_revenue - centre) * (actual_revenue - centre) ORDER BY date) AS r2,
        avg(abs_percent_error ORDER BY date) AS mape,
        CASE WHEN avg(abs_percent_error ORDER BY date) < 15 THEN 'good' ELSE 'poor' END AS quality
-FROM errors""",
+FROM errors, (SELECT avg(actual_revenue ORDER BY date) AS centre FROM errors)""",
     "overview": "WITH" + PREDICTIONS + """,
 best AS (SELECT * FROM errors ORDER BY abs_percent_error, date LIMIT 1),
 worst AS (SELECT * FROM errors ORDER BY abs_percent_error DESC, date LIMIT 1),
@@ -262,6 +263,12 @@ SELECT event_id AS transaction_id, date, CAST(CAST(value AS DECIMAL(18,2)) AS DO
 FROM messages WHERE event_type = 'purchase'""",
     "json_dead_letter": EVENT_MESSAGES + """
 SELECT event_id, message FROM messages WHERE event_type <> 'purchase'""",
+    "stream_dead_letters": EVENT_MESSAGES + """
+SELECT event_id, message FROM messages WHERE event_type <> 'purchase'""",
+    "csv_rejects": """
+SELECT event_id || ',' || CASE WHEN event_type = 'error' THEN 'bad ' ELSE '' END
+  || strftime(ts, '%Y-%m-%d') || ',' || CASE WHEN event_type = 'view' THEN 'much' ELSE '1.50' END AS line
+FROM events WHERE event_type IN ('error', 'view')""",
     "csv_roundtrip": "WITH" + TX + TX_COLUMNS,
     "appended_orders": "SELECT * FROM orders",
     "bounded_scan": """
@@ -274,6 +281,10 @@ SELECT '{"transaction_id":' || transaction_id || ',"date":"' || strftime(date, '
   || ',"discount_pct":' || discount_pct || ',"sales_amount":' || sales_amount || '}' AS message
 FROM tx""",
     "stream_totals": "WITH" + TOTALS + """
+SELECT region, category, total_revenue, total_units_sold FROM totals""",
+    "stream_restart": "WITH" + TOTALS + """
+SELECT region, category, total_revenue, total_units_sold FROM totals""",
+    "null_id_totals": "WITH" + TOTALS + """
 SELECT region, category, total_revenue, total_units_sold FROM totals""",
     "stream_raw_append": "WITH" + TX + TX_COLUMNS,
     "stream_throughput": "SELECT count(*) AS input_rows FROM lineitem",

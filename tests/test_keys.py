@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillflow.operators.keys import _placed, surrogate_key
-from tillflow.operators.lookups import lookup, small_side
+from tillflow.operators.lookups import lookup
 
 
 @pytest.mark.parametrize("rows, parts", [(0, 3), (1, 3), (1000, 7)])
@@ -54,14 +54,6 @@ def test_lookup_keeps_facts_without_a_match(spark):
     assert found == {"a": "one", "b": None, "c": None}
 
 
-def test_only_small_sides_are_marked_for_broadcast(spark):
-    def marked(df):
-        return "strategy=broadcast" in df._jdf.queryExecution().analyzed().toString()
-
-    assert marked(small_side(spark.range(10), 10))
-    assert not marked(small_side(spark.range(11), 10))
-
-
 def test_a_key_with_a_third_of_the_facts_is_split(spark):
     """Neither side is broadcast, and the hot partition is shared by several tasks."""
     settings = {

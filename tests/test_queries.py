@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check import compare, duck
+from oracles import SQL
 from tillflow.plans import retail
+from tillflow.plans.queries import QUERIES
 
 WITHOUT_SQL = {"report_json", "rf_predictions", "rf_metrics", "rf_importances"}
 
@@ -17,11 +19,11 @@ def connection():
 
 
 def test_only_known_queries_lack_sql():
-    assert set(queries()) - set(oracle_sql()) == WITHOUT_SQL
+    assert set(QUERIES) - set(SQL) == WITHOUT_SQL
     assert set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_its_sql(spark, connection, name):
     assert compare(queries()[name](spark, SMALL), connection, oracle_sql()[name]) == ""
 
@@ -76,13 +78,19 @@ def test_daily_revenue_adds_up_to_the_facts(spark):
     assert daily == facts
 
 
-def test_totals_of_few_and_of_many_stores_are_the_same(spark):
-    few = retail.region_category_totals(spark, SMALL)
-    many = retail.region_category_totals(spark, SMALL, few_stores=0)
-    assert plan(few).count("Exchange hashpartitioning") == 1
-    assert plan(many).count("Exchange hashpartitioning") == 2
-    assert few.dtypes == many.dtypes
-    assert set(few.collect()) == set(many.collect())
+def test_lines_are_summed_by_store_before_they_meet_the_stores(spark):
+    totals = retail.region_category_totals(spark, SMALL)
+    assert plan(totals).count("Exchange hashpartitioning") == 2
+
+
+@pytest.mark.parametrize("name", ["transactions", "region_category_totals", "live_totals", "top15_groups", "eval_metrics"])
+def test_building_a_query_starts_no_job(spark, name):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", name)
+    queries()[name](spark, SMALL).schema
+    found = [j for j in tracker.getJobIdsForGroup("building")]
+    spark.sparkContext._jsc.clearJobGroup()
+    assert found == []
 
 
 def test_results_do_not_depend_on_how_tables_are_joined(spark, connection):

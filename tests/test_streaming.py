@@ -199,7 +199,7 @@ def test_both_queries_run_together(spark, make_tx, tmp_path):
         stream, live.totals_files(f"{path}/totals"), f"{path}/c2", name(), processingTime="1 second",
     )
     sums.processAllAvailable()
-    live.run_together(spark, raw, sums)
+    live.run_together(raw, sums)
     assert not raw.isActive and not sums.isActive
     assert totals(spark, path) == expected(make_tx(*rows(0, 16)))
 

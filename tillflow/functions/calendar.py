@@ -15,7 +15,6 @@ HOLIDAY_MONTHS = [11, 12]
 HOLIDAY_FACTOR = 1.6
 MIDYEAR_MONTH = 7
 MIDYEAR_FACTOR = 1.15
-REPORT_WEEK = [2, 3, 4, 5, 6, 7, 1]  # day_number in report order, Monday first
 
 
 def _pick(values: list, position: Column) -> Column:

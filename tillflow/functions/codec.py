@@ -31,7 +31,9 @@ def _parsed(value: Column) -> Column:
 def _usable(record: Column) -> Column:
     # Both tests are needed: text that is no JSON and fields of a wrong type set
     # the bad-record field; a null value or an object of unknown fields does not.
-    return record[BAD].isNull() & record["transaction_id"].isNotNull()
+    # A sale without an id is a sale: it adds to sums and is only not counted.
+    known = F.coalesce(*[record[name].cast("string") for name in TRANSACTION.fieldNames()])
+    return record[BAD].isNull() & known.isNotNull()
 
 
 def decode(
@@ -50,5 +52,6 @@ def decode(
 
 
 def dead_letters(messages: DataFrame) -> DataFrame:
-    """The messages that hold no readable transaction, unchanged."""
+    """The messages that hold no readable transaction, unchanged: no JSON, a field of a
+    wrong type, or no field of a transaction at all."""
     return messages.where(~F.exists(F.array(_parsed(F.col("value"))), _usable))

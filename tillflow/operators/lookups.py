@@ -3,10 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-SMALL_ROWS = 100_000
-
 
 def lookup(facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     """Adds the columns of ``dimension``, which has one row per ``key``. Facts
@@ -17,13 +13,3 @@ def lookup(facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     hashing and sorting, and split the partitions of keys with too many facts.
     """
     return facts.join(dimension, key, "left")
-
-
-def is_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> bool:
-    """Whether a table has at most ``max_rows`` rows. Counting reads no columns."""
-    return df.count() <= max_rows
-
-
-def small_side(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Marks ``df`` for broadcast if it is small, else returns it without a mark."""
-    return F.broadcast(df) if is_small(df, max_rows) else df

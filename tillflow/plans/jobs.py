@@ -22,12 +22,21 @@ from tillflow.streaming import live
 
 def train_from_csv(
     spark: SparkSession, source: str, test_days: int = TEST_DAYS, inputs: list[str] = FEATURES,
-    **settings: int,
+    rejects: str | None = None, **settings: int,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Transactions in CSV to predictions, their metrics and the importances of the
-    inputs. The CSV is read once; write the predictions where reports look for them.
+    inputs. Write the predictions where reports look for them.
+
+    Lines that do not fit their columns are never trained on in silence: their text goes to
+    ``rejects``, a folder, and without one the first of them is an error.
     """
-    sales, _ = dated(read_csv(spark, source))
+    lines = read_csv(spark, source, mode="PERMISSIVE" if rejects else "FAILFAST",
+                     bad_column="line" if rejects else None)
+    if rejects:
+        lines = stored(lines, "csv-lines")
+        lines.where("line is not null").select("line").write.mode("overwrite").text(rejects)
+        lines = lines.where("line is null").drop("line")
+    sales, _ = dated(lines)
     forest, predictions = train_and_predict(daily_rollup(sales), test_days, inputs, **settings)
     predictions = stored(predictions, "predictions")
     return predictions, evaluate.metrics(predictions), model.importances(forest, predictions, inputs)
@@ -43,10 +52,14 @@ def publish_csv(
 
 def start_live(
     messages: DataFrame, raw: live.BatchSink, totals: live.BatchSink, checkpoint: str,
-    carry: tuple[str, ...] = (), permissive: bool = False, **trigger,
-) -> tuple[StreamingQuery, StreamingQuery]:
-    """Both live queries over one stream definition; each keeps its own place in
-    it, so their tables may for a moment be a batch apart."""
+    carry: tuple[str, ...] = (), permissive: bool = False, rejects: live.BatchSink | None = None,
+    **trigger,
+) -> tuple[StreamingQuery, ...]:
+    """Both live queries over one stream definition, and with ``rejects`` a third for the
+    messages they leave out; each keeps its own place in the stream, so their tables may for
+    a moment be a batch apart."""
+    rejected = () if rejects is None else (
+        live.start_rejects(messages, rejects, f"{checkpoint}/rejects", **trigger),)
     return (
         live.start_raw(
             messages, raw, f"{checkpoint}/raw", permissive=permissive, carry=carry, **trigger
@@ -54,4 +67,5 @@ def start_live(
         live.start_totals(
             messages, totals, f"{checkpoint}/totals", permissive=permissive, **trigger
         ),
+        *rejected,
     )

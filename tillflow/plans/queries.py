@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tillflow.functions import calendar, codec, money, text
@@ -266,13 +267,21 @@ def bounded_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 # --- the live path -----------------------------------------------------------
 
+FILES = 4  # files of a topic; the live queries take one in a batch
+
+
 def _topic(spark: SparkSession, folder: str) -> str:
-    """The transactions, published as messages to files."""
+    """The transactions, published as messages to a few files, so that a live query
+    carries its state over several batches."""
     path = new_folder(spark, "topic")
-    publish_files(retail.transactions(spark, folder), path)
+    publish_files(retail.transactions(spark, folder).repartition(FILES), path)
     return path
 
 
+def _stream(spark: SparkSession, topic: str) -> DataFrame:
+    return live.file_stream(live.live_session(spark), topic, maxFilesPerTrigger="1")
+
+
 def _name(query: str) -> str:
     return f"{query}_{uuid.uuid4().hex[:8]}"
 
@@ -280,7 +289,7 @@ def _name(query: str) -> str:
 def _start_totals(spark: SparkSession, topic: str) -> tuple[str, StreamingQuery]:
     path = new_folder(spark, "live-totals")
     return path, live.start_totals(
-        live.file_stream(live.live_session(spark), topic), live.totals_files(path),
+        _stream(spark, topic), live.totals_files(path),
         new_folder(spark, "totals-checkpoint"), _name("running_totals"),
     )
 
@@ -288,7 +297,7 @@ def _start_totals(spark: SparkSession, topic: str) -> tuple[str, StreamingQuery]
 def _start_raw(spark: SparkSession, topic: str) -> tuple[str, StreamingQuery]:
     path = new_folder(spark, "live-raw")
     return path, live.start_raw(
-        live.file_stream(live.live_session(spark), topic), live.raw_files(path),
+        _stream(spark, topic), live.raw_files(path),
         new_folder(spark, "raw-checkpoint"), _name("raw_records"),
     )
 
@@ -317,6 +326,63 @@ def stream_totals(spark: SparkSession, folder: str) -> DataFrame:
     ))
 
 
+def stream_restart(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals of a query that ran over the first messages, ended, and went on from its
+    checkpoint when the others had come."""
+    topic, path, place = (new_folder(spark, n) for n in ("topic", "live-totals", "totals-checkpoint"))
+    sales = retail.transactions(spark, folder)
+    late = F.col("transaction_id") % 3 == 0
+    for part in (sales.where(~late), sales.where(late)):
+        publish_files(part.repartition(2), topic)
+        live.run_to_end(live.start_totals(
+            _stream(spark, topic), live.totals_files(path), place, _name("running_totals")))
+    emptied(spark, topic)
+    return money_as_double(live.read_totals(spark, path)[0].select(
+        "region", "category", "total_revenue", "total_units_sold"))
+
+
+def null_id_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals of a stream in which every tenth sale has lost its id: no revenue goes with it."""
+    topic, path = new_folder(spark, "topic"), new_folder(spark, "live-totals")
+    sales = retail.transactions(spark, folder)
+    some = F.when(F.col("transaction_id") % 10 != 0, F.col("transaction_id"))
+    publish_files(sales.withColumn("transaction_id", some).repartition(FILES), topic)
+    live.run_to_end(live.start_totals(
+        _stream(spark, topic), live.totals_files(path), new_folder(spark, "totals-checkpoint"),
+        _name("running_totals")))
+    emptied(spark, topic)
+    return money_as_double(live.read_totals(spark, path)[0].select(
+        "region", "category", "total_revenue", "total_units_sold"))
+
+
+def stream_dead_letters(spark: SparkSession, folder: str) -> DataFrame:
+    """What the live queries leave out of the event messages, kept by the third query."""
+    topic, path = new_folder(spark, "topic"), new_folder(spark, "rejects")
+    _event_messages(spark, folder).repartition(FILES).write.parquet(topic)
+    live.run_to_end(live.start_rejects(
+        _stream(spark, topic), live.raw_files(path), new_folder(spark, "rejects-checkpoint"), _name("rejects")))
+    emptied(spark, topic)
+    kept = spark.read.parquet(path)
+    return kept.where(F.col("received_at").isNotNull()).select(
+        F.col("key").cast("string").cast("long").alias("event_id"), F.col("value").cast("string").alias("message"))
+
+
+def csv_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of a CSV whose date or amount is no such thing, kept as their text."""
+    path = new_folder(spark, "bad-csv")
+    events = table(spark, folder, "events")
+    day = F.col("ts").cast("date").cast("string")
+    lines = events.select(
+        F.col("event_id").cast("string").alias("transaction_id"),
+        F.when(F.col("event_type") == "error", F.concat(F.lit("bad "), day)).otherwise(day).alias("date"),
+        F.when(F.col("event_type") == "view", F.lit("much")).otherwise(F.lit("1.50")).alias("sales_amount"))
+    write_csv(lines, path)
+    schema = T.StructType([TRANSACTION[n] for n in ("transaction_id", "date", "sales_amount")])
+    # A query of the line alone would not parse the fields, and find no bad one.
+    rows = stored(read_csv(spark, path, schema, bad_column="line"), "csv-lines")
+    return rows.where("line is not null").select("line")
+
+
 def stream_raw_append(spark: SparkSession, folder: str) -> DataFrame:
     return money_as_double(_raw_table(spark, folder).select(*TRANSACTION.fieldNames()))
 
@@ -375,6 +441,7 @@ QUERIES: dict[str, Query] = {
         region_category_totals, top15_groups, totals_text, live_totals, recent_events_20,
         json_roundtrip, json_good_rows, json_dead_letter,
         csv_roundtrip, appended_orders, bounded_scan,
+        csv_rejects, null_id_totals, stream_dead_letters, stream_restart,
         published_messages, stream_totals, stream_raw_append, stream_throughput, live_snapshot,
         rf_predictions, rf_metrics, rf_importances,
     )

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.functions import calendar, money, text
-from tillflow.operators.lookups import SMALL_ROWS, is_small, lookup, small_side
+from tillflow.operators.lookups import lookup
 from tillflow.operators.totals import daily_rollup, group_totals, merge_totals
 from tillflow.schema import TRANSACTION
 from tillflow.sources.files import spread, table
@@ -64,14 +64,15 @@ def stores(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def places(spark: SparkSession, folder: str) -> DataFrame:
-    """Nations with the name of their region: a short list, checked to be one."""
+    """Nations with the name of their region. Spark broadcasts the short list if its files
+    are below the threshold."""
     nations = table(spark, folder, "nation").select(
         F.col("n_nationkey").alias("nation_key"), F.col("n_regionkey").alias("region_key")
     )
     regions = table(spark, folder, "region").select(
         F.col("r_regionkey").alias("region_key"), F.col("r_name").alias("region")
     )
-    return small_side(lookup(nations, regions, "region_key").drop("region_key"))
+    return lookup(nations, regions, "region_key").drop("region_key")
 
 
 def with_region(df: DataFrame, stores: DataFrame, places: DataFrame) -> DataFrame:
@@ -100,18 +101,10 @@ def daily_revenue(spark: SparkSession, folder: str) -> DataFrame:
     return daily_rollup(priced_lines(spark, folder))
 
 
-def region_category_totals(
-    spark: SparkSession, folder: str, few_stores: int = SMALL_ROWS
-) -> DataFrame:
-    """Totals per region and category.
-
-    Few stores are broadcast, and each task sums its lines to the few groups at
-    once. Of many stores the lines are summed per store and category first: what
-    meets the store table is a few rows per store, however many lines one has.
-    """
+def region_category_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals per region and category. The lines are summed per store and category
+    first: what meets the store table is a few rows per store, however many lines one has."""
     lines, by_key = priced_lines(spark, folder), stores(spark, folder)
-    where = places(spark, folder)
-    if is_small(by_key, few_stores):
-        return group_totals(with_region(lines, F.broadcast(by_key), where), "region", "category")
     per_store = group_totals(lines, "store_key", "category")
-    return merge_totals(with_region(per_store, by_key, where), "region", "category")
+    placed = with_region(per_store, by_key, places(spark, folder))
+    return merge_totals(placed, "region", "category")

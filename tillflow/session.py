@@ -8,40 +8,39 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
-PARTITION_BYTES = 128 * 1024 * 1024
+PARTITION_BYTES = 1024**3
 LEAST_PARTITIONS = 200
 
 
 def build_session(
-    app: str = "tillflow", master: str | None = None, data_bytes: int | None = None, **conf: str
+    app: str = "tillflow", master: str | None = None, shuffled_bytes: int | None = None, **conf: str
 ) -> SparkSession:
     """A session in UTC with adaptive execution; ``conf`` keys use ``__`` for dots.
 
-    ``data_bytes`` is the size of the facts and sets the partitions of a shuffle.
+    ``shuffled_bytes`` is what the largest shuffle will move, and sets its partitions: the
+    facts themselves for a join that moves them, a few groups a task for a roll-up.
     """
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # Dimensions too large to broadcast, whose partitions turn out to fit in
-        # memory, are hashed: the facts then need no sort.
-        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "128MB")
         .config("spark.ui.enabled", "false")
     )
     if master:
         builder = builder.master(master)
-    if data_bytes:
-        builder = builder.config("spark.sql.shuffle.partitions", shuffle_partitions(data_bytes))
+    if shuffled_bytes:
+        builder = builder.config("spark.sql.shuffle.partitions", shuffle_partitions(shuffled_bytes))
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
 
 
-def shuffle_partitions(data_bytes: int) -> int:
-    """A partition for every 128 MB. Adaptive execution merges partitions that turn
-    out small, but does not split evenly filled ones that are too large."""
-    return max(LEAST_PARTITIONS, -(-data_bytes // PARTITION_BYTES))
+def shuffle_partitions(shuffled_bytes: int) -> int:
+    """A partition for every gigabyte that is shuffled. Every task writes an index of all
+    of them, so small partitions cost more than they help; adaptive execution merges those
+    that turn out small and splits those of hot keys in joins."""
+    return max(LEAST_PARTITIONS, -(-shuffled_bytes // PARTITION_BYTES))
 
 
 def shared_root(spark: SparkSession) -> str:

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-WRITERS = 16
+WRITERS = 16  # connections of a write; ``numPartitions`` of a call overrides it
 
 
 @dataclass(frozen=True)
@@ -57,6 +57,8 @@ class Database:
         self._write(df, "overwrite", dbtable=name, truncate="true", **more)
 
     def _write(self, df: DataFrame, mode: str, **more: str) -> None:
-        # However many executors there are, the database meets a few writers.
+        # However many executors there are, the database meets a few writers. The rows are
+        # dealt out to them: Spark's own limit would merge partitions and so do all the work
+        # before the write in as few tasks.
         options = self.options(**{"numPartitions": str(WRITERS), **more})
-        df.write.format("jdbc").options(**options).mode(mode).save()
+        df.repartition(int(options["numPartitions"])).write.format("jdbc").options(**options).mode(mode).save()

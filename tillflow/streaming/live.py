@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tillflow.functions.codec import decode
+from tillflow.functions.codec import dead_letters, decode
 from tillflow.operators.totals import group_totals
 from tillflow.schema import LIVE_RAW, LIVE_TOTALS, MESSAGE
 from tillflow.sinks.files import preview
@@ -70,7 +70,8 @@ def file_stream(spark: SparkSession, path: str, **options: str) -> DataFrame:
     stream. ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` bounds a batch; by
     default a batch is large enough to keep a cluster busy and small enough to be
     repeated when it fails."""
-    options = options or {"maxBytesPerTrigger": str(BATCH_BYTES)}
+    if not {"maxFilesPerTrigger", "maxBytesPerTrigger"} & options.keys():
+        options = {**options, "maxBytesPerTrigger": str(BATCH_BYTES)}
     return spark.readStream.schema(MESSAGE).options(**options).parquet(path)
 
 
@@ -136,11 +137,13 @@ def _started(
             # A few rows out of the state, computed once for the test and the
             # write. A batch of raw rows is not tested: that would read it twice.
             batch = batch.persist()
-        if mode != "complete" or not batch.isEmpty():
-            if show:
-                preview(batch, show)
-            sink(batch, batch_id)
-        batch.unpersist()
+        try:
+            if mode != "complete" or not batch.isEmpty():
+                if show:
+                    preview(batch, show)
+                sink(batch, batch_id)
+        finally:
+            batch.unpersist()
 
     return (
         df.writeStream.outputMode(mode)
@@ -175,10 +178,24 @@ def start_totals(
     )
 
 
-def run_together(spark: SparkSession, *queries: StreamingQuery) -> None:
-    """Waits until any query of the session ends, then stops the given ones."""
+def start_rejects(
+    messages: DataFrame, sink: BatchSink, checkpoint: str, name: str = "rejects", **trigger,
+) -> StreamingQuery:
+    """Appends every message that the other queries leave out, as it came, with its time of
+    arrival: no message goes without a trace."""
+    return _started(
+        dead_letters(messages), "append", sink, "received_at", name, checkpoint,
+        trigger or {"availableNow": True}, 0,
+    )
+
+
+def run_together(*queries: StreamingQuery, poll_seconds: float = 1.0) -> None:
+    """Waits until any of the given queries ends, then stops the others. Only these are
+    looked at: other queries of the session, ended or not, do not matter. The error of the
+    query that failed is raised."""
     try:
-        spark.streams.awaitAnyTermination()
+        while not any(query.awaitTermination(poll_seconds) for query in queries):
+            pass
     finally:
         for query in queries:
             query.stop()
