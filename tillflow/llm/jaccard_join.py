@@ -36,7 +36,8 @@ from tillflow.llm.components import components
 from tillflow.session import stored
 
 CELL_BITS = 20
-PROFILE = 64
+PROFILE_BITS = 9
+PROFILE = 1 << PROFILE_BITS
 BATCH_BYTES = 8_000_000
 REGION_SHINGLES = 4_000_000  # shingles of a region that one task joins
 PIVOTS = 8
@@ -98,10 +99,11 @@ def class_of(shingles: np.ndarray) -> int:
 
 
 def profile_of(shingles: np.ndarray) -> bytes:
-    """How many shingles fall into each of 64 parts; the differences of two profiles never
-    add up to more than what the sets differ in."""
-    return np.minimum(np.bincount((shingles >> U(58)).astype(np.int64), minlength=PROFILE), 255).astype(
-        np.uint8).tobytes()
+    """How many shingles fall into each of 512 parts; the differences of two profiles never
+    add up to more than what the sets differ in. With that many parts, profiles of
+    strangers are farther apart than the limit even for sets of 20,000."""
+    parts = (shingles >> U(64 - PROFILE_BITS)).astype(np.int64)
+    return np.minimum(np.bincount(parts, minlength=PROFILE), 255).astype(np.uint8).tobytes()
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes]]]:
