@@ -85,4 +85,11 @@ QUERIES: dict[str, Query] = {
         op8_mixing, op9_bpe, op10_pii)
 }
 
-SQL: dict[str, str] = {}
+#: The others have a model, a bounded recursion or a vocabulary in them that SQL lacks.
+SQL: dict[str, str] = {
+    "op1_exact_dedup": """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+}
