@@ -153,8 +153,14 @@ def test_database_writes_append_or_replace_in_place():
     class Frame:
         write = Recorder()
 
+        @classmethod
+        def repartition(cls, n):
+            cls.writers = n
+            return cls
+
     database = Database("jdbc:x:db", "x.Driver")
     database.append(Frame, "raw")
+    assert Frame.writers == 16
     assert Frame.write.seen == {
         "format": "jdbc", "url": "jdbc:x:db", "driver": "x.Driver", "dbtable": "raw", "mode": "append", "saved": True,
         "numPartitions": "16",

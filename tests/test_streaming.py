@@ -96,7 +96,7 @@ def test_a_repeated_batch_replaces_itself(spark, make_tx, tmp_path):
         sums(frame, batch_id)
         sums(frame, batch_id)
         assert totals(spark, path) == expected(make_tx(*rows(0, n)))
-    assert len(list((tmp_path / "totals").glob("slot=*"))) == live.SLOTS
+    assert len(list((tmp_path / "totals").glob("state-*"))) == 10
 
 
 def test_rows_already_written_to_a_database_are_left_out(spark):
@@ -296,3 +296,39 @@ def test_a_failed_batch_runs_again_without_doubling(spark, make_tx, tmp_path, br
     found = live.read_raw(spark, f"{path}/raw")[0]
     assert sorted(r.transaction_id for r in found.collect()) == list(range(30))
     assert totals(spark, path) == expected(make_tx(*rows(0, 30)))
+
+
+def test_a_reader_keeps_the_state_it_has(spark, make_tx, tmp_path):
+    path = str(tmp_path)
+    sink = live.totals_files(f"{path}/totals")
+    state = group_totals(make_tx(*rows(0, 8)), "region", "category").withColumn("updated_at", F.current_timestamp())
+    sink(state.limit(1), 0)
+    held, found = live.read_totals(spark, f"{path}/totals")
+    before = held.collect()
+    for batch in range(1, 6):
+        sink(state, batch)
+    assert found and held.collect() == before
+    assert live.read_totals(spark, f"{path}/totals")[0].count() == state.count()
+
+
+def test_states_that_were_replaced_long_ago_are_deleted(spark, make_tx, tmp_path):
+    path = f"{tmp_path}/totals"
+    state = group_totals(make_tx(*rows(0, 4)), "region", "category").withColumn("updated_at", F.current_timestamp())
+    for batch in range(4):
+        live.totals_files(path, keep_hours=-1)(state, batch)
+    assert [n for n, _ in live._states(spark, path)] == [2, 3]
+
+
+def test_a_new_checkpoint_is_not_stale_and_loses_no_raw_row(spark, make_tx, tmp_path):
+    path = str(tmp_path)
+    for i in range(3):
+        publish(make_tx(*rows(10 * i, 10)).coalesce(1), "parquet", path=f"{path}/topic")
+    run_totals(spark, path, maxFilesPerTrigger="1")
+    run_raw(spark, path, maxFilesPerTrigger="1")
+    publish(make_tx(*rows(0, 4)), "parquet", path=f"{path}/new-topic")
+    stream = live.file_stream(spark, f"{path}/new-topic")
+    live.run_to_end(
+        live.start_totals(stream, live.totals_files(f"{path}/totals"), f"{path}/new-totals", name()),
+        live.start_raw(stream, live.raw_files(f"{path}/raw", run="second"), f"{path}/new-raw", name()))
+    assert totals(spark, path) == expected(make_tx(*rows(0, 4)))
+    assert live.read_raw(spark, f"{path}/raw")[0].count() == 34

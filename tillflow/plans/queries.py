@@ -297,7 +297,7 @@ def _start_totals(spark: SparkSession, topic: str) -> tuple[str, StreamingQuery]
 def _start_raw(spark: SparkSession, topic: str) -> tuple[str, StreamingQuery]:
     path = new_folder(spark, "live-raw")
     return path, live.start_raw(
-        _stream(spark, topic), live.raw_files(path),
+        _stream(spark, topic), live.raw_files(path, run=uuid.uuid4().hex),
         new_folder(spark, "raw-checkpoint"), _name("raw_records"),
     )
 

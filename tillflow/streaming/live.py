@@ -7,6 +7,7 @@ failed half way may simply run again.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,7 @@ from tillflow.sources.files import read_if_exists
 from tillflow.sources.jdbc import Database
 
 BATCH = "batch_id"
-SLOTS = 3
+RUN = "run"
 STATE_PARTITIONS = 8
 BATCH_BYTES = 1024**4
 BATCH_MESSAGES = 1_000_000_000
@@ -84,22 +85,47 @@ def running_totals(transactions: DataFrame) -> DataFrame:
 
 # --- targets -----------------------------------------------------------------
 
-def raw_files(path: str) -> BatchSink:
-    """Appends a batch under its own number; running it again replaces it."""
+def raw_files(path: str, run: str = "0") -> BatchSink:
+    """Appends a batch under its run and number; running it again replaces it. Numbers
+    start anew with a checkpoint: give each checkpoint a ``run`` of its own, else its
+    batches replace those of the one before."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{path}/{RUN}={run}/{BATCH}={batch_id}")
     return sink
 
 
-def totals_files(path: str) -> BatchSink:
-    """Replaces the totals. Batches take turns in a few slots, so readers find the
-    last complete totals while new ones are written, and old ones are reused."""
+def totals_files(path: str, keep_hours: float = 24.0) -> BatchSink:
+    """Replaces the totals. Every state is a folder of its own, numbered on from those
+    there, and counts once its write has succeeded: readers see the last complete one, also
+    after a new checkpoint. A state is deleted ``keep_hours`` after it was replaced, which
+    is how long a reader may hold it. One query writes to a path."""
     def sink(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        states = _states(spark, path)
+        number = states[-1][0] + 1 if states else 0
         numbered = batch.withColumn(BATCH, F.lit(batch_id).cast("long"))
-        numbered.coalesce(1).write.mode("overwrite").parquet(f"{path}/slot={batch_id % SLOTS}")
+        numbered.coalesce(1).write.mode("overwrite").parquet(_state(path, number))
+        replaced_before = time.time() - keep_hours * 3600
+        for (old, _), (_, replaced) in zip(states, states[1:]):
+            if replaced < replaced_before:
+                folder = spark._jvm.org.apache.hadoop.fs.Path(_state(path, old))
+                folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
     return sink
 
 
+def _state(path: str, number: int) -> str:
+    return f"{path}/state-{number:012d}"
+
+
+def _states(spark: SparkSession, path: str) -> list[tuple[int, float]]:
+    """Number and time of every complete state, in order."""
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/state-*/_SUCCESS")
+    found = done.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(done) or []
+    return sorted(
+        (int(f.getPath().getParent().getName().removeprefix("state-")), f.getModificationTime() / 1000)
+        for f in found)
+
+
 def raw_database(
     database: Database, table: str, keys: tuple[str, ...] = COORDINATES, **options: str
 ) -> BatchSink:
@@ -211,14 +237,16 @@ def run_to_end(*queries: StreamingQuery) -> None:
 
 def read_raw(spark: SparkSession, path: str) -> tuple[DataFrame, bool]:
     """All raw rows and whether there is a table yet."""
-    return read_if_exists(spark, path, LIVE_RAW)
+    rows, found = read_if_exists(spark, path, LIVE_RAW)
+    return rows.drop(RUN), found
 
 
 def read_totals(spark: SparkSession, path: str) -> tuple[DataFrame, bool]:
     """The totals of the last batch and whether there is a table yet."""
-    slots, found = read_if_exists(spark, path, LIVE_TOTALS, ignoreMissingFiles="true")
-    newest = slots.agg(F.max(BATCH)).scalar()
-    return slots.where(F.col(BATCH) == newest).drop("slot"), found
+    states = _states(spark, path)
+    if not states:
+        return spark.createDataFrame([], LIVE_TOTALS), False
+    return spark.read.schema(LIVE_TOTALS).parquet(_state(path, states[-1][0])), True
 
 
 def batch_rates(raw: DataFrame) -> DataFrame:
