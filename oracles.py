@@ -240,8 +240,9 @@ SELECT count(*) > 0 AS has_data,
        string_agg(strftime(date, '%Y-%m-%d'), ',' ORDER BY date) AS dates,
        string_agg(CAST(CAST(actual_revenue AS DECIMAL(28,2)) AS VARCHAR), ',' ORDER BY date) AS actual,
        string_agg(CAST(CAST(actual_revenue AS DECIMAL(28,2)) AS VARCHAR), ',' ORDER BY date) AS scatter_x,
-       CAST(count(predicted_revenue) AS INTEGER) AS predicted_points,
-       CAST(count(error) AS INTEGER) AS error_points
+       string_agg(CAST(CAST(floor(predicted_revenue * 100) AS BIGINT) AS VARCHAR), ',' ORDER BY date) AS predicted,
+       string_agg(CAST(CAST(floor(predicted_revenue * 100) AS BIGINT) AS VARCHAR), ',' ORDER BY date) AS scatter_y,
+       string_agg(CAST(CAST(round(round(error, 2) * 100) AS BIGINT) AS VARCHAR), ',' ORDER BY date) AS errors
 FROM errors""",
     "region_category_totals": "WITH" + TOTALS + """
 SELECT region, category, total_revenue, total_units_sold FROM totals""",

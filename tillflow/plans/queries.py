@@ -157,11 +157,17 @@ def chart_series(spark: SparkSession, folder: str) -> DataFrame:
     def cents(name: str) -> Column:
         return F.transform(name, lambda x: x.cast("decimal(28,2)").cast("string"))
 
+    def whole(name: str) -> Column:
+        """Whole cents, cut off: the doubles themselves print differently in other engines."""
+        return F.transform(name, lambda x: F.floor(x * 100).cast("string"))
+
     return lists.select(
         "has_data", F.concat_ws(",", "dates").alias("dates"),
         F.concat_ws(",", cents("actual")).alias("actual"),
         F.concat_ws(",", cents("scatter.x")).alias("scatter_x"),
-        F.size("predicted").alias("predicted_points"), F.size("errors").alias("error_points"),
+        F.concat_ws(",", whole("predicted")).alias("predicted"),
+        F.concat_ws(",", whole("scatter.y")).alias("scatter_y"),
+        F.concat_ws(",", F.transform("errors", lambda x: F.round(x * 100).cast("long").cast("string"))).alias("errors"),
     )
 
 
