@@ -114,7 +114,7 @@ def _cells(keys: DataFrame, depth: int) -> DataFrame:
     ).withColumn("depth", F.lit(depth))
 
 
-def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity: int = 4096,
+def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity: int = 512,
                 held_bytes: int = 48_000_000, key: Callable[[Column], Column] | None = None) -> Index:
     """The index of all texts; its files lie in the shared folder.
 
