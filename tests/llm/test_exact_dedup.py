@@ -59,7 +59,7 @@ def test_keep_returns_one_row_of_each_text(odd_docs):
     kept = op.keep(odd_docs)
     assert kept.columns == odd_docs.columns
     texts = sorted((r.text or "") for r in kept.collect())
-    assert texts == sorted({(r.text or "") for r in odd_docs.collect() if r.doc_id is not None})
+    assert texts == sorted({(r.text or "") for r in odd_docs.collect()})
 
 
 def test_empty(make_docs):
