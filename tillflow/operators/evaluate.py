@@ -60,7 +60,9 @@ def metrics(predictions: DataFrame) -> DataFrame:
         F.size(days).cast("long").alias("days"),
         F.sqrt(mean(days, lambda day: _error(day) * _error(day))).alias("rmse"),
         mean(days, lambda day: F.abs(_error(day))).alias("mae"),
-        F.when(F.col("spread") != 0, 1 - total(days, lambda day: _error(day) * _error(day)) / F.col("spread")).alias("r2"),
+        F.when(
+            F.col("spread") != 0, 1 - total(days, lambda day: _error(day) * _error(day)) / F.col("spread"),
+        ).alias("r2"),
         F.coalesce(mean(days, _percent), F.lit(0.0)).alias("mape"),
     ).withColumn("quality", errors.quality(F.col("mape")))
 

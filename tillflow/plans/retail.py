@@ -39,8 +39,8 @@ def with_promotion(lines: DataFrame) -> DataFrame:
 
 
 def priced(lines: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
-    """Sale lines with category and amount in cents. What follows from a line's own columns is derived after the join, which
-    then has fewer columns to move if it has to shuffle."""
+    """Sale lines with category and amount in cents. What follows from a line's own columns
+    is derived after the join, which then has fewer columns to move if it has to shuffle."""
     products = table(spark, folder, "part").select(
         F.col("p_partkey").alias("product_key"),
         F.col("p_type").alias("category"),
