@@ -142,9 +142,9 @@ def _occurrences(marked: DataFrame) -> DataFrame:
                     (s["at"] + p["gap"] + F.length(p["term"])).alias("end")))).alias("found")))["found"])
     # A word that the reach cuts is not looked at: the first on the left, the last on the right.
     n = F.size("placed") - F.col("cut").cast("int")
-    chosen = F.when(F.col("before"), F.slice("placed", F.greatest(F.size("placed") - F.least(n, F.lit(NEAR)) + 1, F.lit(1)),
-                                             F.greatest(F.least(n, F.lit(NEAR)), F.lit(0)))).otherwise(
-        F.slice("placed", F.lit(1), F.greatest(F.least(n, F.lit(NEAR)), F.lit(0))))
+    taken = F.greatest(F.least(n, F.lit(NEAR)), F.lit(0))
+    last = F.greatest(F.size("placed") - F.least(n, F.lit(NEAR)) + 1, F.lit(1))
+    chosen = F.when(F.col("before"), F.slice("placed", last, taken)).otherwise(F.slice("placed", F.lit(1), taken))
     terms = placed.select("doc_id", "key", "base", "entity", F.explode(chosen).alias("t")).select(
         "doc_id", "key", "base", "entity", "t.*")
     inside = F.exists("base", lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start")))

@@ -12,7 +12,18 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm import bpe, exact_dedup, html_text, jaccard_join, licences, mixing, pii, quality_rules, suffix_dedup, url_templates
+from tillflow.llm import (
+    bpe,
+    exact_dedup,
+    html_text,
+    jaccard_join,
+    licences,
+    mixing,
+    pii,
+    quality_rules,
+    suffix_dedup,
+    url_templates,
+)
 from tillflow.sources.files import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,8 +92,8 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
-        op1_exact_dedup, op2_html_text, op3_suffix_dedup, op4_jaccard_join, op5_quality_rules, op6_url_templates, op7_licences,
-        op8_mixing, op9_bpe, op10_pii)
+        op1_exact_dedup, op2_html_text, op3_suffix_dedup, op4_jaccard_join, op5_quality_rules,
+        op6_url_templates, op7_licences, op8_mixing, op9_bpe, op10_pii)
 }
 
 #: The others have a model, a bounded recursion or a vocabulary in them that SQL lacks.
