@@ -41,6 +41,10 @@ BATCH_BYTES = 8_000_000
 REGION_SHINGLES = 4_000_000  # shingles of a region that one task joins
 PIVOTS = 8
 LEAF = 24
+#: Cells are taken if they have so many times the members in all, and in the largest. Two cells
+#: of 0.7 keep the recursion below the square of the members; larger ones could double at
+#: every level.
+MOST_IN_ALL, MOST_IN_ONE = 1.5, 0.7
 
 
 @dataclass(frozen=True)
@@ -360,7 +364,8 @@ class Region:
             below = list(self.cells(rest, apart))
             # Where pivots do not tell the members apart, they have at least been settled
             # themselves: the rest goes on as one region, so that the work stays quadratic at most.
-            work += below if sum(map(len, below)) <= 2 * len(rest) else [rest]
+            sizes = [len(cell) for cell in below]
+            work += below if sum(sizes) <= MOST_IN_ALL * len(rest) and max(sizes) <= MOST_IN_ONE * len(rest) else [rest]
 
     def cells(self, rest: np.ndarray, apart: np.ndarray) -> Iterator[np.ndarray]:
         """The Voronoi cells with what is replicated into them from beyond their borders.
@@ -460,8 +465,12 @@ def cells_below(measured: DataFrame, rule: Rule) -> DataFrame:
         F.lit(-2).alias("k"), F.get("apart", F.lit(0)).alias("distance"), F.get("linked", F.lit(0)).alias("ball"),
         F.lit(True).alias("core"))).cast(kind)
     placed = measured.withColumn("nearest", nearest).withColumn("cells", F.concat(cells, remote))
-    useless = placed.groupBy(F.col("region").alias("of")).agg(
-        (F.sum(F.size("cells")) > 2 * F.count("*")).alias("useless"))
+    members = placed.groupBy(F.col("region").alias("of")).agg(F.count("*").alias("members"))
+    useless = placed.select("region", F.explode("cells.k").alias("k")).groupBy("region", "k").agg(
+        F.count("*").alias("n")).groupBy("region").agg(
+        F.sum("n").alias("all"), F.max("n").alias("most")).join(members, F.col("region") == F.col("of")).select(
+        "of", ((F.col("all") > MOST_IN_ALL * F.col("members"))
+               | (F.col("most") > MOST_IN_ONE * F.col("members"))).alias("useless"))
     rows = placed.join(useless, F.col("region") == F.col("of")).select(
         "region", "cls", F.explode(F.when(F.col("useless"), whole).otherwise(F.col("cells"))).alias("cell"),
     ).select(F.xxhash64("region", "cell.k").alias("region"), "cls", "cell.distance", "cell.ball", "cell.core")
