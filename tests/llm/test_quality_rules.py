@@ -1,3 +1,4 @@
+import math
 import re
 from collections import Counter
 
@@ -69,3 +70,21 @@ def test_no_labels_and_no_documents(make_docs, labels):
     assert op.quality_rules(make_docs([]), labels).collect() == []
     row = op.quality_rules(make_docs([" ".join(f"w{i}" for i in range(60))]), labels.limit(0)).first()
     assert row.kept
+
+
+def test_target_counts_every_trusted_document(spark, make_docs):
+    n, buckets = 20_400, 1 << 10
+    docs = make_docs([(i % n if i < 2 * n else None, f"t{i % n}") for i in range(2 * n + 5)])
+    trusted = spark.range(n - 200).withColumnRenamed("id", "doc_id")
+    chosen = op.of_trusted(docs.selectExpr("doc_id as id", "text"), trusted.unionByName(trusted))
+    assert sorted(r.id for r in chosen.collect()) == sorted(2 * list(range(n - 200)))
+    # With all documents trusted the target is the raw distribution.
+    everything = spark.range(n).withColumnRenamed("id", "doc_id")
+    plain = docs.where("doc_id is not null")
+    counted = {r.bucket: r.n for r in op._bucket_sums(plain.select("text"), buckets).collect()}
+    share = {b: (c + 1) / (2 * n + buckets) for b, c in counted.items()}
+    weight = op.SMOOTHING * buckets
+    ratios = op.log_ratios(plain, everything, buckets=buckets)
+    for b, c in counted.items():
+        wanted = math.log((c + weight * share[b]) / (2 * n + weight)) - math.log(share[b])
+        assert ratios[b] == pytest.approx(wanted)

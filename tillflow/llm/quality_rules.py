@@ -19,7 +19,6 @@ BUCKETS = 16_384
 SYMBOLS = "#*$%&|<>"
 THRESHOLD = -0.08
 SMOOTHING = 8
-TRUSTED = 20_000  # trusted documents that the target is counted from
 
 
 def without(text: Column, characters: str) -> Column:
@@ -89,20 +88,26 @@ def ngram_buckets(tokens: Column, buckets: int = BUCKETS) -> Column:
     return F.when(size < 2, single).otherwise(F.concat(single, pairs))
 
 
+def of_trusted(whole: DataFrame, trusted: DataFrame) -> DataFrame:
+    """The rows of ``whole`` (id, text) whose id is in ``trusted`` (doc_id), all of them."""
+    marks = trusted.select(F.col("doc_id").cast("long").alias("trusted_id")).where(
+        "trusted_id is not null").distinct()
+    # The ids make the hash tables: no text is sorted.
+    return whole.where("id is not null").join(
+        marks.hint("shuffle_hash"), F.col("id") == F.col("trusted_id"), "left_semi")
+
+
 def log_ratios(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text",
-               buckets: int = BUCKETS, trusted_documents: int = TRUSTED) -> list[float]:
+               buckets: int = BUCKETS) -> list[float]:
     """log p_target - log p_raw of every bucket. The target is smoothed towards the raw
     distribution by ``SMOOTHING`` n-grams a bucket: without a trusted document all
     ratios are 0.
 
-    Target counts are of ``trusted_documents`` of the ids in ``trusted`` (doc_id), those
-    of least hash; their ids are few enough to broadcast. Raw counts are of all
-    documents. Only ``buckets`` sums reach the driver, whatever the size of the corpus.
+    Target counts are of all documents whose id is in ``trusted`` (doc_id), raw counts of
+    all documents. Only ``buckets`` sums reach the driver, whatever the size of the corpus.
     """
-    marks = trusted.select(F.col("doc_id").alias("trusted_id")).where("trusted_id is not null").distinct(
-    ).orderBy(F.xxhash64("trusted_id"), "trusted_id").limit(trusted_documents)
-    whole = docs.select(F.col(doc_id).alias("id"), text_or_empty(text).alias("text"))
-    chosen = whole.join(F.broadcast(marks), F.col("id") == F.col("trusted_id"), "left_semi")
+    whole = docs.select(F.col(doc_id).cast("long").alias("id"), text_or_empty(text).alias("text"))
+    chosen = of_trusted(whole, trusted)
     counts = _bucket_sums(whole, buckets).withColumnRenamed("n", "raw")
     target = _bucket_sums(chosen, buckets).withColumnRenamed("n", "target")
     raw, target_n = [1] * buckets, [0] * buckets
@@ -138,8 +143,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
     """Per row of ``docs``: doc_id, the counts, base_failed, score, kept.
 
     ``labels`` (doc_id, quality) names the trusted documents by quality 1 (the target is
-    counted from at most 20,000 of them, all else from every document); a null label
-    or doc_id trusts nothing. ``kept`` is false if the rules fail, else whether the score
+    counted from all of them); a null label or doc_id trusts nothing. ``kept`` is false if the rules fail, else whether the score
     reaches ``threshold``; the same text has the same score in any run over the same
     corpus. Null text counts as empty: no words, base_failed, score null. Every row is
     answered, repeated doc_ids each for itself; other columns are ignored. With no
