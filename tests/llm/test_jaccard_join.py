@@ -107,3 +107,27 @@ def test_components(spark):
     found = components(spark.createDataFrame(links, "a long, b long")).collect()
     assert {(r.vertex, r.component) for r in found} == {
         *((v, 1) for v in (1, 2, 3, 20)), (4, 4), (5, 4), *((v, 10) for v in range(10, 15))}
+
+
+def texts_apart(n, words=30):
+    return [" ".join(f"t{i}x{k}" for k in range(words)) for i in range(n)]
+
+
+def test_null_ids_and_shared_ids_keep_all_unlike_texts(make_docs):
+    a, b, c, d, e, f = texts_apart(6)
+    near = c + " more"
+    rows = [(None, a), (None, b), (None, b), (None, c), (None, near), (7, d), (7, e), (None, ""), (None, " "),
+            (9, f), (None, f + " more")]
+    kept = sorted((r.doc_id, r.text) for r in op.keep(make_docs(rows)).collect() if r.doc_id is not None)
+    assert kept == sorted([(7, d), (7, e), (9, f)])
+    nameless = [r.text for r in op.keep(make_docs(rows)).collect() if r.doc_id is None]
+    assert len(nameless) == 5 and {a, b, "", " "} < set(nameless)
+    assert len({c, near} & set(nameless)) == 1
+
+
+def test_class_without_an_id_bridges_others(make_docs):
+    words = [f"b{k}" for k in range(100)]
+    rows = [(3, " ".join(words)), (None, " ".join([*words, *(f"m{k}" for k in range(12))])),
+            (5, " ".join([*words, *(f"m{k}" for k in range(24))]))]
+    assert brute(rows)[0][2] == brute(rows)[1][2] == brute(rows)[2][2] == 3
+    assert answers(op.jaccard_join(make_docs(rows))) == brute(rows)

@@ -21,12 +21,13 @@ for the components, and every one of them is exact.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillflow.llm import bytehash
@@ -130,8 +131,8 @@ def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def describe(texts: DataFrame, rule: Rule) -> DataFrame:
-    """Per row doc_id, n, cls, profile; besides, rows (cell, weight) of the shingle
-    cells that are heavy in a task."""
+    """Per row doc_id, n, cls, profile, sha (of the text); besides, rows (cell, weight) of the
+    shingle cells that are heavy in a task."""
     width = rule.width
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,17 +145,19 @@ def describe(texts: DataFrame, rule: Rule) -> DataFrame:
                 pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([class_of(s) for s in sets], pa.int64()),
                 pa.array([profile_of(s) for s in sets], pa.binary()),
+                pa.array([hashlib.sha256(t).digest() for t in raw], pa.binary()),
                 pa.nulls(len(ids), pa.int32()), pa.nulls(len(ids), pa.int64()),
             ], names=names)
         mean = cells.mean()
         heavy = np.flatnonzero(cells > max(2.0, mean + 6 * mean ** 0.5))
         yield pa.RecordBatch.from_arrays([
-            *(pa.nulls(len(heavy), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.binary())),
+            *(pa.nulls(len(heavy), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())),
             pa.array(heavy, pa.int32()), pa.array(cells[heavy], pa.int64()),
         ], names=names)
 
-    names = ["doc_id", "n", "cls", "profile", "cell", "weight"]
-    return texts.mapInArrow(work, "doc_id long, n long, cls long, profile binary, cell int, weight long")
+    names = ["doc_id", "n", "cls", "profile", "sha", "cell", "weight"]
+    return texts.mapInArrow(
+        work, "doc_id long, n long, cls long, profile binary, sha binary, cell int, weight long")
 
 
 def cell_levels(described: DataFrame) -> np.ndarray:
@@ -500,35 +503,53 @@ def jaccard_join(docs: DataFrame, width: int = 4, percent: int = 85, doc_id: str
     an empty table gives an empty one. Sets are compared by 64-bit hashes of n-grams.
     ``region_shingles`` bounds what a task joins at once.
     """
+    return _joined(docs, width, percent, doc_id, text, region_shingles).select(
+        "doc_id", "n_shingles", "component_id")
+
+
+def _joined(docs: DataFrame, width: int = 4, percent: int = 85, doc_id: str = "doc_id", text: str = "text",
+            region_shingles: int = REGION_SHINGLES) -> DataFrame:
+    """`jaccard_join` with the sha of the text and the component's class (null without words)."""
     rule = Rule(width, percent)
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = _texts(docs, doc_id, text)
     described = stored(describe(texts, rule), "shingles")
-    rows = described.where("n is not null").select("doc_id", "n", "cls", "profile")
+    rows = described.where("n is not null").select("doc_id", "n", "cls", "profile", "sha")
     levels = cell_levels(described)
     classes = stored(rows.where("n > 0").groupBy("cls").agg(
-        F.min("doc_id").alias("least"), F.min("n").alias("n"), F.min("profile").alias("profile")), "classes")
+        F.min("doc_id").alias("least"), F.min("n").alias("n"), F.min("profile").alias("profile"),
+        F.min("sha").alias("sha")), "classes")
     links = class_links(texts, classes, rows, rule, levels, partitions, region_shingles)
     found = components(links)
     labelled = classes.select("cls", "least").join(found.withColumnRenamed("vertex", "cls"), "cls", "left").select(
         "cls", "least", F.coalesce("component", "cls").alias("component"))
     ids = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
-    of_class = labelled.join(ids, "component").select("cls", "component_id")
-    filled = rows.where("n > 0").join(of_class, "cls").select("doc_id", "n", "component_id")
-    empty = rows.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
+    of_class = labelled.join(ids, "component").select("cls", "component", "component_id")
+    filled = rows.where("n > 0").join(of_class, "cls").select("doc_id", "n", "component_id", "component", "sha")
+    empty = rows.where("n = 0").select(
+        "doc_id", "n", F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("component"), "sha")
     return filled.unionByName(empty).withColumnRenamed("n", "n_shingles")
 
 
+def _sha(text: str) -> Column:
+    return F.unhex(F.sha2(F.encode(F.coalesce(F.col(text), F.lit("")), "utf-8"), 256))
+
+
 def keep(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options: int) -> DataFrame:
     """The rows of ``docs`` that stay when one document of each component does: that with
-    the least doc_id, once. Documents without words stay. All columns are kept."""
-    joined = jaccard_join(docs, doc_id=doc_id, text=text, **options)
-    staying = joined.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("kept_id")).distinct()
-    rows = docs.select(F.struct("*").alias("row"), F.col(doc_id).cast("long").alias("id"))
-    kept = rows.join(staying, F.col("id").eqNullSafe(F.col("kept_id")), "left_semi")
-    return kept.dropDuplicates(["id"]).select("row.*")
+    the least doc_id (without an id only if there is no other), of texts that share it the
+    one of least checksum. Documents without words stay. Of rows that repeat a doc_id and
+    its text, one stays. All columns are kept."""
+    joined = _joined(docs, doc_id=doc_id, text=text, **options)
+    first = joined.where("n_shingles > 0").groupBy("component").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("nameless"), "doc_id", "sha")).alias("first")).select("first.doc_id", "first.sha")
+    staying = first.unionByName(joined.where("n_shingles = 0").select("doc_id", "sha").distinct()).select(
+        F.col("doc_id").alias("kept_id"), F.col("sha").alias("kept_sha"))
+    rows = docs.select(F.struct("*").alias("row"), F.col(doc_id).cast("long").alias("id"), _sha(text).alias("sha"))
+    kept = rows.join(
+        staying, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("sha") == F.col("kept_sha")), "left_semi")
+    return kept.dropDuplicates(["id", "sha"]).select("row.*")
 
 
 def class_links(texts: DataFrame, classes: DataFrame, rows: DataFrame, rule: Rule, levels: np.ndarray,
@@ -563,8 +584,8 @@ def class_links(texts: DataFrame, classes: DataFrame, rows: DataFrame, rule: Rul
 
 def _sets(texts: DataFrame, chosen: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     """(cls, shingles, n) of the chosen classes, from one document of each."""
-    wanted = chosen.select("cls").distinct().join(classes.select("cls", "least"), "cls").select(
-        "cls", F.col("least").alias("doc_id"))
+    wanted = chosen.select("cls").distinct().join(classes.select("cls", "least", "sha"), "cls").select(
+        "cls", F.col("least").alias("doc_id"), "sha")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, raw in _pieces(batches):
@@ -576,5 +597,8 @@ def _sets(texts: DataFrame, chosen: DataFrame, classes: DataFrame, rule: Rule) -
             ], names=["cls", "shingles", "n"])
 
     some = texts.where("doc_id is not null").join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
-    made = some.mapInArrow(work, "cls long, shingles binary, n long")
+    # Classes whose rows are all without an id are found by one of their texts.
+    nameless = texts.where("doc_id is null").withColumn("sha", F.unhex(F.sha2("text", 256))).join(
+        wanted.where("doc_id is null").select("sha"), "sha", "left_semi").dropDuplicates(["sha"])
+    made = some.unionByName(nameless.select("doc_id", "text")).mapInArrow(work, "cls long, shingles binary, n long")
     return made.join(wanted.select("cls"), "cls", "left_semi").dropDuplicates(["cls"])
