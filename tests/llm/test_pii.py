@@ -87,3 +87,16 @@ def test_redacted_text(spark):
 
 def test_digest_of_no_span():
     assert hashlib.sha256(brute("nothing").encode()).hexdigest().startswith("e3b0c442")
+
+
+def test_terms_of_rare_entities_far_from_them(make_docs):
+    filler = "these are the same common words of every text"
+    rows = [f"Bo said {filler} {filler} {filler} write to bo.x@corp.example.com BO" for _ in range(2)]
+    rows += [f"Wyzzek Bo2 {filler} {filler} mail w@one.example.org"]
+    rows += [f"said write to mail {filler} example com corp org" for _ in range(400)]
+    found = op.sanitise(make_docs(rows)).orderBy("doc_id").collect()
+    for r in found[:2]:
+        assert [(rows[r.doc_id][t.start:t.end], t.term, t.action) for t in r.terms] == [
+            ("Bo", "bo", "generalise"), ("BO", "bo", "generalise")]
+    assert [(rows[2][t.start:t.end], t.term) for t in found[2].terms] == [("Wyzzek", "wyzzek"), ("Bo2", "bo2")]
+    assert all(not r.terms for r in found[3:])

@@ -1,10 +1,10 @@
 """Personal data by patterns, and terms that give it away, with DataFrame functions only.
 
 Patterns find the protected entities (e-mail and network addresses, card and phone
-numbers). A term near an entity discloses it as far as knowing the term tells which
-entity it is: the pointwise mutual information of both, counted over the corpus, against
+numbers). A term discloses an entity as far as knowing the term tells which entity it
+is: the pointwise mutual information of both, counted by documents over the corpus, against
 the information of the entity itself. Terms that come near the entity's full information
-are generalised or removed where the entity stands, too.
+are generalised or removed in documents that hold the entity.
 """
 
 from __future__ import annotations
@@ -108,108 +108,101 @@ def found(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
 
 # --- terms that disclose an entity ------------------------------------------------
 
-REACH = 80  # code points on either side of an entity in which terms are looked for
-NEAR = 5  # terms taken on either side
 TOKEN = r"[\p{L}\p{N}]+"
-NOT_TOKEN = r"[^\p{L}\p{N}]+"
-
-
-def _occurrences(marked: DataFrame) -> DataFrame:
-    """(doc_id, key, entity, term, start, end) of the terms near each entity, from rows
-    (doc_id, key, base, sides): the text on both sides of every base span."""
-    sides = marked.select("doc_id", "key", "base", F.explode("sides").alias("side")).select(
-        "doc_id", "key", "base", "side.*")
-    both = sides.select(
-        "doc_id", "key", "base", "entity", F.explode(F.array(
-            F.struct(F.lit(True).alias("before"), F.col("left").alias("text"), F.col("left_at").alias("at"),
-                     F.col("left_cut").alias("cut")),
-            F.struct(F.lit(False).alias("before"), F.col("right").alias("text"), F.col("right_at").alias("at"),
-                     F.col("right_cut").alias("cut")),
-        )).alias("side"),
-    ).select("doc_id", "key", "base", "entity", "side.*")
-    # Pieces and tokens alternate; a token begins after all that stands before it.
-    pieces = both.withColumn("tokens", F.regexp_extract_all("text", F.lit(TOKEN), 0)).withColumn(
-        "gaps", F.split("text", TOKEN, -1)).where(F.size("tokens") > 0)
-    state = F.struct(F.col("at").alias("at"),
-                     F.array().cast("array<struct<term:string,start:int,end:int>>").alias("found"))
-    placed = pieces.withColumn("pairs", F.transform("tokens", lambda t, k: F.struct(
-        F.length(F.get("gaps", k)).alias("gap"), t.alias("term")))).withColumn("placed", F.aggregate(
-            F.col("pairs"), state,
-            lambda s, p: F.struct(
-                (s["at"] + p["gap"] + F.length(p["term"])).alias("at"),
-                F.concat(s["found"], F.array(F.struct(
-                    F.lower(p["term"]).alias("term"), (s["at"] + p["gap"]).alias("start"),
-                    (s["at"] + p["gap"] + F.length(p["term"])).alias("end")))).alias("found")))["found"])
-    # A word that the reach cuts is not looked at: the first on the left, the last on the right.
-    n = F.size("placed") - F.col("cut").cast("int")
-    taken = F.greatest(F.least(n, F.lit(NEAR)), F.lit(0))
-    last = F.greatest(F.size("placed") - F.least(n, F.lit(NEAR)) + 1, F.lit(1))
-    chosen = F.when(F.col("before"), F.slice("placed", last, taken)).otherwise(F.slice("placed", F.lit(1), taken))
-    terms = placed.select("doc_id", "key", "base", "entity", F.explode(chosen).alias("t")).select(
-        "doc_id", "key", "base", "entity", "t.*")
-    inside = F.exists("base", lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start")))
-    return terms.where((F.length("term") >= 3) & ~inside).drop("base")
-
-
-def disclosing(occurrences: DataFrame, terms: DataFrame, entities: DataFrame, documents: int,
-               least_documents: int, generalise_at: float, remove_at: float) -> DataFrame:
+#: Documents in which a term is taken to have been seen besides, at the entity's rate over the
+#: corpus: what few documents show counts the more, the rarer the entity is by itself.
+PRIOR = 1.5
+
+
+def tokens(text: Column) -> Column:
+    """The distinct runs of letters and digits of a text, as they are written."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(TOKEN), 0))
+
+
+def lowered(tokens: Column) -> Column:
+    return F.array_distinct(F.transform(tokens, F.lower))
+
+
+def disclosing(together: DataFrame, terms: DataFrame, entities: DataFrame, documents: int,
+               prior: float, generalise_at: float, remove_at: float) -> DataFrame:
     """(entity, term, share, action) of the pairs above a threshold.
 
-    share is PMI(entity, term) / information of the entity: 1 if the term stands nowhere but
-    with the entity. ``terms`` (term, n) and ``entities`` (entity, n) count documents. A
-    pair needs ``least_documents`` documents: fewer say nothing about the corpus.
+    share is PMI(entity, term) / information of the entity, near 1 if the term stands nowhere
+    but with the entity. The entity's probability given the term is smoothed by ``prior``
+    documents at its rate over the corpus, so pairs of few documents count for less.
+    ``together`` (entity, term, both), ``terms`` (term, n) and ``entities`` (entity, n) count
+    documents.
     """
-    together = occurrences.select("entity", "term", "key").distinct().groupBy("entity", "term").agg(
-        F.count("*").alias("both")).where(F.col("both") >= least_documents)
     counted = together.join(terms.withColumnRenamed("n", "term_n"), "term").join(
         entities.withColumnRenamed("n", "entity_n"), "entity")
-    information = F.log(F.lit(float(documents)) / F.col("entity_n"))
-    mutual = F.log(F.col("both") * float(documents) / (F.col("term_n") * F.col("entity_n")))
-    share = F.when(information > 0, mutual / information).otherwise(0.0)
+    rate = F.col("entity_n") / float(documents)
+    given = (F.col("both") + prior * rate) / (F.col("term_n") + prior)
+    share = F.when(rate < 1, F.log(given / rate) / -F.log(rate)).otherwise(0.0)
     return counted.withColumn("share", share).where(F.col("share") >= generalise_at).select(
         "entity", "term", "share",
         F.when(F.col("share") >= remove_at, "remove").otherwise("generalise").alias("action"))
 
 
-def sanitise(docs: DataFrame, least_documents: int = 3, generalise_at: float = 0.7, remove_at: float = 0.9,
+def with_term_spans(rows: DataFrame) -> DataFrame:
+    """Adds terms (start, end, term, action) to rows of text, base and ``marks``: (token,
+    action) of the tokens to look for. Where one overlaps a base span it is left out."""
+    # Tokens are letters and digits: nothing in them is special to a pattern.
+    pattern = F.concat(F.lit(r"(?<![\p{L}\p{N}])(?:"), F.array_join("marks.token", "|"), F.lit(r")(?![\p{L}\p{N}])"))
+    start = F.struct(F.lit(0).alias("at"),
+                     F.array().cast("array<struct<start:int,end:int,term:string,action:string>>").alias("spans"))
+    placed = F.aggregate("located", start, lambda s, m: F.struct(
+        (s["at"] + m["gap"] + F.length(m["token"])).alias("at"),
+        F.concat(s["spans"], F.array(F.struct(
+            (s["at"] + m["gap"]).alias("start"), (s["at"] + m["gap"] + F.length(m["token"])).alias("end"),
+            F.lower(m["token"]).alias("term"), F.col("actions")[m["token"]].alias("action")))).alias("spans")))["spans"]
+    return (
+        rows.withColumn("pattern", pattern).withColumn("actions", F.map_from_entries("marks"))
+        .withColumn("found", F.regexp_extract_all("text", F.col("pattern"), 0))
+        .withColumn("gaps", F.split("text", F.col("pattern"), -1))
+        .withColumn("located", F.transform("found", lambda t, k: F.struct(
+            F.length(F.get("gaps", k)).alias("gap"), t.alias("token"))))
+        .withColumn("placed", placed)
+        .withColumn("terms", F.filter("placed", lambda t: ~F.exists(
+            "base", lambda s: (s["start"] < t["end"]) & (s["end"] > t["start"]))))
+        .drop("pattern", "actions", "found", "gaps", "located", "placed")
+    )
+
+
+def sanitise(docs: DataFrame, prior: float = PRIOR, generalise_at: float = 0.7, remove_at: float = 0.9,
              doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row of ``docs``: doc_id, base (spans of personal data), terms (spans of disclosing
     terms: start, end, term, action), both in code points, end exclusive.
 
-    Documents without personal data have no spans. A null or empty text has none either.
+    A term is looked for wherever it stands in a document that holds the entity. Documents
+    without personal data have no spans. A null or empty text has none either.
     Rows that repeat a doc_id and a text get the same answer each and count once in the
     statistics; other columns are ignored; an empty table gives an empty one. Ties of spans
     are ordered by kind and end.
     """
-    key = F.xxhash64("doc_id", "text")
-    rows = found(docs, doc_id, text)
-    size = F.length("text")
-    sides = F.transform("base", lambda s: F.struct(
-        F.concat_ws(":", s["kind"], F.lower(s["value"])).alias("entity"),
-        F.substr("text", F.greatest(s["start"] - REACH, F.lit(0)) + 1, F.least(s["start"], F.lit(REACH))).alias("left"),
-        F.greatest(s["start"] - REACH, F.lit(0)).alias("left_at"), (s["start"] > REACH).alias("left_cut"),
-        F.substr("text", s["end"] + 1, F.lit(REACH)).alias("right"),
-        s["end"].alias("right_at"), (s["end"] + REACH < size).alias("right_cut")))
-    marked = stored(rows.select("doc_id", key.alias("key"), "base", sides.alias("sides")), "pii")
+    entity = F.transform("base", lambda s: F.concat_ws(":", s["kind"], F.lower(s["value"])))
+    marked = stored(found(docs, doc_id, text).select(
+        "doc_id", F.xxhash64("doc_id", "text").alias("key"), "base", F.array_distinct(entity).alias("entities"),
+        F.when(F.size("base") > 0, F.col("text")).alias("text")), "pii")
     documents = marked.count()
-    occurrences = stored(_occurrences(marked.where(F.size("sides") > 0)), "pii-terms")
-    entities = marked.select("key", F.explode("sides.entity").alias("entity")).distinct().groupBy("entity").agg(
-        F.count("*").alias("n"))
-    candidates = occurrences.select("entity", "term", "key").distinct().groupBy("entity", "term").count().where(
-        F.col("count") >= least_documents).select("term").distinct()
+    holding = marked.where(F.size("base") > 0).select("key", "entities", tokens(F.col("text")).alias("tokens"))
+    held = stored(holding.dropDuplicates(["key"]), "pii-tokens")
+    entities = held.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n"))
+    together = held.select("entities", F.explode(lowered(F.col("tokens"))).alias("term")).select(
+        F.explode("entities").alias("entity"), "term").groupBy("entity", "term").agg(F.count("*").alias("both"))
     whole = docs.select(text_or_empty(text).alias("text"))
-    counts = whole.select(F.explode(F.array_distinct(F.split(F.lower("text"), NOT_TOKEN))).alias("term")).groupBy(
-        "term").agg(F.count("*").alias("n"))
-    terms = counts.join(candidates, "term", "left_semi")
-    pairs = disclosing(occurrences, terms, entities, documents, least_documents, generalise_at, remove_at)
-    spans = occurrences.join(pairs, ["entity", "term"]).groupBy(
-        F.col("doc_id").alias("of"), F.col("key").alias("of_key"), "start", "end", "term").agg(
-        F.max("action").alias("action")).groupBy("of", "of_key").agg(
-        F.sort_array(F.collect_list(F.struct("start", "end", "term", "action"))).alias("terms"))
+    terms = whole.select(F.explode(lowered(tokens(F.col("text")))).alias("term")).groupBy("term").agg(
+        F.count("*").alias("n"))
+    pairs = stored(disclosing(together, terms, entities, documents, prior, generalise_at, remove_at), "pii-pairs")
+    written = held.select("key", "entities", F.explode("tokens").alias("token")).select(
+        "key", F.explode("entities").alias("entity"), "token", F.lower("token").alias("term"))
+    marks = written.join(pairs, ["entity", "term"]).groupBy("key", "token").agg(
+        F.max("action").alias("action")).groupBy(F.col("key").alias("of_key")).agg(
+        F.collect_list(F.struct("token", "action")).alias("marks"))
     none = F.array().cast("array<struct<start:int,end:int,term:string,action:string>>")
-    return marked.join(
-        spans, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("key") == F.col("of_key")), "left",
-    ).select("doc_id", "base", F.coalesce("terms", none).alias("terms"))
+    bare = marked.where(F.size("base") == 0).select("doc_id", "base", none.alias("terms"))
+    joined = marked.where(F.size("base") > 0).join(marks, F.col("key") == F.col("of_key"), "left")
+    answered = with_term_spans(joined).select("doc_id", "base", F.coalesce("terms", none).alias("terms"))
+    return answered.unionByName(bare)
 
 
 def redacted(text: Column, spans: Column) -> Column:
