@@ -21,10 +21,16 @@ COLUMNS = {
     "op9_bpe": "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
     "op10_pii": "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, "
                 "spans string",
+    "op11_token_files": "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint",
+    "op12_merkle": "doc_id bigint, leaf string, subroot string, root string, proof_sha256 string, "
+                   "folded_root string, verified boolean",
+    "op13_whitening": "vec_id bigint, component int, n bigint, deviation bigint, whitened double, "
+                      "explained double, identity_error double",
 }
+TABLE = {"op2_html_text": ("pages", 1), "op6_url_templates": ("pages", 1), "op13_whitening": ("embeddings", 16)}
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     assert set(QUERIES) == set(COLUMNS)
     assert {*COLUMNS, "pipeline"} <= set(__spark_entry__.queries())
 
@@ -33,8 +39,8 @@ def test_all_ten_and_the_pipeline_are_registered():
 def test_columns_and_rows(spark, name):
     found = QUERIES[name](spark, FOLDER)
     assert set(COLUMNS[name].split(", ")) <= {f"{c} {t}" for c, t in found.dtypes}
-    table = "pages" if name in ("op2_html_text", "op6_url_templates") else "documents"
-    assert found.count() == spark.read.parquet(f"{FOLDER}/{table}.parquet").count()
+    table, rows = TABLE.get(name, ("documents", 1))
+    assert found.count() == rows * spark.read.parquet(f"{FOLDER}/{table}.parquet").count()
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

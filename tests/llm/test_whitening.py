@@ -1,0 +1,112 @@
+import numpy as np
+import pytest
+from tillflow.llm import whitening as op
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def brute(vectors):
+    """n, deviations, eigenvalues and whitened coordinates, up to their signs."""
+    x = np.floor(64 * np.array(vectors, float)).astype(int) + 1_000_000
+    fit = np.unique(x, axis=0)
+    n, sums = len(fit), fit.sum(axis=0)
+    centred = fit - sums / n
+    values, axes = np.linalg.eigh(centred.T @ centred / n)
+    values, axes = values[::-1], axes[:, ::-1]
+    with np.errstate(all="ignore"):
+        whitened = (x - sums / n) @ axes[:, :16] / np.sqrt(values[:16])
+    return n, ((n * x - sums) ** 2).sum(axis=1), values, whitened
+
+
+def make(spark, vectors):
+    return spark.createDataFrame(
+        [(i, None if v is None else [None if c is None else float(c) for c in v]) for i, v in enumerate(vectors)],
+        "vec_id long, embedding array<float>")
+
+
+def by_vector(found):
+    rows = sorted(found.collect(), key=lambda r: (r.vec_id, r.component))
+    out = {}
+    for r in rows:
+        out.setdefault(r.vec_id, []).append(r)
+    return out
+
+
+def assert_same(found, vectors, ids):
+    n, deviation, values, whitened = brute(vectors)
+    signs = None
+    for place, i in enumerate(ids):
+        rows = found[i]
+        assert [r.component for r in rows] == list(range(1, len(rows) + 1))
+        assert {(r.n, int(r.deviation)) for r in rows} == {(n, int(deviation[place]))}
+        assert max(r.identity_error for r in rows) <= 1e-9
+        assert np.allclose([r.explained for r in rows], values[:len(rows)] / values.sum(), rtol=1e-9)
+    ours = np.array([[r.whitened for r in found[i]] for i in ids])
+    signs = np.sign((ours * whitened).sum(axis=0))
+    assert np.abs(ours * signs - whitened).max() < 1e-8
+
+
+def test_all_embeddings(spark):
+    rows = spark.read.parquet(f"{FOLDER}/embeddings.parquet")
+    vectors = rows.collect()
+    assert_same(by_vector(op.whiten(rows)), [r.embedding for r in vectors], [r.vec_id for r in vectors])
+
+
+def test_same_bits_however_rows_are_dealt(spark):
+    rows = spark.read.parquet(f"{FOLDER}/embeddings.parquet")
+    first, second = (sorted(tuple(r) for r in op.whiten(rows.repartition(k)).collect()) for k in (1, 7))
+    assert first == second
+
+
+def test_odd_rows(spark, clash):
+    chance = np.random.default_rng(0)
+    good = chance.normal(size=(40, 5)).round(2).tolist()
+    vectors = [*good, None, [], [1.0, None, 1, 1, 1], [float("nan")] * 5, [float("inf"), 0, 0, 0, 0],
+               [1.0, 2.0], *[good[3]] * 30]
+    found = by_vector(op.whiten(clash(make(spark, vectors))))
+    ids = [*range(40), *range(46, 76)]
+    assert sorted(found) == ids
+    assert_same(found, [vectors[i] for i in ids], ids)  # copies count once in the fit
+    assert op.whiten(make(spark, [])).collect() == []
+    assert op.whiten(make(spark, [None, []])).collect() == []
+
+
+def test_axes_without_variance_have_no_coordinate(spark):
+    found = by_vector(op.whiten(make(spark, [[1, 1, 2], [1, 2, 2], [1, 5, 2]])))
+    for rows in found.values():
+        assert rows[0].whitened is not None and [r.whitened for r in rows[1:]] == [None, None]
+        assert rows[0].identity_error < 1e-9
+    alone = by_vector(op.whiten(make(spark, [[1, 1]] * 3)))
+    assert all(r.whitened is None and r.n == 1 and r.deviation == 0 for rows in alone.values() for r in rows)
+
+
+def test_far_entries_stay_exact(spark):
+    vectors = [[2.0**20, -2.0**20], [0, 1], [2.0**19, 5], [-2.0**20, 2.0**20]]
+    assert_same(by_vector(op.whiten(make(spark, vectors))), vectors, range(4))
+
+
+@pytest.mark.parametrize("values", [
+    np.arange(1, 33.0), np.r_[[5.0] * 3, [5 + 1e-9] * 2, [3] * 10, np.linspace(1, 1 + 1e-13, 8), [1e-6] * 3],
+    np.ones(6), np.array([2.0]), np.r_[1e8, np.linspace(1, 1 + 1e-7, 20)], np.r_[np.geomspace(1e-12, 1, 24)], np.zeros(3),
+])
+def test_refinement_of_clusters(values):
+    chance = np.random.default_rng(len(values))
+    turn = np.linalg.qr(chance.normal(size=(len(values), len(values))))[0].astype(op.WIDE)
+    matrix = (turn * values) @ turn.T
+    matrix = (matrix + matrix.T) / 2
+    found, vectors = op.refined(matrix)
+    top = max(np.abs(values).max(), 1e-300)
+    assert np.abs(found - np.sort(values)[::-1]).max() <= 1e-15 * top * len(values)
+    assert np.abs(vectors.T @ vectors - np.eye(len(values))).max() < 1e-14
+    assert np.abs(matrix @ vectors - vectors * found).max() <= 4e-15 * top
+
+
+def test_refinement_tells_close_eigenvalues_apart():
+    """Vectors of eigenvalues 1e-9 apart, which float32 cannot tell, come out to double precision
+    of what their gap allows."""
+    values = np.array([3.0, 2.0 + 1e-9, 2.0, 1.0])
+    turn = np.linalg.qr(np.random.default_rng(5).normal(size=(4, 4)))[0].astype(op.WIDE)
+    turn = turn + turn @ (np.eye(4) - turn.T @ turn) / 2
+    matrix = (turn * values.astype(op.WIDE)) @ turn.T
+    _, vectors = op.refined((matrix + matrix.T) / 2)
+    assert np.abs(np.abs(turn.T @ vectors) - np.eye(4)).max() < 1e-9

@@ -18,11 +18,14 @@ from tillflow.llm import (
     html_text,
     jaccard_join,
     licences,
+    merkle,
     mixing,
     pii,
     quality_rules,
     suffix_dedup,
+    token_files,
     url_templates,
+    whitening,
 )
 from tillflow.sources.files import table
 
@@ -90,10 +93,33 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
         pii.all_spans(F.col("base"), F.col("terms")).alias("spans"))
 
 
+def op11_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    written = token_files.write(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return token_files.digests(spark, written)
+
+
+def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    """The manifest against a copy in which every second document, by a checksum of its id, has
+    lost its line feeds."""
+    lost = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    seen = F.when(lost, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    rows = merkle.manifest(table(spark, folder, "documents"), seen)
+    return rows.select(
+        "doc_id", "leaf", "subroot", "root", merkle.digest(merkle.siblings(F.col("path"))).alias("proof_sha256"),
+        merkle.folded(F.col("seen_leaf"), F.col("path")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    rows = whitening.whiten(table(spark, folder, "embeddings"))
+    return rows.withColumn("deviation", F.col("deviation").cast("long"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_exact_dedup, op2_html_text, op3_suffix_dedup, op4_jaccard_join, op5_quality_rules,
-        op6_url_templates, op7_licences, op8_mixing, op9_bpe, op10_pii)
+        op6_url_templates, op7_licences, op8_mixing, op9_bpe, op10_pii, op11_token_files, op12_merkle,
+        op13_whitening)
 }
 
 #: The others have a model, a bounded recursion or a vocabulary in them that SQL lacks.
