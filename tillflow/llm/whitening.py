@@ -237,7 +237,7 @@ def _projected(x: np.ndarray, found: Axes) -> np.ndarray:
 def _identity_error(fit: DataFrame, found: Axes) -> float:
     """The largest entry of the covariance of the fit list's whitened vectors minus the identity,
     over the axes with variance, from one more pass over the list. Products are added as whole
-    numbers of 2^-40, so that the figure does not depend on how the rows are dealt out."""
+    numbers of 2^-40: sums over any number of tasks lose nothing more."""
     good = found.values[:found.vectors.shape[1]] > found.least
     if not good.any():
         return 0.0
