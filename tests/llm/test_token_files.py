@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -66,9 +67,19 @@ def test_unusual_texts(spark, make_docs, library):
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(st.sampled_from("abzAZ'sStTlLvVeErRmMdD 019.,<|>\n\t\x1cé́ "), max_size=30), max_size=5))
 def test_encoder_equals_the_library(library, texts):
+    ids, sizes = _encoder().encode(pa.array(texts, pa.string()))
+    wanted = [ids_of(library, t)[:-1] for t in texts]
+    assert sizes.tolist() == list(map(len, wanted)) and ids.tolist() == [i for t in wanted for i in t]
+
+
+def test_what_is_remembered_is_bounded(library, monkeypatch):
+    monkeypatch.setattr(op, "KNOWN", 50)
     encoder = _encoder()
-    assert [np.frombuffer(raw, "<u4").tolist() for raw in encoder.encode(texts)] == [
-        ids_of(library, t)[:-1] for t in texts]
+    for k in range(20):
+        texts = [f"word{k}x{j} Éa{j}, it's" for j in range(30)]
+        ids, _ = encoder.encode(pa.array(texts))
+        assert ids.tolist() == [i for t in texts for i in ids_of(library, t)[:-1]]
+        assert len(encoder.words) <= 50 + 90 and len(encoder.pieces) <= 50 + 90
 
 
 _ENCODERS = []
@@ -78,7 +89,7 @@ def _encoder():
     if not _ENCODERS:
         with open(PATH, encoding="utf-8") as file:
             _ENCODERS.append(op.Encoder(file.read()))
-        assert _ENCODERS[0].pieces
+        assert _ENCODERS[0].plain
     return _ENCODERS[0]
 
 

@@ -7,13 +7,18 @@ compressed by a grammar of its own (`grammar`). Reading needs one shard at a tim
 
 from __future__ import annotations
 
+import hashlib
+import json
 import os
 import re
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -29,77 +34,130 @@ END = 2  # the id that ends a document
 #: One shard in a row: its range of documents, its number there, tokens of the range before it.
 SHARDS = "part int, shard int, before long, n_tokens long, doc_ids array<bigint>, data binary"
 
-#: Separators of words that Python knows and the vocabulary's pattern does not.
-UNLIKE_SPACE = re.compile("[\x1c-\x1f]")
-ASCII_SPACE = re.compile("[ \t-\r]+")
-#: The vocabulary's pattern for lower-case ASCII words; a word in it is encoded by itself.
-ASCII_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-ASCII_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-KNOWN_WORDS = 400_000
-KNOWN_LENGTH = 64
+#: The vocabulary's pattern, and the same over lower-case words of ASCII and Latin-1 letters:
+#: composed letters that normalisation leaves as they are. Others go to the library as they stand.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+LATIN_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|\n|[^a-z0-9ß-öø-ÿ\n]+")
+NOT_LATIN = r"[^\x{00}-\x{7F}À-ÖØ-öø-ÿ]"
+KNOWN = 500_000  # words, and pieces of words, that a worker remembers
+KNOWN_IDS = 8_000_000
+BATCH = 64
 
 
 class Encoder:
     """The library over words of white-space separated text.
 
     Neither its normalisation nor its pattern looks across white space, so a text's ids are
-    those of its words, and of ASCII words those of the pattern's pieces. A task remembers a
-    bounded number of both and gives the library what it has not met.
+    those of its words, and of plain words those of the pattern's pieces. What has been met is
+    remembered, a bounded number of words and pieces; the library gets the rest. ids lie in one
+    array, and texts are put together from places in it.
     """
 
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(vocabulary)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.pieces = ASCII_PATTERN.replace("\\", "\\\\") in vocabulary and '"Lowercase"' in vocabulary
-        self.whole = sorted(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-
-    def library(self, words: list[str]) -> list[bytes]:
-        """Ids of every word, little-endian with 32 bits each, from one call."""
-        if not words:
-            return []
-        found = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(found.ids, "<u4").tobytes()
-        ends = np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(words) + 1)).tolist()
-        return [ids[4 * a:4 * b] for a, b in zip(ends, ends[1:], strict=False)]
-
-    def learn(self, words: list[str]) -> dict[str, bytes]:
-        if len(self.parts) > KNOWN_WORDS:
-            self.parts = {}
-        plain = [w for w in words if self.pieces and w.isascii() and not any(s in w for s in self.whole)]
-        cut = [ASCII_WORD.findall(w.lower()) for w in plain]
-        known = set(plain)
-        rest = [w for w in words if w not in known]
-        new = list({p for pieces in cut for p in pieces if p not in self.parts})
-        ids = self.library(new + rest)
-        parts = self.parts
-        parts.update(zip(new, ids, strict=False))
-        learnt = {w: b"".join(map(parts.__getitem__, pieces)) for w, pieces in zip(plain, cut, strict=True)}
-        learnt.update(zip(rest, ids[len(new):], strict=True))
-        for piece in [p for p in new if len(p) > KNOWN_LENGTH]:
-            del parts[piece]
-        return learnt
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of every text, little-endian with 32 bits each."""
-        cut = [ASCII_SPACE.split(t) if UNLIKE_SPACE.search(t) else t.split() for t in texts]
-        if len(self.words) > KNOWN_WORDS:
-            self.words = {}
-        known = self.words
-        new = list({w for words in cut for w in words if w not in known})
-        learnt = self.learn(new)
-        known.update(learnt)
-        found = [b"".join(map(known.__getitem__, words)) for words in cut]
-        for word in new:
-            if len(word) > KNOWN_LENGTH:
-                del known[word]
-        return found
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.full = Tokenizer.from_str(vocabulary)
+        self.full.no_truncation()
+        self.full.no_padding()
+        self.size = self.full.get_vocab_size(with_added_tokens=True)
+        special = [re.escape(t.content) for t in self.full.get_added_tokens_decoder().values()]
+        self.not_plain = "|".join([NOT_LATIN, *special])
+        spec = json.loads(vocabulary)
+        cut = spec["pre_tokenizer"]["pretokenizers"][0].get("pattern", {}).get("Regex")
+        self.plain = cut == PATTERN and [n["type"] for n in spec["normalizer"]["normalizers"]] == [
+            "NFC", "Replace", "Lowercase"]
+        # Pieces are normalised and cut already: the same model without those steps.
+        self.model = Tokenizer(self.full.model)
+        self.model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.forget()
+
+    def forget(self) -> None:
+        self.words: dict[str, int] = {}
+        self.pieces: dict[str, int] = {}
+        self.ids = np.empty(2**16, "<u4")
+        self.starts = np.zeros(2**16, np.int64)  # by entry; the next one's is the end
+        self.entries = 0
+        self._remember(["\n"], self.pieces, np.zeros(0, "<u4"), np.zeros(1, np.int64))  # between words
+
+    def _remember(self, names: list[str], into: dict[str, int], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Adds entries whose ids lie end to end."""
+        begin, last = int(self.starts[self.entries]), self.entries + len(sizes)
+        if last >= len(self.starts):
+            self.starts = np.resize(self.starts, 2 * last)
+        if begin + len(ids) > len(self.ids):
+            self.ids = np.resize(self.ids, 2 * (begin + len(ids)))
+        self.ids[begin:begin + len(ids)] = ids
+        self.starts[self.entries + 1:last + 1] = begin + np.cumsum(sizes)
+        into.update(zip(names, range(self.entries, last), strict=True))
+        self.entries = last
+
+    def _of(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of entries, end to end, and the number of each."""
+        begin = self.starts[index]
+        sizes = self.starts[index + 1] - begin
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.ids[np.arange(total) + np.repeat(begin - ends + sizes, sizes)], sizes
+
+    @staticmethod
+    def _library(tokenizer, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        groups = [words[a:a + BATCH] for a in range(0, len(words), BATCH)]
+        ids, sizes = [np.zeros(0, "<u4")], [np.zeros(0, np.int64)]
+        for group, found in zip(groups, tokenizer.encode_batch(
+                groups, is_pretokenized=True, add_special_tokens=False), strict=True):
+            ids.append(np.array(found.ids, "<u4"))
+            sizes.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(group)))
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def _learn(self, words: pa.Array) -> None:
+        odd = pc.match_substring_regex(words, self.not_plain)
+        if not self.plain:
+            odd = pc.or_(odd, True)
+        rest = _strings(words.filter(odd))
+        self._remember(rest, self.words, *self._library(self.full, rest))
+        plain = _strings(words.filter(pc.invert(odd)))
+        if not plain:
+            return
+        # One look at all words, a line feed between two, which no word holds.
+        every = pa.array(LATIN_PIECE.findall("\n".join([*plain, ""]).lower())).dictionary_encode()
+        pieces = _strings(every.dictionary)
+        new = [p for p in pieces if p not in self.pieces]
+        self._remember(new, self.pieces, *self._library(self.model, new))
+        table = np.fromiter(map(self.pieces.__getitem__, pieces), np.int64, len(pieces))
+        index = every.indices.to_numpy()
+        ids, sizes = self._of(table[index])
+        ends = np.flatnonzero(index == pieces.index("\n"))
+        self._remember(plain, self.words, ids, np.diff(np.append(0, np.cumsum(sizes)[ends])))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, end to end, and the number of each text's."""
+        if max(len(self.words), len(self.pieces)) > KNOWN or self.starts[self.entries] > KNOWN_IDS:
+            self.forget()
+        cut = pc.ascii_split_whitespace(texts)
+        every = cut.flatten().dictionary_encode()
+        words = _strings(every.dictionary)
+        known = np.array([self.words.get(w, -1) for w in words], np.int64)
+        if (known < 0).any():
+            self._learn(every.dictionary.filter(pa.array(known < 0)))
+            known = np.array([self.words[w] for w in words], np.int64)
+        ids, sizes = self._of(known[every.indices.to_numpy()])
+        ends = np.cumsum(pc.list_value_length(cut).to_numpy())
+        return ids, np.diff(np.append(0, np.cumsum(sizes))[np.append(0, ends)])
+
+
+def _strings(column: pa.Array) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()  # much faster than to_pylist
+
+
+def worker_encoder(vocabulary: str) -> Encoder:
+    """The encoder of this worker process: tasks that follow each other in it go on with what
+    the ones before have met. One vocabulary is held at a time."""
+    holder = sys.modules.setdefault("tillflow_worker_encoder", types.ModuleType("tillflow_worker_encoder"))
+    key = hashlib.sha256(vocabulary.encode()).digest()
+    if getattr(holder, "key", None) != key:
+        holder.key, holder.encoder = key, Encoder(vocabulary)
+    return holder.encoder
 
 
 def _write(vocabulary: str, end: int, shard_tokens: int, group_chars: int, least: int, gain: float):
@@ -107,19 +165,19 @@ def _write(vocabulary: str, end: int, shard_tokens: int, group_chars: int, least
     schema = to_arrow_schema(StructType.fromDDL(SHARDS))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, closing = Encoder(vocabulary), np.array([end], "<u4").tobytes()
-        ids: list[bytes] = []
+        encoder, closing = worker_encoder(vocabulary), np.array([end], "<u4")
+        ids: list[np.ndarray] = []
         names: list[int | None] = []
+        lengths: list[int] = []
         part, shard, before, held = None, 0, 0, 0
 
         def close() -> pa.RecordBatch:
-            nonlocal ids, names, shard, before, held
-            sizes = np.array([len(i) // 4 for i in ids], np.int64)
-            flat = np.frombuffer(b"".join(ids), "<u4")
-            data = grammar.pack(flat, sizes, max(encoder.size, end + 1), least, gain)
+            nonlocal ids, names, lengths, shard, before, held
+            sizes = np.array(lengths, np.int64)
+            data = grammar.pack(np.concatenate(ids), sizes, max(encoder.size, end + 1), least, gain)
             row = [part], [shard], [before], [held], [names], [data]
             shard, before = shard + 1, before + held
-            ids, names, held = [], [], 0
+            ids, names, lengths, held = [], [], [], 0
             return pa.RecordBatch.from_arrays(
                 [pa.array(v, f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
 
@@ -133,15 +191,17 @@ def _write(vocabulary: str, end: int, shard_tokens: int, group_chars: int, least
                     chars += sizes[stop]
                     stop += 1
                 part = batch.column(0)[start].as_py()
-                found = encoder.encode(texts.slice(start, stop - start).to_pylist())
-                for doc_id, raw in zip(doc_ids[start:stop], found, strict=True):
-                    if ids and held + len(raw) // 4 + 1 > shard_tokens:
+                found, counts = encoder.encode(texts.slice(start, stop - start))
+                at = 0
+                for doc_id, count in zip(doc_ids[start:stop], counts.tolist(), strict=True):
+                    if names and held + count + 1 > shard_tokens:
                         yield close()
-                    ids.append(raw + closing)
+                    ids += [found[at:at + count], closing]
                     names.append(doc_id)
-                    held += len(raw) // 4 + 1
+                    lengths.append(count + 1)
+                    held, at = held + count + 1, at + count
                 start = stop
-        if ids:
+        if names:
             yield close()
 
     return work
