@@ -7,6 +7,7 @@ compressed by a grammar of its own (`grammar`). Reading needs one shard at a tim
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import os
@@ -26,6 +27,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from tillflow.llm import grammar
+from tillflow.llm.bpe import byte_symbols
 from tillflow.session import new_folder
 
 SHARD_TOKENS = 2**19
@@ -55,7 +57,7 @@ class Encoder:
 
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.full = Tokenizer.from_str(vocabulary)
         self.full.no_truncation()
@@ -67,9 +69,11 @@ class Encoder:
         cut = spec["pre_tokenizer"]["pretokenizers"][0].get("pattern", {}).get("Regex")
         self.plain = cut == PATTERN and [n["type"] for n in spec["normalizer"]["normalizers"]] == [
             "NFC", "Replace", "Lowercase"]
-        # Pieces are normalised and cut already: the same model without those steps.
-        self.model = Tokenizer(self.full.model)
-        self.model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        # Pieces are normalised and cut already: the library's model takes them as characters
+        # that stand for their bytes.
+        self.model = self.full.model
+        symbols = byte_symbols()
+        self.as_bytes = {c: "".join(symbols[b] for b in chr(c).encode()) for c in range(256) if chr(c) != "\n"}
         self.forget()
 
     def forget(self) -> None:
@@ -100,22 +104,29 @@ class Encoder:
         total = int(ends[-1]) if len(ends) else 0
         return self.ids[np.arange(total) + np.repeat(begin - ends + sizes, sizes)], sizes
 
-    @staticmethod
-    def _library(tokenizer, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _whole(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and sizes of words of any kind."""
         groups = [words[a:a + BATCH] for a in range(0, len(words), BATCH)]
         ids, sizes = [np.zeros(0, "<u4")], [np.zeros(0, np.int64)]
-        for group, found in zip(groups, tokenizer.encode_batch(
+        for group, found in zip(groups, self.full.encode_batch(
                 groups, is_pretokenized=True, add_special_tokens=False), strict=True):
             ids.append(np.array(found.ids, "<u4"))
             sizes.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(group)))
         return np.concatenate(ids), np.concatenate(sizes)
 
+    def _parts(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and sizes of pieces of plain words."""
+        tokenize = self.model.tokenize
+        found = [[t.id for t in tokenize(p)] for p in "\n".join(pieces).translate(self.as_bytes).split("\n")]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter((i for ids in found for i in ids), "<u4", int(sizes.sum())), sizes
+
     def _learn(self, words: pa.Array) -> None:
         odd = pc.match_substring_regex(words, self.not_plain)
         if not self.plain:
             odd = pc.or_(odd, True)
         rest = _strings(words.filter(odd))
-        self._remember(rest, self.words, *self._library(self.full, rest))
+        self._remember(rest, self.words, *self._whole(rest))
         plain = _strings(words.filter(pc.invert(odd)))
         if not plain:
             return
@@ -123,7 +134,8 @@ class Encoder:
         every = pa.array(LATIN_PIECE.findall("\n".join([*plain, ""]).lower())).dictionary_encode()
         pieces = _strings(every.dictionary)
         new = [p for p in pieces if p not in self.pieces]
-        self._remember(new, self.pieces, *self._library(self.model, new))
+        if new:
+            self._remember(new, self.pieces, *self._parts(new))
         table = np.fromiter(map(self.pieces.__getitem__, pieces), np.int64, len(pieces))
         index = every.indices.to_numpy()
         ids, sizes = self._of(table[index])
@@ -132,6 +144,15 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, end to end, and the number of each text's."""
+        collecting = gc.isenabled()
+        gc.disable()  # it would look through all words again and again, and find nothing
+        try:
+            return self._encode(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if max(len(self.words), len(self.pieces)) > KNOWN or self.starts[self.entries] > KNOWN_IDS:
             self.forget()
         cut = pc.ascii_split_whitespace(texts)
