@@ -1,6 +1,10 @@
 import hashlib
+import math
 import re
+import time
+from collections import Counter
 
+import regex
 from pyspark.sql import functions as F
 from tillflow.llm import pii as op
 
@@ -100,3 +104,101 @@ def test_terms_of_rare_entities_far_from_them(make_docs):
             ("Bo", "bo", "generalise"), ("BO", "bo", "generalise")]
     assert [(rows[2][t.start:t.end], t.term) for t in found[2].terms] == [("Wyzzek", "wyzzek"), ("Bo2", "bo2")]
     assert all(not r.terms for r in found[3:])
+
+
+def lambdas_with_a_cut(df):
+    """Lambdas of the optimized plan that cut or search a whole text."""
+    df.sparkSession.conf.set("spark.sql.debug.maxToStringFields", 10_000)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction(" in plan and "split(text#" in plan
+    found = []
+    for start in (m.end() for m in re.finditer(r"lambdafunction\(", plan)):
+        depth, stop = 1, start
+        while depth:
+            depth += {"(": 1, ")": -1}.get(plan[stop], 0)
+            stop += 1
+        if re.search(r"(split|regexp_extract_all)\(text#", plan[start:stop]):
+            found.append(plan[start:stop])
+    return found
+
+
+def test_no_text_is_cut_inside_a_lambda(documents):
+    """The optimizer folds columns into lambdas if it may: the text would be cut for every match."""
+    assert lambdas_with_a_cut(op.found(documents)) == []
+    located = op.located(documents.select("doc_id", "text"), "text", op.TOKEN, "words")
+    assert lambdas_with_a_cut(located) == []
+
+
+def test_texts_of_many_matches(make_docs):
+    """Twenty thousand addresses, and as many marked words, in one text."""
+    mails = " ".join(f"user{i}@host{i % 7}.example" for i in range(20_000))
+    words = " ".join(f"zq{i}w" for i in range(20_000)) + " mail one@two.example"
+    rows = [mails, words, *[f"nothing of note {i % 5}" for i in range(300)]]
+    begun = time.time()
+    found = {r.doc_id: r for r in op.sanitise(make_docs(rows)).collect()}
+    assert time.time() - begun < 60
+    assert op_spelled(found[0].base) == brute(mails) and op_spelled(found[1].base) == brute(words)
+    assert {words[t.start:t.end] for t in found[1].terms} >= {f"zq{i}w" for i in range(20_000)}
+    assert all(mails[t.start:t.end].lower() == t.term for t in found[0].terms)
+
+
+def op_spelled(spans):
+    return ",".join(f"{s.kind}:{s.start}:{s.end}" for s in spans)
+
+
+def test_repeated_rows_count_once(make_docs):
+    rows = [(i, f"word{i} ask for zeppelin Quux at boss@corp.example.com please word{i}") for i in range(5)]
+    rows += [(100 + i, f"please ask for more words number{i} at home") for i in range(60)]
+    seen = []
+    for copies in (0, 1, 3):
+        found = op.sanitise(make_docs(rows + rows[:5] * copies + rows[7:9] * copies)).collect()
+        assert len(found) == len(rows) + 7 * copies
+        seen.append({(r.doc_id, tuple(r.terms)) for r in found})
+    assert seen[0] == seen[1] == seen[2]
+    assert {t.term for _, terms in seen[0] for t in terms} == {"zeppelin", "quux"}
+
+
+def brute_terms(rows, prior=op.PRIOR, low=0.7, high=0.9):
+    """Places of disclosing terms by the definition, over all pairs."""
+    distinct = sorted(set(rows), key=str)
+    words = {r: {w.lower() for w in regex.findall(op.TOKEN, r[1] or "")} for r in distinct}
+    held = {r: {f"{k}:{r[1][s:e].lower()}" for k, s, e in spans_of(r[1])} for r in distinct}
+    n_term = Counter(w for r in distinct for w in words[r])
+    n_entity = Counter(e for r in distinct for e in held[r])
+    both = Counter((e, w) for r in distinct for e in held[r] for w in words[r])
+    action = {}
+    for (e, w), n in both.items():
+        rate = n_entity[e] / len(distinct)
+        share = math.log((n + prior * rate) / (n_term[w] + prior) / rate) / -math.log(rate) if rate < 1 else 0
+        if share >= low:
+            action[e, w] = "remove" if share >= high else "generalise"
+    found = {}
+    for r in distinct:
+        spans = spans_of(r[1])
+        marks = {w: max(a) for w in words[r] if (a := [action[e, w] for e in held[r] if (e, w) in action])}
+        found[r] = [(m.start(), m.end(), m[0].lower(), marks[m[0].lower()])
+                    for m in regex.finditer(op.TOKEN, r[1] or "") if m[0].lower() in marks
+                    and not any(s < m.end() and e > m.start() for _, s, e in spans)]
+    return found
+
+
+def spans_of(text):
+    return [(k, int(s), int(e)) for k, s, e in (p.split(":") for p in brute(text).split(",") if p)]
+
+
+def test_terms_equal_brute_force(documents, document_rows):
+    wanted = brute_terms(document_rows)
+    found = op.sanitise(documents).collect()
+    assert {(r.doc_id, tuple(tuple(t) for t in r.terms)) for r in found} == {
+        (i, tuple(spans)) for (i, _), spans in wanted.items()}
+    assert any(wanted.values())
+
+
+def test_terms_of_lists_and_overlaps(make_docs):
+    rows = [(1, "ébob@x.org Élan a@b.cd e@f.gh q@r.st Ölan wan"), (2, "a@b.cd wan éb"), (3, "e@f.gh q@r.st élan"),
+            (4, None), (5, ""), (None, "a@b.cd wan"), (6, "10.0.0.1 10 0 1 élan")]
+    rows += [(100 + i, f"common words {i % 3} bob x org 10 {i}") for i in range(200)]
+    wanted = brute_terms(rows)
+    found = op.sanitise(make_docs(rows)).collect()
+    assert {(r.doc_id, tuple(tuple(t) for t in r.terms)) for r in found} == {
+        (i, tuple(spans)) for (i, _), spans in wanted.items()}
