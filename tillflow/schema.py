@@ -44,6 +44,14 @@ MESSAGE = T.StructType([
     T.StructField("value", T.BinaryType()),
 ])
 
+#: The same with where a message stands in its topic and its time, as a broker hands it out.
+COORDINATED = T.StructType(MESSAGE.fields + [
+    T.StructField("topic", T.StringType()),
+    T.StructField("partition", T.IntegerType()),
+    T.StructField("offset", T.LongType()),
+    T.StructField("timestamp", T.TimestampType()),
+])
+
 PREDICTION = T.StructType([
     T.StructField("date", T.DateType()),
     T.StructField("actual_revenue", T.DoubleType()),
