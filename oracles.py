@@ -80,6 +80,63 @@ errors AS (
   FROM predictions
 )"""
 
+
+def exact(values: str, name: str) -> str:
+    """CTEs that end in ``name`` (g, m, n, total): sums by group and metric of ``values`` (g, m, x),
+    added as whole numbers and digits of 24 bits, and rounded once."""
+    step = "(r - trunc(r)) * 16777216 AS r"
+    digit = "CAST(floor(CAST({} AS DOUBLE) / 16777216) AS BIGINT)"
+
+    def carried(source: str, out: str, keep: str) -> str:
+        text = f", {out}4 AS (SELECT *, {digit.format('d')} AS k FROM {source})"
+        for k, (low, high) in enumerate((("d", "c"), ("c", "b"), ("b", "a"))):
+            columns = "g, m, n, {}w, {}".format(keep, ", ".join(
+                f"{low} - k * 16777216 AS {low}" if x == low else f"{high} + k AS {high}" if x == high else x
+                for x in "abcd"))
+            text += (f", {out}{3 - k}x AS (SELECT {columns} FROM {out}{4 - k})"
+                     f", {out}{3 - k} AS (SELECT *, {digit.format(high)} AS k FROM {out}{3 - k}x)")
+        return text + f", {out} AS (SELECT g, m, n, {keep}w + k AS w, a - k * 16777216 AS a, b, c, d FROM {out}1)"
+    return f"""
+, {name}_0 AS (SELECT g, m, trunc(x) AS w, (x - trunc(x)) * 16777216 AS r FROM {values} WHERE x IS NOT NULL)
+, {name}_1 AS (SELECT g, m, w, trunc(r) AS a, {step} FROM {name}_0)
+, {name}_2 AS (SELECT g, m, w, a, trunc(r) AS b, {step} FROM {name}_1)
+, {name}_3 AS (SELECT g, m, w, a, b, trunc(r) AS c, {step} FROM {name}_2)
+, {name}_4 AS (SELECT g, m, count(*) AS n, sum(CAST(w AS HUGEINT)) AS w, CAST(sum(CAST(a AS BIGINT)) AS BIGINT) AS a,
+    CAST(sum(CAST(b AS BIGINT)) AS BIGINT) AS b, CAST(sum(CAST(c AS BIGINT)) AS BIGINT) AS c,
+    CAST(sum(CAST(trunc(r) AS BIGINT)) AS BIGINT) AS d FROM {name}_3 GROUP BY g, m)
+{carried(f"{name}_4", f"{name}_p", "")}
+, {name}_s AS (SELECT s.g, s.m, s.n, CASE WHEN p.w < 0 THEN -1 ELSE 1 END AS sign, s.w * CASE WHEN p.w < 0 THEN -1 ELSE 1 END AS w,
+    s.a * CASE WHEN p.w < 0 THEN -1 ELSE 1 END AS a, s.b * CASE WHEN p.w < 0 THEN -1 ELSE 1 END AS b,
+    s.c * CASE WHEN p.w < 0 THEN -1 ELSE 1 END AS c, s.d * CASE WHEN p.w < 0 THEN -1 ELSE 1 END AS d
+  FROM {name}_4 s JOIN {name}_p p ON s.g IS NOT DISTINCT FROM p.g AND s.m = p.m)
+{carried(f"{name}_s", f"{name}_q", "sign, ")}
+, {name} AS (SELECT g, m, n, (CAST(w AS DOUBLE) + (((CAST(d AS DOUBLE) / 16777216 + c) / 16777216 + b) / 16777216 + a) / 16777216)
+    * CAST(sign AS DOUBLE) AS total FROM {name}_q)"""
+
+
+def metrics(errors: str, group: str) -> str:
+    """CTEs that end in ``measured``: the metrics of ``errors`` by an expression."""
+    return f"""
+, given AS (SELECT {group} AS g, * FROM {errors})
+, firsts AS (
+  SELECT g, 'actual' AS m, actual_revenue AS x FROM given UNION ALL SELECT g, 'square', error * error FROM given
+  UNION ALL SELECT g, 'size', abs(error) FROM given UNION ALL SELECT g, 'percent', abs_percent_error FROM given)
+{exact("firsts", "added")}
+, spreads AS (
+  SELECT given.g, 'spread' AS m, (actual_revenue - total / n) * (actual_revenue - total / n) AS x
+  FROM given JOIN added ON given.g IS NOT DISTINCT FROM added.g AND m = 'actual')
+{exact("spreads", "spread")}
+, sums AS (
+  SELECT g, max(n) AS days, max(CASE WHEN m = 'square' THEN total END) AS square,
+         max(CASE WHEN m = 'size' THEN total END) AS size, max(CASE WHEN m = 'percent' THEN total END) AS percent
+  FROM added GROUP BY g)
+, measured AS (
+  SELECT sums.g, days, sqrt(square / days) AS rmse, size / days AS mae,
+         CASE WHEN total <> 0 THEN 1 - square / total END AS r2, percent / days AS mape,
+         CASE WHEN percent / days < 15 THEN 'good' ELSE 'poor' END AS quality
+  FROM sums JOIN spread ON sums.g IS NOT DISTINCT FROM spread.g)"""
+
+
 TOTALS = TX + """,
 totals AS (
   SELECT region, category, CAST(sum(sales_amount) AS DOUBLE) AS total_revenue,
@@ -181,25 +238,23 @@ SELECT spine.date, coalesce(daily_revenue, 0) AS daily_revenue,
 FROM spine LEFT JOIN daily ON daily.date = spine.date""",
     "baseline_predictions": "WITH" + PREDICTIONS + "\nSELECT * FROM predictions",
     "forecast_errors": "WITH" + PREDICTIONS + PAGE,
-    "eval_metrics": "WITH" + PREDICTIONS + """
-SELECT count(*) AS days,
-       sqrt(avg(error * error ORDER BY date)) AS rmse,
-       avg(abs(error) ORDER BY date) AS mae,
-       1 - sum(error * error ORDER BY date)
-         / sum((actual_revenue - centre) * (actual_revenue - centre) ORDER BY date) AS r2,
-       avg(abs_percent_error ORDER BY date) AS mape,
-       CASE WHEN avg(abs_percent_error ORDER BY date) < 15 THEN 'good' ELSE 'poor' END AS quality
-FROM errors, (SELECT avg(actual_revenue ORDER BY date) AS centre FROM errors)""",
+    "eval_metrics": "WITH" + PREDICTIONS + metrics("errors", "0") + """
+SELECT days, rmse, mae, r2, mape, quality FROM measured""",
     "overview": "WITH" + PREDICTIONS + """,
 best AS (SELECT * FROM errors ORDER BY abs_percent_error, date LIMIT 1),
 worst AS (SELECT * FROM errors ORDER BY abs_percent_error DESC, date LIMIT 1),
+vals AS (
+  SELECT 0 AS g, 'actual' AS m, actual_revenue AS x FROM errors
+  UNION ALL SELECT 0, 'predicted', predicted_revenue FROM errors
+  UNION ALL SELECT 0, 'percent', abs_percent_error FROM errors
+)""" + exact("vals", "added") + """,
 figures AS (
   SELECT count(*) AS days, min(date) AS first_date, max(date) AS last_date,
-         sum(actual_revenue ORDER BY date) AS total_actual,
-         sum(predicted_revenue ORDER BY date) AS total_predicted,
-         avg(actual_revenue ORDER BY date) AS avg_actual,
-         avg(predicted_revenue ORDER BY date) AS avg_predicted,
-         avg(abs_percent_error ORDER BY date) AS mape
+         (SELECT total FROM added WHERE m = 'actual') AS total_actual,
+         (SELECT total FROM added WHERE m = 'predicted') AS total_predicted,
+         (SELECT total / n FROM added WHERE m = 'actual') AS avg_actual,
+         (SELECT total / n FROM added WHERE m = 'predicted') AS avg_predicted,
+         (SELECT total / n FROM added WHERE m = 'percent') AS mape
   FROM errors
 )
 SELECT figures.*, days > 0 AS has_data,
@@ -223,10 +278,14 @@ week AS (
   SELECT * FROM (VALUES (2,0,'Mon'),(3,1,'Tue'),(4,2,'Wed'),(5,3,'Thu'),(6,4,'Fri'),(7,5,'Sat'),(1,6,'Sun'))
     AS t(day_of_week_num, sort_key, day_name)
 ),
+vals AS (
+  SELECT day_of_week_num AS g, 'actual' AS m, actual_revenue AS x FROM predictions
+  UNION ALL SELECT day_of_week_num, 'predicted', predicted_revenue FROM predictions
+)""" + exact("vals", "added") + """,
 means AS (
-  SELECT day_of_week_num, avg(actual_revenue ORDER BY date) AS avg_actual,
-         avg(predicted_revenue ORDER BY date) AS avg_predicted
-  FROM predictions GROUP BY day_of_week_num
+  SELECT g AS day_of_week_num, max(CASE WHEN m = 'actual' THEN total / n END) AS avg_actual,
+         max(CASE WHEN m = 'predicted' THEN total / n END) AS avg_predicted
+  FROM added GROUP BY g
 )
 SELECT week.day_of_week_num, coalesce(avg_actual, 0) AS avg_actual,
        coalesce(avg_predicted, 0) AS avg_predicted, sort_key, day_name
@@ -307,4 +366,39 @@ SQL |= {
     AND date + 1 <= (SELECT max(date) FROM tx WHERE transaction_id % 10 <> 7) - 30""",
     "stream_rates": "SELECT count(*) AS input_rows, 3::BIGINT AS batches, true AS agree FROM lineitem",
     "stream_state_rows": SQL["region_category_totals"],
+    "rolling_calendar_days": "WITH" + DAILY + """,
+framed AS (
+  SELECT date, daily_revenue, count(revenue) OVER week AS days_sold, CAST(sum(revenue) OVER week AS DOUBLE) AS added
+  FROM daily
+  WINDOW week AS (ORDER BY date RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING)
+)
+SELECT date, daily_revenue, days_sold, coalesce(added, 0) AS window_revenue,
+       CASE WHEN days_sold > 0 THEN added / days_sold END AS mean_of_days_sold,
+       coalesce(added, 0) / 7 AS mean_of_days
+FROM framed""",
+    "store_metrics": "WITH" + TX + """,
+per_store AS (
+  SELECT l_suppkey AS store_key, CAST(l_shipdate AS DATE) AS date,
+         sum(CAST(CAST(l_quantity AS DECIMAL(10,0)) * CAST(p_retailprice AS DECIMAL(12,2))
+             * (CAST(1 AS DECIMAL(4,2)) - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,2))) AS revenue
+  FROM lineitem LEFT JOIN part ON p_partkey = l_partkey GROUP BY ALL
+),
+before AS (
+  SELECT store_key, date, CAST(revenue AS DOUBLE) AS actual_revenue,
+         lag(revenue) OVER (PARTITION BY store_key ORDER BY date) AS previous,
+         CAST(sum(revenue) OVER week AS DOUBLE) / nullif(count(revenue) OVER week, 0) AS predicted_revenue
+  FROM per_store
+  WINDOW week AS (PARTITION BY store_key ORDER BY date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY store_key ORDER BY date DESC) AS place
+  FROM before WHERE previous IS NOT NULL AND predicted_revenue IS NOT NULL
+),
+store_errors AS (
+  SELECT store_key, actual_revenue, predicted_revenue - actual_revenue AS error,
+         CASE WHEN actual_revenue = 0 THEN 0.0::DOUBLE
+              ELSE abs(predicted_revenue - actual_revenue) / actual_revenue * 100 END AS abs_percent_error
+  FROM placed WHERE place <= 180
+)""" + metrics("store_errors", "store_key") + """
+SELECT g AS store_key, days, rmse, mae, r2, mape, quality FROM measured""",
 }

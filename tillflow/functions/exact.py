@@ -1,0 +1,70 @@
+"""Sums of doubles that do not depend on the order of the rows.
+
+A double is cut into a whole number and four digits of 24 bits each. Digits are whole numbers
+and add up without rounding, in any order and over any number of tasks, as Spark's own partial
+sums; only the finished sum is rounded to a double, once. Addends are below 2^62 and finite,
+else the sum is an error; what they have below 2^-96 does not count.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+BITS = 24
+DIGITS = 4
+BASE = 2**BITS
+MOST = 2.0**62
+
+
+def _cut(value: Column) -> Column:
+    """The whole number towards zero, as a double."""
+    return F.when(value < 0, F.ceil(value)).otherwise(F.floor(value)).cast("double")
+
+
+def parts(value: Column) -> list[Column]:
+    """The whole number and the digits of a double, all with its sign."""
+    value = value.cast("double")
+    checked = F.when(
+        value.isNull() | (F.abs(value) < MOST), value,
+    ).otherwise(F.raise_error(F.lit("exact sums take finite numbers below 2^62")).cast("double"))
+    whole = _cut(checked)
+    rest, found = checked - whole, [whole.cast("decimal(20,0)")]
+    for _ in range(DIGITS):
+        rest = rest * float(BASE)
+        digit = _cut(rest)
+        found.append(digit.cast("long"))
+        rest = rest - digit
+    return found
+
+
+def _carried(whole: Column, digits: list[Column]) -> tuple[Column, list[Column]]:
+    """The same number with digits from 0 to the base."""
+    carry: Column | None = None
+    done: list[Column] = []
+    for digit in reversed(digits):
+        digit = digit if carry is None else digit + carry
+        carry = F.shiftright(digit, BITS)
+        done.insert(0, digit - carry * BASE)
+    return whole + carry, done
+
+
+def rounded(whole: Column, digits: list[Column]) -> Column:
+    """The double next to a number that is given by the sums of its parts; null for none."""
+    sign = F.when(_carried(whole, digits)[0] < 0, F.lit(-1)).otherwise(F.lit(1))
+    whole, digits = _carried(whole * sign, [d * sign for d in digits])
+    below = F.lit(0.0)
+    for digit in reversed(digits):
+        below = (below + digit.cast("double")) / float(BASE)
+    return (whole.cast("double") + below) * sign.cast("double")
+
+
+def total(value: Column) -> Column:
+    """An aggregate: the sum of the values that are not null; null if there are none."""
+    whole, *digits = parts(value)
+    return rounded(F.sum(whole), [F.sum(d) for d in digits])
+
+
+def mean(value: Column) -> Column:
+    """An aggregate: the exact sum, rounded, over the number of values."""
+    return total(value) / F.count(value)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.functions import errors
+from tillflow.functions import errors, exact
 
 ACTUAL = "actual_revenue"
 PREDICTED = "predicted_revenue"
@@ -24,47 +25,34 @@ def with_errors(predictions: DataFrame) -> DataFrame:
     })
 
 
-def by_date(*more: Column) -> Column:
-    """The days of a prediction table as a list in date order, to be added up in that order:
-    a sum of doubles then does not depend on how the table is split. The table has a row for
-    each held-out day, which bounds the list."""
-    return F.sort_array(F.collect_list(F.struct("date", ACTUAL, PREDICTED, *more)))
+def metrics(predictions: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Number of days, RMSE, MAE, R squared, MAPE and its class: one row, or one per key.
 
-
-def total(days: Column, value: Callable[[Column], Column]) -> Column:
-    """The sum of a value over the days in their order; null without a day."""
-    added = F.aggregate(days, F.lit(0.0), lambda s, day: s + F.coalesce(value(day), F.lit(0.0)))
-    return F.when(F.size(days) > 0, added)
-
-
-def mean(days: Column, value: Callable[[Column], Column]) -> Column:
-    there = F.size(F.filter(days, lambda day: value(day).isNotNull()))
-    return F.when(there > 0, total(days, value) / there)
-
-
-def _error(day: Column) -> Column:
-    return errors.signed_error(day[ACTUAL], day[PREDICTED])
-
-
-def _percent(day: Column) -> Column:
-    return errors.percent_error(day[ACTUAL], day[PREDICTED])
-
-
-def metrics(predictions: DataFrame) -> DataFrame:
-    """One row: number of days, RMSE, MAE, R squared, MAPE and its class."""
-    found = predictions.agg(by_date().alias("found"))
-    days = F.col("found")
-    centred = found.withColumn("centre", mean(days, lambda day: day[ACTUAL]))
-    spread = total(days, lambda day: (day[ACTUAL] - F.col("centre")) * (day[ACTUAL] - F.col("centre")))
-    return centred.withColumn("spread", spread).select(
-        F.size(days).cast("long").alias("days"),
-        F.sqrt(mean(days, lambda day: _error(day) * _error(day))).alias("rmse"),
-        mean(days, lambda day: F.abs(_error(day))).alias("mae"),
-        F.when(
-            F.col("spread") != 0, 1 - total(days, lambda day: _error(day) * _error(day)) / F.col("spread"),
-        ).alias("r2"),
-        F.coalesce(mean(days, _percent), F.lit(0.0)).alias("mape"),
-    ).withColumn("quality", errors.quality(F.col("mape")))
+    All sums are exact, so the figures have the same bits however the table is split. The spread
+    about the mean needs the mean first: one row per key, which meets the table again.
+    """
+    actual, predicted = F.col(ACTUAL), F.col(PREDICTED)
+    error = errors.signed_error(actual, predicted)
+    centre = exact.mean(actual).alias("centre")
+    if keys:
+        means = predictions.groupBy(*keys).agg(centre).select(*[F.col(k).alias(f"_{k}") for k in keys], "centre")
+        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+        centred = predictions.join(means, reduce(and_, same))
+    else:
+        centred = predictions.withColumn("centre", predictions.agg(centre).scalar())
+    apart = actual - F.col("centre")
+    return centred.groupBy(*keys).agg(
+        F.count("*").alias("days"),
+        F.sqrt(exact.mean(error * error)).alias("rmse"),
+        exact.mean(F.abs(error)).alias("mae"),
+        exact.total(error * error).alias("_wrong"),
+        exact.total(apart * apart).alias("_spread"),
+        F.coalesce(exact.mean(errors.percent_error(actual, predicted)), F.lit(0.0)).alias("mape"),
+    ).select(
+        *keys, "days", "rmse", "mae",
+        F.when(F.col("_spread") != 0, 1 - F.col("_wrong") / F.col("_spread")).alias("r2"),
+        "mape", errors.quality(F.col("mape")).alias("quality"),
+    )
 
 
 def overview(predictions: DataFrame) -> DataFrame:
@@ -79,18 +67,14 @@ def overview(predictions: DataFrame) -> DataFrame:
         F.count("*").alias("days"),
         F.min("date").alias("first_date"),
         F.max("date").alias("last_date"),
-        by_date().alias("found"),
+        exact.total(actual).alias("total_actual"),
+        exact.total(predicted).alias("total_predicted"),
+        exact.mean(actual).alias("avg_actual"),
+        exact.mean(predicted).alias("avg_predicted"),
+        F.coalesce(exact.mean(ape), F.lit(0.0)).alias("mape"),
         F.min_by(day, F.struct(ape, F.col("date"))).alias("best"),
         F.max_by(day, F.struct(ape, earliest_last)).alias("worst"),
     )
-    days = F.col("found")
-    summary = summary.withColumns({
-        "total_actual": total(days, lambda day: day[ACTUAL]),
-        "total_predicted": total(days, lambda day: day[PREDICTED]),
-        "avg_actual": mean(days, lambda day: day[ACTUAL]),
-        "avg_predicted": mean(days, lambda day: day[PREDICTED]),
-        "mape": F.coalesce(mean(days, _percent), F.lit(0.0)),
-    }).drop("found")
     found = {
         f"{which}_{short}": F.col(f"{which}.{name}")
         for which in ("best", "worst")

@@ -49,6 +49,22 @@ def with_history(daily: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     ).drop("_sum", "_rows")
 
 
+def with_calendar_frame(daily: DataFrame, days: int = ROLLING_ROWS, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Revenue of the ``days`` calendar days before each row: its mean over the days that have
+    any, their number, and the sum over all of them. Unlike the frame of rows, a gap in the series
+    does not reach further back, and days without a row count as nothing sold in the mean over all."""
+    before = W.partitionBy(*keys).orderBy(F.unix_date("date")).rangeBetween(-days, -1)
+    revenue = F.col("daily_revenue")
+    return daily.withColumns({
+        "_sum": F.sum(revenue).over(before),
+        "days_sold": F.count(revenue).over(before),
+    }).withColumns({
+        "window_revenue": F.coalesce(F.col("_sum").cast("double"), F.lit(0.0)),
+        "mean_of_days_sold": F.when(F.col("days_sold") > 0, F.col("_sum").cast("double") / F.col("days_sold")),
+        "mean_of_days": F.coalesce(F.col("_sum").cast("double"), F.lit(0.0)) / days,
+    }).drop("_sum")
+
+
 def drop_warm_up(df: DataFrame) -> DataFrame:
     """Without the rows that have no history: the first of each series."""
     return df.na.drop(subset=["prev_day_revenue", "rolling_7day_avg_revenue"])

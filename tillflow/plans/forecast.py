@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.ml.regression import RandomForestRegressionModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tillflow.operators import model
 from tillflow.operators.features import daily_features
 from tillflow.operators.split import TEST_DAYS, holdout, test_part, train_part
-from tillflow.schema import FEATURES
+from tillflow.schema import FEATURES, LABEL
 from tillflow.session import stored
 
 
@@ -18,6 +19,14 @@ def baseline_predictions(daily: DataFrame, test_days: int = TEST_DAYS) -> DataFr
     return model.prediction_table(test_part(split), "rolling_7day_avg_revenue")
 
 
+def keyed_predictions(daily: DataFrame, keys: tuple[str, ...], test_days: int = TEST_DAYS) -> DataFrame:
+    """The same for one series per key: key, date, actual and predicted revenue."""
+    held = test_part(holdout(daily_features(daily, keys), test_days, keys))
+    return held.select(
+        *keys, "date", F.col(LABEL).cast("double").alias("actual_revenue"),
+        F.col("rolling_7day_avg_revenue").alias("predicted_revenue"))
+
+
 def train_and_predict(
     daily: DataFrame, test_days: int = TEST_DAYS, inputs: list[str] = FEATURES,
     **settings: int,

@@ -82,6 +82,13 @@ def lag_rolling(spark: SparkSession, folder: str) -> DataFrame:
     ))
 
 
+def rolling_calendar_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Revenue of the seven calendar days before each day: the series has gaps."""
+    daily = retail.daily_revenue(spark, folder)
+    return money_as_double(features.with_calendar_frame(daily).select(
+        "date", LABEL, "days_sold", "window_revenue", "mean_of_days_sold", "mean_of_days"))
+
+
 def daily_features(spark: SparkSession, folder: str) -> DataFrame:
     return money_as_double(features.daily_features(retail.daily_revenue(spark, folder)))
 
@@ -117,6 +124,12 @@ def eval_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return evaluate.metrics(baseline_predictions(spark, folder))
 
 
+def store_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """The baseline's metrics for every store, each over its last 180 days of sales."""
+    daily = totals.daily_rollup(retail.priced_lines(spark, folder), ("store_key",))
+    return evaluate.metrics(forecast.keyed_predictions(daily, ("store_key",)), ("store_key",))
+
+
 def overview(spark: SparkSession, folder: str) -> DataFrame:
     return evaluate.overview(baseline_predictions(spark, folder))
 
@@ -440,9 +453,9 @@ QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         transactions, factors, surrogate_key, numbered_lines,
-        daily_revenue, calendar_features, lag_rolling, daily_features, holdout_split,
+        daily_revenue, calendar_features, lag_rolling, rolling_calendar_days, daily_features, holdout_split,
         date_spine, gap_filled_daily,
-        baseline_predictions, forecast_errors, eval_metrics, overview,
+        baseline_predictions, forecast_errors, eval_metrics, store_metrics, overview,
         predictions_page_1, predictions_page_last, page_info,
         weekday_profile, error_series, scatter_bounds, chart_series, report_json,
         region_category_totals, top15_groups, totals_text, live_totals, recent_events_20,

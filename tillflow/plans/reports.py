@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.functions import calendar, text
+from tillflow.functions import calendar, exact, text
 from tillflow.functions.money import money_as_double
-from tillflow.operators.evaluate import by_date, mean, with_errors
+from tillflow.operators.evaluate import with_errors
 from tillflow.operators.paging import PAGE_ROWS, newest_first
 from tillflow.operators.totals import RECENT_ROWS, latest, top_groups
 from tillflow.schema import LIVE_RAW, LIVE_TOTALS
@@ -32,10 +32,9 @@ def weekday_profile(predictions: DataFrame) -> DataFrame:
         F.col("id").cast("int").alias("day_of_week_num")
     )
     # At most one row per weekday, so it may be broadcast.
-    means = predictions.groupBy("day_of_week_num").agg(by_date().alias("found")).select(
-        "day_of_week_num",
-        mean(F.col("found"), lambda day: day["actual_revenue"]).alias("avg_actual"),
-        mean(F.col("found"), lambda day: day["predicted_revenue"]).alias("avg_predicted"),
+    means = predictions.groupBy("day_of_week_num").agg(
+        exact.mean(F.col("actual_revenue")).alias("avg_actual"),
+        exact.mean(F.col("predicted_revenue")).alias("avg_predicted"),
     )
     return (
         week.join(F.broadcast(means), "day_of_week_num", "left")
