@@ -31,7 +31,7 @@ KINDS = list(PATTERNS)
 HINTS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 TERM_KIND = "term"
 PART = "0*(25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"  # a number up to 255
-LEAST_BLOCK = 8  # matches whose starts are added up at once, at least
+BLOCK = 32  # matches whose starts are added up at once; appending copies half a block for each
 
 
 def _digits(match: Column) -> Column:
@@ -69,8 +69,7 @@ def located(rows: DataFrame, text: str, pattern: str, name: str, hint: str = "")
     """Adds the matches of a pattern as ``name``: array of (start, end, value), code points, end
     exclusive. What lies between two matches gives where the next begins.
 
-    Starts are added up in blocks of matches, whose size grows with the cube root of their number:
-    what is copied to append within blocks and from block to block is then least, at any number.
+    Starts are added up in blocks of matches, so that a text of many takes time in proportion.
     Lambdas refer to finished columns only, each used twice, which the optimizer leaves apart:
     folded into a lambda, the text would be cut anew for every match.
     """
@@ -80,11 +79,9 @@ def located(rows: DataFrame, text: str, pattern: str, name: str, hint: str = "")
     pairs = F.when(hinted, F.zip_with(gaps, matches, lambda gap, value: F.struct(
         gap.alias("gap"), value.alias("value"))))
     found = F.filter("__pairs", lambda p: p["value"].isNotNull())
-    block = F.greatest(F.lit(LEAST_BLOCK), F.cbrt(2 * F.size("__found")).cast("int"))
-    count = F.floor((F.size("__found") - 1) / F.col("__block")).cast("int")
+    count = F.floor((F.size("__found") - 1) / BLOCK).cast("int")
     blocks = F.when(F.size("__found") > 0, F.transform(
-        F.sequence(F.lit(0), count),
-        lambda b: F.slice("__found", b * F.col("__block") + 1, F.col("__block"))))
+        F.sequence(F.lit(0), count), lambda b: F.slice("__found", b * BLOCK + 1, BLOCK)))
 
     def length(pair: Column) -> Column:
         return pair["gap"] + F.length(pair["value"])
@@ -105,11 +102,10 @@ def located(rows: DataFrame, text: str, pattern: str, name: str, hint: str = "")
                     (s["at"] + p["gap"]).alias("start"), (s["at"] + length(p)).alias("end"),
                     p["value"].alias("value")))).alias("spans")))["spans"]
     return (
-        rows.withColumn("__pairs", pairs).withColumn("__found", found).withColumn("__block", block)
-        .withColumn("__blocks", blocks)
+        rows.withColumn("__pairs", pairs).withColumn("__found", found).withColumn("__blocks", blocks)
         .withColumn("__starts", starts)
         .withColumn(name, F.coalesce(F.flatten(F.zip_with("__blocks", "__starts", spans)), empty))
-        .drop("__pairs", "__found", "__block", "__blocks", "__starts")
+        .drop("__pairs", "__found", "__blocks", "__starts")
     )
 
 
