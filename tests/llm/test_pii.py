@@ -127,6 +127,7 @@ def test_no_text_is_cut_inside_a_lambda(documents):
     assert lambdas_with_a_cut(op.found(documents)) == []
     located = op.located(documents.select("doc_id", "text"), "text", op.TOKEN, "words")
     assert lambdas_with_a_cut(located) == []
+    assert lambdas_with_a_cut(op.each(located, F.col("words"), "w", "doc_id")) == []
 
 
 def test_texts_of_many_matches(make_docs):

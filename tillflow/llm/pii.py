@@ -141,6 +141,13 @@ def lowered(tokens: Column) -> Column:
     return F.array_distinct(F.transform(tokens, F.lower))
 
 
+def each(rows: DataFrame, items: Column, name: str, *others: str) -> DataFrame:
+    """A row for each item of a list, beside ``others``. From a plain explode the optimizer infers a
+    filter on the list's size and moves it below, which makes the list a second time and folds what
+    it is made of into lambdas; the outer one has no such filter."""
+    return rows.select(*others, F.explode_outer(items).alias(name)).where(F.col(name).isNotNull())
+
+
 def most_documents(n: Column, documents: int, prior: float, least: float) -> Column:
     """The number of documents up to which a term can disclose an entity of ``n`` documents: if it
     stood with the entity wherever the entity stands, its share would just reach ``least``."""
@@ -181,8 +188,7 @@ def placed_terms(held: DataFrame, marks: DataFrame) -> DataFrame:
     """(key, terms: start, end, term, action) from held texts (key, text, base) and marks (key, term,
     action): every place of a marked term, unless it overlaps a base span there."""
     texts = held.join(marks.select("key").distinct(), "key", "left_semi")
-    words = located(texts.select("key", "text"), "text", TOKEN, "words").select(
-        "key", F.explode("words").alias("w")).select(
+    words = each(located(texts.select("key", "text"), "text", TOKEN, "words"), F.col("words"), "w", "key").select(
         "key", F.col("w.start").alias("start"), F.col("w.end").alias("end"), F.lower("w.value").alias("term"))
     hits = words.join(marks, ["key", "term"])
     base = texts.select("key", F.explode("base").alias("s")).select(
@@ -228,9 +234,10 @@ def sanitise(docs: DataFrame, prior: float = PRIOR, generalise_at: float = 0.7,
     entities = held.select("key", F.explode(F.array_distinct(entity)).alias("entity"))
     classes = stored(entity_classes(entities, max(documents, 1), prior, generalise_at), "pii-classes")
     most = classes.agg(F.max("most")).first()[0]
-    terms = distinct_documents(whole).select(F.explode(lowered(tokens(F.col("text")))).alias("term")).groupBy(
-        "term").agg(F.count("*").alias("term_n")).where(F.col("term_n") <= F.lit(-1.0 if most is None else most))
-    rare = held.select("key", F.explode(lowered(tokens(F.col("text")))).alias("term")).join(terms, "term")
+    words = lowered(tokens(F.col("text")))
+    terms = each(distinct_documents(whole), words, "term").groupBy("term").agg(
+        F.count("*").alias("term_n")).where(F.col("term_n") <= F.lit(-1.0 if most is None else most))
+    rare = each(held, words, "term", "key").join(terms, "term")
     of_key = classes.groupBy("key").agg(F.collect_list(F.struct("cls", "n", "most")).alias("classes"))
     met = stored(rare.join(of_key, "key").select("key", "term", "term_n", F.explode(F.filter(
         "classes", lambda c: c["most"] >= F.col("term_n"))).alias("c")).select(
