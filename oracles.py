@@ -307,6 +307,25 @@ SQL |= {
     AND date + 1 <= (SELECT max(date) FROM tx WHERE transaction_id % 10 <> 7) - 30""",
     "stream_rates": "SELECT count(*) AS input_rows, 3::BIGINT AS batches, true AS agree FROM lineitem",
     "stream_state_rows": SQL["region_category_totals"],
+    "live_document": "WITH" + TX + """,
+seen AS (SELECT *, date >= DATE '1997-01-01' AS of_last FROM tx WHERE date < DATE '1999-06-01'),
+totals AS (
+  SELECT region || ' / ' || category AS label, region, category, sum(sales_amount) AS revenue, sum(units_sold) AS units
+  FROM seen GROUP BY region, category
+),
+top AS (SELECT * FROM totals ORDER BY revenue DESC, region, category LIMIT 15),
+recent AS (
+  SELECT *, row_number() OVER (ORDER BY of_last DESC, transaction_id DESC, date DESC, store_id DESC, region DESC,
+    product_id DESC, category DESC, units_sold DESC, unit_price DESC, sales_amount DESC) AS place
+  FROM seen QUALIFY place <= 20
+)
+SELECT true AS has_data, 1::BIGINT AS batch_id, true AS agrees, count(*) AS total_transactions,
+       CAST(sum(sales_amount) AS DOUBLE) AS total_revenue,
+       (SELECT string_agg(label || '|' || CAST(revenue * 100 AS BIGINT) || '|' || CAST(units AS BIGINT), ';'
+          ORDER BY revenue DESC, region, category) FROM top) AS aggregates,
+       (SELECT string_agg(transaction_id || '|' || strftime(date, '%Y-%m-%d') || '|' || store_id || '|' || product_id
+          || '|' || CAST(sales_amount * 100 AS BIGINT), ';' ORDER BY place) FROM recent) AS recent
+FROM seen""",
     "rolling_calendar_days": "WITH" + DAILY + """,
 framed AS (
   SELECT date, daily_revenue, count(revenue) OVER week AS days_sold, CAST(sum(revenue) OVER week AS DOUBLE) AS added

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.functions import calendar, text
@@ -102,6 +102,22 @@ def live_snapshot(totals: DataFrame, raw: DataFrame, has_data: bool = True) -> D
     return _snapshot(totals, recent, raw.agg(F.count("*")), has_data)
 
 
+def live_document(totals: DataFrame, raw: DataFrame, batch: int | None) -> DataFrame:
+    """The live report after a batch that both tables hold (`live.read_shared`) as one JSON text:
+    ISO dates, nulls kept, ``agrees`` if both tables hold the same revenue. Rows that came at
+    the same time are ordered by what is shown of them, so the list does not depend on files."""
+    recent = raw.select(*RECENT_COLUMNS).orderBy(
+        F.desc("received_at"), *[F.desc(name) for name in RECENT_COLUMNS]).limit(RECENT_ROWS)
+
+    def revenue(rows: DataFrame, name: str) -> Column:
+        return rows.agg(F.coalesce(F.sum(name), F.lit(0)).cast("decimal(38,2)").alias("revenue")).scalar()
+    report = _snapshot(totals, recent, raw.agg(F.count("*")), batch is not None)
+    return json_document(report.withColumns({
+        "batch_id": F.lit(batch).cast("long"),
+        "agrees": revenue(totals, "total_revenue") == revenue(raw, "sales_amount"),
+    }))
+
+
 def database_snapshot(
     spark: SparkSession, database: Database, totals_table: str, raw_table: str
 ) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tillflow.functions import codec
 from tillflow.functions.money import from_cents, money_as_double
-from tillflow.plans import retail
+from tillflow.plans import reports, retail
 from tillflow.schema import COORDINATED, LIVE_RAW, TRANSACTION
 from tillflow.session import emptied, new_folder, stored
 from tillflow.streaming import eventtime, ledger, live, progress
@@ -168,9 +168,52 @@ def stream_state_rows(spark: SparkSession, folder: str) -> DataFrame:
         F.col("units").alias("total_units_sold")))
 
 
+#: What is read back of the live document.
+LIVE_DOCUMENT = (
+    "has_data boolean, batch_id long, agrees boolean, total_transactions long, total_revenue double, "
+    "aggregates array<struct<label:string,total_revenue:double,total_units_sold:long>>, "
+    "recent array<struct<transaction_id:long,date:string,store_id:string,product_id:string,sales_amount:double>>")
+
+
+def live_document(spark: SparkSession, folder: str) -> DataFrame:
+    """The live report as JSON, read back, while the raw query is a delivery ahead of the totals:
+    it tells of the two deliveries that both have seen."""
+    topic, raw_path, totals_path = (new_folder(spark, n) for n in ("topic", "live-raw", "live-totals"))
+    raw_place, totals_place = (new_folder(spark, n) for n in ("raw-checkpoint", "totals-checkpoint"))
+    messages = _messages(spark, folder)
+
+    def raw_query():
+        return live.start_raw(_stream(spark, topic), live.raw_files(raw_path), raw_place, _name("raw_records"))
+
+    def totals_query():
+        return live.start_totals(
+            _stream(spark, topic), live.totals_files(totals_path), totals_place, _name("running_totals"))
+    first, second, third = _pieces()
+    for piece, started in ((first, (raw_query, totals_query)), (second, (raw_query, totals_query)),
+                           (third, (raw_query,))):
+        _deliver(messages.where(piece), topic)
+        live.run_to_end(*[start() for start in started])
+    emptied(spark, topic)
+    document = reports.live_document(*live.read_shared(spark, totals_path, raw_path))
+    told = document.select(F.from_json("document", LIVE_DOCUMENT).alias("d")).select("d.*")
+
+    def cents(value: Column) -> Column:
+        return F.round(value * 100).cast("long").cast("string")
+
+    def listed(name: str, line) -> Column:
+        return F.concat_ws(";", F.transform(name, lambda r: F.concat_ws("|", *line(r)))).alias(name)
+    return told.select(
+        "has_data", "batch_id", "agrees", "total_transactions", "total_revenue",
+        listed("aggregates", lambda r: (
+            r["label"], cents(r["total_revenue"]), r["total_units_sold"].cast("string"))),
+        listed("recent", lambda r: (
+            r["transaction_id"].cast("string"), r["date"], r["store_id"], r["product_id"], cents(r["sales_amount"]))))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         stream_deduped, stream_daily_revenue, stream_late_rows, stream_raw_ledger, stream_rates, stream_state_rows,
+        live_document,
     )
 }

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tillflow.functions.codec import dead_letters, decode
@@ -21,6 +22,7 @@ from tillflow.schema import LIVE_RAW, LIVE_TOTALS, MESSAGE
 from tillflow.sinks.files import preview
 from tillflow.sources.files import read_if_exists
 from tillflow.sources.jdbc import Database
+from tillflow.streaming.files import listed
 
 BATCH = "batch_id"
 RUN = "run"
@@ -249,6 +251,25 @@ def read_totals(spark: SparkSession, path: str) -> tuple[DataFrame, bool]:
     return spark.read.schema(LIVE_TOTALS).parquet(_state(path, states[-1][0])), True
 
 
+def read_shared(
+    spark: SparkSession, totals_path: str, raw_path: str, run: str = "0"
+) -> tuple[DataFrame, DataFrame, int | None]:
+    """Totals and raw rows after the last batch that both targets hold, and its number; empty
+    tables and None if they share none. Totals states are looked through from the last one, as
+    many as the totals are ahead; raw rows of later batches are left out. Both queries have
+    begun together, and cut their batches alike."""
+    done = listed(spark, f"{raw_path}/{RUN}={run}/{BATCH}=*/_SUCCESS")
+    last = max((int(p.split(f"{BATCH}=")[-1].split("/")[0]) for p in done), default=-1)
+    layout = T.StructType([*LIVE_RAW.fields, T.StructField(RUN, T.StringType())])
+    raw = read_if_exists(spark, raw_path, layout)[0].where(F.col(RUN) == run).drop(RUN)
+    for number, _ in reversed(_states(spark, totals_path)):
+        totals = spark.read.schema(LIVE_TOTALS).parquet(_state(totals_path, number))
+        batch = totals.agg(F.max(BATCH)).first()[0]
+        if batch is not None and batch <= last:
+            return totals, raw.where(F.col(BATCH) <= batch), batch
+    return spark.createDataFrame([], LIVE_TOTALS), raw.where(F.lit(False)), None
+
+
 def batch_rates(raw: DataFrame) -> DataFrame:
     """Rows of each batch of the raw table, and rows per second since the batch
     before it arrived. There is one row per batch, so the window is small."""
