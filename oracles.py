@@ -280,6 +280,7 @@ SELECT event_id || ',' || CASE WHEN event_type = 'error' THEN 'bad ' ELSE '' END
 FROM events WHERE event_type IN ('error', 'view')""",
     "csv_roundtrip": "WITH" + TX + TX_COLUMNS,
     "appended_orders": "SELECT * FROM orders",
+    "bounded_scan_spread": "SELECT count(*) // 2 AS rows, true AS whole FROM lineitem",
     "bounded_scan": """
 SELECT event_id, ts, event_type, value FROM events ORDER BY event_id LIMIT 1000""",
     "published_messages": "WITH" + TX + """

@@ -8,7 +8,7 @@ from tillflow.functions import codec
 from tillflow.schema import LIVE_TOTALS, MESSAGE, TRANSACTION
 from tillflow.session import CHECKPOINT_DIR, emptied, new_folder, shared_root, shuffle_partitions, stored
 from tillflow.sinks.files import append_rows, json_document, publish, write_csv
-from tillflow.sources.files import bounded, read_csv, read_if_exists, spread, table
+from tillflow.sources.files import bounded, first_rows, read_csv, read_if_exists, spread, table
 from tillflow.sources.jdbc import Database
 
 
@@ -169,3 +169,21 @@ def test_database_writes_append_or_replace_in_place():
     database.replace(Frame, "totals", createTableColumnTypes="region varchar(32)")
     assert Frame.write.seen["mode"] == "overwrite" and Frame.write.seen["truncate"] == "true"
     assert Frame.write.seen["createTableColumnTypes"] == "region varchar(32)"
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 250, 999, 1000, 5000])
+def test_first_rows_of_many_partitions(spark, tmp_path, n):
+    path = str(tmp_path / "rows")
+    spark.range(1000).repartition(13).write.parquet(path)
+    rows = [r.id for r in first_rows(spark.read.parquet(path), n).collect()]
+    assert len(rows) == len(set(rows)) == min(n, 1000) and set(rows) <= set(range(1000))
+
+
+def test_first_rows_move_no_row(spark, tmp_path):
+    """The only exchanges are those of the counts and their window, and of one row a partition."""
+    path = str(tmp_path / "rows")
+    spark.range(1000).selectExpr("id", "id % 7 as more").repartition(13).write.parquet(path)
+    plan = first_rows(spark.read.parquet(path), 500)._jdf.queryExecution().executedPlan().toString()
+    assert "Limit" not in plan
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+    assert exchanges and not any("more#" in line or "id#" in line for line in exchanges), exchanges

@@ -18,7 +18,7 @@ from tillflow.schema import FEATURES, PREDICTION
 from tillflow.session import stored
 from tillflow.sinks.files import publish
 from tillflow.sinks.published import publish_table, read_published
-from tillflow.sources.files import bounded, dated, read_csv
+from tillflow.sources.files import dated, first_rows, read_csv
 from tillflow.streaming import live
 
 
@@ -56,9 +56,10 @@ def train_from_csv(
 def publish_csv(
     spark: SparkSession, source: str, fmt: str = "kafka", limit: int | None = None, **options: str
 ) -> None:
-    """Transactions in CSV to messages of a topic, from all executors at once. A
-    consumer sets the pace by the size of its batches."""
-    publish(bounded(read_csv(spark, source), limit), fmt, **options)
+    """Transactions in CSV to messages of a topic, from all executors at once, also those of a
+    ``limit``. A consumer sets the pace by the size of its batches."""
+    lines = read_csv(spark, source)
+    publish(lines if limit is None else first_rows(lines, limit), fmt, **options)
 
 
 def start_live(

@@ -25,7 +25,7 @@ from tillflow.schema import LABEL, MESSAGE, PREDICTION, TRANSACTION
 from tillflow.session import emptied, new_folder, stored
 from tillflow.sinks.files import append_rows, publish_files, write_csv
 from tillflow.sinks.published import publish_table, read_published
-from tillflow.sources.files import bounded, date_spine_of, read_csv, table
+from tillflow.sources.files import bounded, date_spine_of, first_rows, read_csv, table
 from tillflow.streaming import live
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -280,6 +280,17 @@ def bounded_scan(spark: SparkSession, folder: str) -> DataFrame:
     return bounded(events, 1000, [F.col("event_id")])
 
 
+def bounded_scan_spread(spark: SparkSession, folder: str) -> DataFrame:
+    """Half of the lines, whichever come first: how many they are, and whether each is a line of
+    the table and none came twice."""
+    keys = ["l_orderkey", "l_linenumber"]
+    lines = table(spark, folder, "lineitem").select(*keys)
+    taken = first_rows(lines, lines.count() // 2)
+    most = lines.groupBy(*keys).agg(F.count("*").alias("there"))
+    seen = taken.groupBy(*keys).agg(F.count("*").alias("rows")).join(most, keys, "left")
+    return seen.agg(F.sum("rows").alias("rows"), F.bool_and(F.col("rows") <= F.coalesce("there", F.lit(0))).alias("whole"))
+
+
 # --- the live path -----------------------------------------------------------
 
 FILES = 4  # files of a topic; the live queries take one in a batch
@@ -490,7 +501,7 @@ QUERIES: dict[str, Query] = {
         weekday_profile, error_series, scatter_bounds, chart_series, report_json,
         region_category_totals, top15_groups, totals_text, live_totals, recent_events_20,
         json_roundtrip, json_good_rows, json_dead_letter,
-        csv_roundtrip, appended_orders, bounded_scan,
+        csv_roundtrip, appended_orders, bounded_scan, bounded_scan_spread,
         csv_rejects, null_id_totals, stream_dead_letters, stream_restart,
         published_messages, stream_totals, stream_raw_append, stream_throughput, live_snapshot,
         rf_predictions, rf_metrics, rf_importances, predictions_of_forest, overview_of_forest,
