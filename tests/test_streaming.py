@@ -1,3 +1,4 @@
+import datetime as dt
 import uuid
 from decimal import Decimal
 
@@ -6,9 +7,11 @@ from pyspark.sql import functions as F
 
 from tillflow.functions import codec
 from tillflow.operators.totals import group_totals
+from tillflow.plans import queries
 from tillflow.plans.jobs import start_live
 from tillflow.plans.reports import database_snapshot, live_snapshot
-from tillflow.schema import LIVE_RAW, LIVE_TOTALS, MESSAGE, TRANSACTION
+from tillflow.schema import LIVE_RAW, LIVE_TOTALS, MESSAGE, TABLES, TRANSACTION
+from tillflow.sinks import files as files_sink
 from tillflow.sinks.files import append_rows, publish, publish_files
 from tillflow.sources.files import read_if_exists
 from tillflow.sources.jdbc import Database
@@ -332,3 +335,36 @@ def test_a_new_checkpoint_is_not_stale_and_loses_no_raw_row(spark, make_tx, tmp_
         live.start_raw(stream, live.raw_files(f"{path}/raw", run="second"), f"{path}/new-raw", name()))
     assert totals(spark, path) == expected(make_tx(*rows(0, 4)))
     assert live.read_raw(spark, f"{path}/raw")[0].count() == 34
+
+
+@pytest.mark.parametrize("messages, parts, files", [(0, 4, 1), (40, 4, 1), (41, 4, 2), (10_000, 4, 250), (41, 1, 5)])
+def test_files_of_a_topic_grow_with_its_messages(monkeypatch, messages, parts, files):
+    monkeypatch.setattr(files_sink, "FILE_MESSAGES", 10)
+    assert files_sink.files_per_part(messages, parts) == files
+
+
+def order_tables(spark, folder, lines):
+    """Order tables of so many lines, with one part, store and region."""
+    def write(name, rows):
+        spark.createDataFrame(rows, TABLES[name]).coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+    day = dt.datetime(1996, 1, 1)
+    write("region", [(1, "North")])
+    write("nation", [(1, "N", 1)])
+    write("supplier", [(1, "S", 1, 0.0)])
+    write("part", [(1, "p", "b", "Toys", 1, 2.0)])
+    write("lineitem", [(i, 1, 1, 1, 3.0, 6.0, 0.0, 0.0, "N", "O", day + dt.timedelta(i * 13)) for i in range(lines)])
+
+
+@pytest.mark.parametrize("query, batches", [("stream_totals", 4), ("null_id_totals", 4), ("stream_restart", 2)])
+def test_a_task_writes_and_reads_a_bounded_part_of_a_topic(spark, tmp_path, monkeypatch, query, batches):
+    monkeypatch.setattr(files_sink, "FILE_MESSAGES", 10)
+    order_tables(spark, tmp_path, 160)
+    taken, written = [], []
+    stream, publish_files = live.file_stream, queries.publish_files
+    monkeypatch.setattr(live, "file_stream", lambda s, p, **o: taken.append(o["maxFilesPerTrigger"]) or stream(s, p, **o))
+    monkeypatch.setattr(queries, "publish_files", lambda df, p: written.append(
+        df.rdd.getNumPartitions()) or publish_files(df, p))
+    found = queries.QUERIES[query](spark, str(tmp_path)).collect()
+    assert [tuple(r) for r in found] == [("North", "Toys", 960.0, 480)]
+    assert set(taken) == {str(160 // (10 * batches))}
+    assert set(written) == {16}

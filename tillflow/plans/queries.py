@@ -23,7 +23,7 @@ from tillflow.plans import forecast, reports, retail
 from tillflow.plans.stream_queries import QUERIES as STREAM_QUERIES
 from tillflow.schema import LABEL, MESSAGE, PREDICTION, TRANSACTION
 from tillflow.session import emptied, new_folder, stored
-from tillflow.sinks.files import append_rows, publish_files, write_csv
+from tillflow.sinks.files import append_rows, files_per_part, publish_files, write_csv
 from tillflow.sinks.published import publish_table, read_published
 from tillflow.sources.files import bounded, date_spine_of, first_rows, read_csv, table
 from tillflow.streaming import live
@@ -293,57 +293,63 @@ def bounded_scan_spread(spark: SparkSession, folder: str) -> DataFrame:
 
 # --- the live path -----------------------------------------------------------
 
-FILES = 4  # files of a topic; the live queries take one in a batch
+BATCHES = 4  # batches of a topic; the files of each grow in number with the table
 
 
-def _topic(spark: SparkSession, folder: str) -> str:
-    """The transactions, published as messages to a few files, so that a live query
-    carries its state over several batches."""
-    path = new_folder(spark, "topic")
-    publish_files(retail.transactions(spark, folder).repartition(FILES), path)
-    return path
+def _share(spark: SparkSession, folder: str, name: str = "lineitem", batches: int = BATCHES) -> int:
+    """Files of a batch, if the rows of a table come as messages in so many batches. The rows
+    are counted by the footers of its files."""
+    return files_per_part(table(spark, folder, name).count(), batches)
 
 
-def _stream(spark: SparkSession, topic: str) -> DataFrame:
-    return live.file_stream(live.live_session(spark), topic, maxFilesPerTrigger="1")
+def _topic(spark: SparkSession, folder: str) -> tuple[str, int]:
+    """The transactions, published as messages to files that a live query takes in a few
+    batches, so that it carries its state over them; and the files of a batch."""
+    path, share = new_folder(spark, "topic"), _share(spark, folder)
+    publish_files(retail.transactions(spark, folder).repartition(BATCHES * share), path)
+    return path, share
+
+
+def _stream(spark: SparkSession, topic: str, share: int) -> DataFrame:
+    return live.file_stream(live.live_session(spark), topic, maxFilesPerTrigger=str(share))
 
 
 def _name(query: str) -> str:
     return f"{query}_{uuid.uuid4().hex[:8]}"
 
 
-def _start_totals(spark: SparkSession, topic: str) -> tuple[str, StreamingQuery]:
+def _start_totals(spark: SparkSession, topic: str, share: int) -> tuple[str, StreamingQuery]:
     path = new_folder(spark, "live-totals")
     return path, live.start_totals(
-        _stream(spark, topic), live.totals_files(path),
+        _stream(spark, topic, share), live.totals_files(path),
         new_folder(spark, "totals-checkpoint"), _name("running_totals"),
     )
 
 
-def _start_raw(spark: SparkSession, topic: str) -> tuple[str, StreamingQuery]:
+def _start_raw(spark: SparkSession, topic: str, share: int) -> tuple[str, StreamingQuery]:
     path = new_folder(spark, "live-raw")
     return path, live.start_raw(
-        _stream(spark, topic), live.raw_files(path, run=uuid.uuid4().hex),
+        _stream(spark, topic, share), live.raw_files(path, run=uuid.uuid4().hex),
         new_folder(spark, "raw-checkpoint"), _name("raw_records"),
     )
 
 
 def _raw_table(spark: SparkSession, folder: str) -> DataFrame:
-    topic = _topic(spark, folder)
-    path, query = _start_raw(spark, topic)
+    topic, share = _topic(spark, folder)
+    path, query = _start_raw(spark, topic, share)
     live.run_to_end(query)
     emptied(spark, topic)
     return live.read_raw(spark, path)[0]
 
 
 def published_messages(spark: SparkSession, folder: str) -> DataFrame:
-    messages = spark.read.schema(MESSAGE).parquet(_topic(spark, folder))
+    messages = spark.read.schema(MESSAGE).parquet(_topic(spark, folder)[0])
     return messages.select(F.col("value").cast("string").alias("message"))
 
 
 def stream_totals(spark: SparkSession, folder: str) -> DataFrame:
-    topic = _topic(spark, folder)
-    path, query = _start_totals(spark, topic)
+    topic, share = _topic(spark, folder)
+    path, query = _start_totals(spark, topic, share)
     live.run_to_end(query)
     emptied(spark, topic)
     rows, _ = live.read_totals(spark, path)
@@ -358,10 +364,11 @@ def stream_restart(spark: SparkSession, folder: str) -> DataFrame:
     topic, path, place = (new_folder(spark, n) for n in ("topic", "live-totals", "totals-checkpoint"))
     sales = retail.transactions(spark, folder)
     late = F.col("transaction_id") % 3 == 0
+    share = _share(spark, folder, batches=2)
     for part in (sales.where(~late), sales.where(late)):
-        publish_files(part.repartition(2), topic)
+        publish_files(part.repartition(2 * share), topic)
         live.run_to_end(live.start_totals(
-            _stream(spark, topic), live.totals_files(path), place, _name("running_totals")))
+            _stream(spark, topic, share), live.totals_files(path), place, _name("running_totals")))
     emptied(spark, topic)
     return money_as_double(live.read_totals(spark, path)[0].select(
         "region", "category", "total_revenue", "total_units_sold"))
@@ -372,9 +379,10 @@ def null_id_totals(spark: SparkSession, folder: str) -> DataFrame:
     topic, path = new_folder(spark, "topic"), new_folder(spark, "live-totals")
     sales = retail.transactions(spark, folder)
     some = F.when(F.col("transaction_id") % 10 != 0, F.col("transaction_id"))
-    publish_files(sales.withColumn("transaction_id", some).repartition(FILES), topic)
+    share = _share(spark, folder)
+    publish_files(sales.withColumn("transaction_id", some).repartition(BATCHES * share), topic)
     live.run_to_end(live.start_totals(
-        _stream(spark, topic), live.totals_files(path), new_folder(spark, "totals-checkpoint"),
+        _stream(spark, topic, share), live.totals_files(path), new_folder(spark, "totals-checkpoint"),
         _name("running_totals")))
     emptied(spark, topic)
     return money_as_double(live.read_totals(spark, path)[0].select(
@@ -384,9 +392,10 @@ def null_id_totals(spark: SparkSession, folder: str) -> DataFrame:
 def stream_dead_letters(spark: SparkSession, folder: str) -> DataFrame:
     """What the live queries leave out of the event messages, kept by the third query."""
     topic, path = new_folder(spark, "topic"), new_folder(spark, "rejects")
-    _event_messages(spark, folder).repartition(FILES).write.parquet(topic)
+    share = _share(spark, folder, "events")
+    _event_messages(spark, folder).repartition(BATCHES * share).write.parquet(topic)
     live.run_to_end(live.start_rejects(
-        _stream(spark, topic), live.raw_files(path), new_folder(spark, "rejects-checkpoint"), _name("rejects")))
+        _stream(spark, topic, share), live.raw_files(path), new_folder(spark, "rejects-checkpoint"), _name("rejects")))
     emptied(spark, topic)
     kept = spark.read.parquet(path)
     return kept.where(F.col("received_at").isNotNull()).select(
@@ -421,9 +430,9 @@ def stream_throughput(spark: SparkSession, folder: str) -> DataFrame:
 
 def live_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     """Both live queries side by side, then the live report over their tables."""
-    topic = _topic(spark, folder)
-    totals_path, summing = _start_totals(spark, topic)
-    raw_path, appending = _start_raw(spark, topic)
+    topic, share = _topic(spark, folder)
+    totals_path, summing = _start_totals(spark, topic, share)
+    raw_path, appending = _start_raw(spark, topic, share)
     live.run_to_end(summing, appending)
     emptied(spark, topic)
     sums, summed = live.read_totals(spark, totals_path)
