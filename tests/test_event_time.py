@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from tillflow.functions import codec
 from tillflow.operators.totals import daily_rollup
+from tillflow.plans import stream_queries
 from tillflow.schema import COORDINATED, LIVE_RAW, TRANSACTION
+from tillflow.sinks import files as files_sink
 from tillflow.streaming import eventtime, ledger, live, progress
 from tillflow.streaming.files import checkpoint_id, created, exists, listed
 
@@ -142,6 +144,28 @@ def test_restart_and_new_checkpoint_keep_each_row_once(spark, make_tx, tmp_path)
     assert owners == {checkpoint_id(spark, f"{path}/{c}") for c in "ab"}
 
 
+def test_messages_read_anew_are_not_parsed_again(spark, make_tx, tmp_path, monkeypatch):
+    path, parsed = str(tmp_path), []
+    monkeypatch.setattr(ledger, "decode", lambda rows, *more: parsed.append(rows.count()) or codec.decode(rows, *more))
+
+    def run(checkpoint):
+        live.run_to_end(ledger.start_ledger(
+            stream(spark, f"{path}/topic"), f"{path}/ledger", f"{path}/{checkpoint}", name()))
+    tx = make_tx(*sales(range(30)))
+    for rows, checkpoint, new in (("id < 10", "a", [10]), ("id between 10 and 19", "a", [10]), ("id >= 20", "b", [0, 0, 10])):
+        deliver(tx.where(rows.replace("id", "transaction_id")), f"{path}/topic")
+        run(checkpoint)
+        assert [parsed.pop(0) for _ in new] == new and not parsed
+    assert ledger_ids(spark, path) == list(range(30))
+
+
+def test_deliveries_and_state_are_spread_for_more_messages(spark, monkeypatch):
+    monkeypatch.setattr(files_sink, "FILE_MESSAGES", 10)
+    for n, files, partitions in ((5, 4, 8), (120, 4, 12), (1200, 40, 120)):
+        messages = spark.range(n)
+        assert (stream_queries._files(messages), stream_queries._spread(messages)) == (files, partitions)
+
+
 @pytest.mark.parametrize("wrote_entry", [False, True])
 def test_a_batch_that_failed_is_not_seen_twice(spark, make_tx, tmp_path, wrote_entry):
     path = str(tmp_path)

@@ -9,14 +9,17 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
+from tillflow.functions.codec import decode
 from tillflow.schema import LIVE_RAW
 from tillflow.streaming.files import checkpoint_id, created, exists
-from tillflow.streaming.live import BATCH, COORDINATES, BatchSink, missing_rows
+from tillflow.streaming.live import BATCH, COORDINATES, BatchSink, _started, missing_rows
 
 ENTRY = "owner string, batch_id long, folder string, low long, high long"
 
@@ -28,7 +31,10 @@ def entries(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ENTRY).json(f"{path}/manifest")
 
 
-def ledger_files(path: str, checkpoint: str, keys: tuple[str, ...] = COORDINATES) -> BatchSink:
+def ledger_files(
+    path: str, checkpoint: str, keys: tuple[str, ...] = COORDINATES,
+    decoded: Callable[[DataFrame], DataFrame] | None = None,
+) -> BatchSink:
     """Appends each batch of the query with this ``checkpoint`` once.
 
     A batch that has its entry is left alone, so a repeated one adds nothing; one that failed
@@ -36,7 +42,8 @@ def ledger_files(path: str, checkpoint: str, keys: tuple[str, ...] = COORDINATES
     message and have to be carried by the query, the last of them its offset: messages that
     another checkpoint has brought already are left out, so that a query begun anew over the
     same topic adds only what is new. Only batches whose offsets overlap are looked at for it,
-    by their keys alone. One query writes at a time.
+    by their keys alone. ``decoded`` makes the rows of what is left: given to a query that hands
+    over its messages unread, it spares those that are left out. One query writes at a time.
     """
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -44,11 +51,11 @@ def ledger_files(path: str, checkpoint: str, keys: tuple[str, ...] = COORDINATES
         entry = f"{path}/manifest/{owner}-{batch_id:012d}.json"
         if exists(spark, entry):
             return
-        rows = batch.withColumn(BATCH, F.lit(batch_id).cast("long"))
-        folder = f"{path}/data/{owner}-{batch_id:012d}-{uuid.uuid4().hex}"
+        rows, folder = batch, f"{path}/data/{owner}-{batch_id:012d}-{uuid.uuid4().hex}"
         others = [e.folder for e in _overlapping(spark, path, owner, batch, keys[-1])]
         if others:
             rows = missing_rows(rows, spark.read.parquet(*others), keys)
+        rows = (decoded(rows) if decoded else rows).withColumn(BATCH, F.lit(batch_id).cast("long"))
         rows.write.parquet(folder)
         ends = spark.read.schema(rows.schema).parquet(folder).agg(F.min(keys[-1]), F.max(keys[-1])).first()
         created(spark, entry, json.dumps({
@@ -57,6 +64,19 @@ def ledger_files(path: str, checkpoint: str, keys: tuple[str, ...] = COORDINATES
     return sink
 
 
+def start_ledger(
+    messages: DataFrame, path: str, checkpoint: str, name: str = "raw_ledger",
+    permissive: bool = False, keys: tuple[str, ...] = COORDINATES, **trigger,
+) -> StreamingQuery:
+    """`live.start_raw` into the ledger, with the ``keys`` of the messages kept. A message is
+    parsed only when it is known to be new: a topic read anew costs its keys."""
+    def decoded(rows: DataFrame) -> DataFrame:
+        return decode(rows, permissive, (*keys, "received_at"))
+    return _started(
+        messages.select("value", *keys), "append", ledger_files(path, checkpoint, keys, decoded), "received_at",
+        name, checkpoint, trigger or {"availableNow": True}, 0)
+
+
 def _overlapping(spark: SparkSession, path: str, owner: str, batch: DataFrame, offset: str) -> list:
     found = entries(spark, path).where((F.col("owner") != owner) & F.col("low").isNotNull())
     if found.isEmpty():
