@@ -377,3 +377,32 @@ def test_a_topic_of_many_files_comes_in_as_many_batches(spark, tmp_path, monkeyp
     order_tables(spark, tmp_path, 80)
     topic, share = queries._topic(spark, str(tmp_path))
     assert share == 2 and len(listed(spark, f"{topic}/*.parquet")) == queries.BATCHES * share
+
+
+OVER_A_TOPIC = ["live_snapshot"]
+
+
+@pytest.mark.parametrize("lines, files", [(40, 4), (41, 8), (400, 40)])
+@pytest.mark.parametrize("query", OVER_A_TOPIC)
+def test_tasks_that_write_a_topic_grow_in_number_with_it(spark, tmp_path, monkeypatch, query, lines, files):
+    monkeypatch.setattr(files_sink, "FILE_MESSAGES", 10)
+    order_tables(spark, tmp_path, lines)
+
+    def publish_files(df, path):
+        raise Written(df.rdd.getNumPartitions())
+    monkeypatch.setattr(queries, "publish_files", publish_files)
+    with pytest.raises(Written, match=f"^{files}$"):
+        queries.QUERIES[query](spark, str(tmp_path))
+
+
+@pytest.mark.parametrize("query", [q for q in OVER_A_TOPIC if q != "published_messages"])
+def test_a_batch_takes_its_share_of_the_files_of_a_topic(spark, tmp_path, monkeypatch, query):
+    monkeypatch.setattr(files_sink, "FILE_MESSAGES", 10)
+    order_tables(spark, tmp_path, 400)
+
+    def file_stream(session, path, **options):
+        raise Written(options["maxFilesPerTrigger"])
+    monkeypatch.setattr(queries, "publish_files", lambda df, path: None)
+    monkeypatch.setattr(live, "file_stream", file_stream)
+    with pytest.raises(Written, match="^10$"):
+        queries.QUERIES[query](spark, str(tmp_path))
