@@ -379,7 +379,7 @@ def test_a_topic_of_many_files_comes_in_as_many_batches(spark, tmp_path, monkeyp
     assert share == 2 and len(listed(spark, f"{topic}/*.parquet")) == queries.BATCHES * share
 
 
-OVER_A_TOPIC = ["live_snapshot", "published_messages", "stream_raw_append", "stream_throughput"]
+OVER_A_TOPIC = ["live_snapshot", "published_messages", "stream_raw_append", "stream_throughput", "stream_totals"]
 
 
 @pytest.mark.parametrize("lines, files", [(40, 4), (41, 8), (400, 40)])
