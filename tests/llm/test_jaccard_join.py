@@ -131,3 +131,61 @@ def test_class_without_an_id_bridges_others(make_docs):
             (5, " ".join([*words, *(f"m{k}" for k in range(24))]))]
     assert brute(rows)[0][2] == brute(rows)[1][2] == brute(rows)[2][2] == 3
     assert answers(op.jaccard_join(make_docs(rows))) == brute(rows)
+
+
+@pytest.mark.parametrize("block", [16, 1024])
+def test_large_regions_of_strangers_need_no_round_over_the_cluster(make_docs, monkeypatch, block):
+    """Texts of which any two have 80 % in common: no pivot tells them apart."""
+    monkeypatch.setattr(op, "BLOCK", block, raising=False)
+    rounds, measure = [], op.measure_pivots
+    monkeypatch.setattr(op, "measure_pivots", lambda *a: rounds.append(1) or measure(*a))
+    line = " ".join(f"v{k}" for k in range(11))
+    rows = [(i, f"{line} only{i}") for i in range(200)] + [(500 + i, t) for i, t in near_copies(7, 1, 8)[:8]]
+    assert answers(op.jaccard_join(make_docs(rows), region_shingles=600)) == brute(rows)
+    assert not rounds
+
+
+def test_ngrams_that_are_frequent_in_no_task_are_put_last(spark):
+    line = "a line that stands in the text of every single task"
+    rows = [(i, f"{line} " + " ".join(f"w{i}x{k}" for k in range(9))) for i in range(40)]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, 40), "doc_id long, text string")
+    levels = op.cell_levels(op.describe(op._texts(docs, "doc_id", "text"), op.Rule()))
+    shared = op.shingle_sets([line.encode()], 4)[0] >> np.uint64(64 - op.CELL_BITS)
+    assert (levels[shared.astype(int)] > 0).all()
+
+
+def overlapping_sets(seed, n=150):
+    """Sets of single words, many of them just inside or outside the limit."""
+    rnd = random.Random(seed)
+    bases = [[f"w{rnd.randrange(60)}" for _ in range(rnd.randint(8, 40))] for _ in range(6)]
+    rows = []
+    for i in range(n):
+        words = list(dict.fromkeys(rnd.choice(bases)))
+        for _ in range(rnd.randint(0, 4)):
+            if rnd.random() < 0.6:
+                words.pop(rnd.randrange(len(words)))
+            if rnd.random() < 0.6:
+                words.append(f"w{rnd.randrange(60)}")
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize("percent", [60, 75, 85])
+def test_sizes_and_places_leave_no_link_out(make_docs, monkeypatch, percent):
+    monkeypatch.setattr(op, "BLOCK", 8, raising=False)
+    rows = overlapping_sets(percent)
+    wanted = brute(rows, 1, percent)
+    for most in (200, 4_000_000):
+        assert answers(op.jaccard_join(make_docs(rows), width=1, percent=percent, region_shingles=most)) == wanted
+
+
+def test_profiles_part_no_linked_members():
+    rule = op.Rule()
+    sets = sorted(op.shingle_sets([t.encode() for _, t in near_copies(3)], 4), key=len)
+    n = np.array([len(s) for s in sets])
+    profile = np.frombuffer(b"".join(map(op.profile_of, sets)), np.uint8).reshape(len(n), -1)
+    group = op.near_groups(n, profile, rule)
+    for a, s in enumerate(sets):
+        common = np.array([len(np.intersect1d(s, t)) for t in sets])
+        assert (group[rule.linked(common, n + n[a])] == group[a]).all()
+    assert len(set(group.tolist())) > 6

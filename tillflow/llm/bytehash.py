@@ -10,6 +10,7 @@ import numpy as np
 
 U = np.uint64
 GOLDEN = 0x9E3779B97F4A7C15
+LETTERS = 24
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
 
@@ -48,11 +49,20 @@ def word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
         return np.zeros(0, U), np.zeros(0, np.int64)
     end = np.flatnonzero(space & ~before)
     length = end - begin
-    at = np.flatnonzero(~space)
-    first = np.concatenate([[0], np.cumsum(length)[:-1]])
-    place = np.arange(len(at)) - np.repeat(first, length)
     weights = mix(np.arange(1, int(length.max()) + 1).astype(U) * U(GOLDEN)) | U(1)
-    summed = np.add.reduceat((data[at].astype(U) + U(1)) * weights[place], first)
+    summed, left, at = np.zeros(len(begin), U), np.arange(len(begin)), begin
+    for place in range(min(len(weights), LETTERS)):  # a letter of every word that has it
+        if place:
+            more = np.flatnonzero(length[left] > place)
+            left, at = left[more], begin[left[more]] + place
+        summed[left] += (data[at].astype(U) + U(1)) * weights[place]
+    if len(weights) > LETTERS:  # the rest of long words
+        long = np.flatnonzero(length > LETTERS)
+        rest = length[long] - LETTERS
+        first = np.cumsum(rest) - rest
+        place = np.arange(rest.sum()) - np.repeat(first, rest) + LETTERS
+        at = np.repeat(begin[long], rest) + place
+        summed[long] += np.add.reduceat((data[at].astype(U) + U(1)) * weights[place], first)
     text = np.searchsorted(starts, begin, side="right") - 1
     return mix(summed + length.astype(U)), text
 

@@ -10,9 +10,10 @@ apart. So the regions start from the n-grams: of two linked documents, each has
 n-gram among the first few of its set in any order that is the same for all (here, rare
 ones first). Documents that share such an n-gram gather around a pivot, the least of
 them, and what shares n-grams with a pivot is its root region. Before the sets
-are sent, members of a region without a possible partner are left out by a
-bound of the distance from short profiles. Regions that fit a task are joined there; larger ones
-are cut by pivots across the cluster, level by level.
+are sent, short profiles, which bound the distance, cut a region into groups without a possible
+link between them; in regions too large for a task, blocks of members meet in pairs for that.
+Groups that fit a task are joined there; larger ones are cut by pivots across the cluster,
+level by level.
 
 Equal sets are one class from the start. Members that a pivot has linked already are in
 one component, so pairs among them are not looked at: what comes out are enough links
@@ -36,10 +37,15 @@ from tillflow.llm.components import components
 from tillflow.session import stored
 
 CELL_BITS = 20
+CELL_CHUNK = 4096  # cells whose counts go in one row
 PROFILE_BITS = 9
 PROFILE = 1 << PROFILE_BITS
+COARSE = 64
 BATCH_BYTES = 8_000_000
+CACHE_BYTES = 400_000  # of texts that are cut into words at once
 REGION_SHINGLES = 4_000_000  # shingles of a region that one task joins
+REGION_MEMBERS = 4096
+BLOCK = 1024  # members of a large region that meet another such block in a task
 PIVOTS = 8
 LEAF = 24
 #: Cells are taken if they have so many times the members in all, and in the largest. Two cells
@@ -63,9 +69,19 @@ class Rule:
         """How many first elements of a set hold one in common with any linked set."""
         return n - -(-self.percent * n // 100) + 1
 
+    def indexed(self, n: int) -> int:
+        """How many first elements of a set hold the first one in common with any linked set
+        that is not smaller."""
+        return n - -(-2 * self.percent * n // (100 + self.percent)) + 1
+
     def sizes_fit(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return 100 * np.minimum(a, b) >= self.percent * np.maximum(a, b)
 
+    @property
+    def size_step(self) -> float:
+        """Of two linked sets, the logarithms of the sizes differ by less."""
+        return float(np.log(100 / self.percent)) + 1e-9
+
     def most_apart(self, total: np.ndarray) -> np.ndarray:
         """The most elements that only one of two linked sets may have."""
         return (100 - self.percent) * total // (100 + self.percent)
@@ -80,15 +96,27 @@ class Rule:
 def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
     """The sorted hashes of every text's distinct runs of ``width`` words; of fewer words
     the whole sequence, of none nothing."""
+    found: list[np.ndarray] = []
+    ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
+    begin = 0
+    while begin < len(texts):  # a few texts at a time, whose arrays stay in the cache
+        end = max(begin + 1, int(np.searchsorted(ends, ends[begin] + CACHE_BYTES)))
+        found += _few_shingle_sets(texts[begin:end], width)
+        begin = end
+    return found
+
+
+def _few_shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
     data, starts = bytehash.joined(texts)
     words, owner = bytehash.word_hashes(bytehash.lowered(data), starts)
     runs = mix(bytehash.window_hashes(words, width))
     bounds = np.searchsorted(owner, np.arange(len(texts) + 1))
     found = []
-    for begin, end in zip(bounds[:-1], bounds[1:], strict=True):
+    for begin, end in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
         n = end - begin
         if n >= width:
-            found.append(np.unique(runs[begin:end - width + 1]))
+            some = np.sort(runs[begin:end - width + 1])
+            found.append(some[np.append(True, some[1:] != some[:-1])])
         elif n:
             found.append(mix(bytehash.window_hashes(words[begin:end], n) + U(n)))
         else:
@@ -131,8 +159,8 @@ def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def describe(texts: DataFrame, rule: Rule) -> DataFrame:
-    """Per row doc_id, n, cls, profile, sha (of the text); besides, rows (cell, weight) of the
-    shingle cells that are heavy in a task."""
+    """Per row doc_id, n, cls, profile, sha (of the text); besides, rows (chunk, counts) of a
+    task's shingles in each cell, by chunks of the cells."""
     width = rule.width
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,41 +174,60 @@ def describe(texts: DataFrame, rule: Rule) -> DataFrame:
                 pa.array([class_of(s) for s in sets], pa.int64()),
                 pa.array([profile_of(s) for s in sets], pa.binary()),
                 pa.array([hashlib.sha256(t).digest() for t in raw], pa.binary()),
-                pa.nulls(len(ids), pa.int32()), pa.nulls(len(ids), pa.int64()),
+                pa.nulls(len(ids), pa.int32()), pa.nulls(len(ids), pa.binary()),
             ], names=names)
-        mean = cells.mean()
-        heavy = np.flatnonzero(cells > max(2.0, mean + 6 * mean ** 0.5))
+        # Lowest bytes first, then the next ones: most of the others are 0 and take no room.
+        chunks = cells.astype(np.uint32).view(np.uint8).reshape(-1, CELL_CHUNK, 4).transpose(0, 2, 1)
         yield pa.RecordBatch.from_arrays([
-            *(pa.nulls(len(heavy), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())),
-            pa.array(heavy, pa.int32()), pa.array(cells[heavy], pa.int64()),
+            *(pa.nulls(len(chunks), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())),
+            pa.array(range(len(chunks)), pa.int32()), pa.array([c.tobytes() for c in chunks], pa.binary()),
         ], names=names)
 
-    names = ["doc_id", "n", "cls", "profile", "sha", "cell", "weight"]
+    names = ["doc_id", "n", "cls", "profile", "sha", "chunk", "counts"]
     return texts.mapInArrow(
-        work, "doc_id long, n long, cls long, profile binary, sha binary, cell int, weight long")
+        work, "doc_id long, n long, cls long, profile binary, sha binary, chunk int, counts binary")
 
 
 def cell_levels(described: DataFrame) -> np.ndarray:
-    """For each of a fixed number of cells how frequent its shingles are, as a power of
-    two; 0 where no task found the cell heavy. It only orders n-grams: the result does not
-    depend on it, the number of candidates does."""
+    """For each of a fixed number of cells how frequent its shingles are, in quarters of a
+    power of two; 0 where it is no more than chance. Counts are those of all tasks together: an
+    n-gram that is in no task frequent may be in a large corpus. It only orders n-grams: the
+    result does not depend on it, the number of candidates does."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for chunk, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                planes = np.frombuffer(counts, np.uint8).reshape(4, -1)
+                some = np.ascontiguousarray(planes.T).view(np.uint32).ravel()
+                sums[chunk] = sums.get(chunk, np.zeros(CELL_CHUNK, np.int64)) + some
+        yield pa.RecordBatch.from_arrays([
+            pa.array(list(sums), pa.int32()), pa.array([c.tobytes() for c in sums.values()], pa.binary())],
+            names=["chunk", "counts"])
+
+    cells = np.zeros(1 << CELL_BITS, np.int64)
+    counts = described.where("chunk is not null").select("chunk", "counts")
+    for row in counts.repartition(64, "chunk").mapInArrow(add, "chunk int, counts binary").collect():
+        cells[row["chunk"] * CELL_CHUNK:][:CELL_CHUNK] += np.frombuffer(row["counts"], np.int64)
+    mean = max(cells.mean(), 1e-9)
+    heavy = cells > max(2.0, mean + 6 * mean ** 0.5)
     levels = np.zeros(1 << CELL_BITS, np.uint8)
-    for row in described.where("cell is not null").groupBy("cell").agg(F.sum("weight").alias("w")).collect():
-        levels[row["cell"]] = int(row["w"]).bit_length()
+    levels[heavy] = 1 + np.minimum(4 * np.log2(cells[heavy] / mean), 126).astype(np.uint8)
     return levels
 
 
-def _ordered(shingles: np.ndarray, levels: np.ndarray) -> np.ndarray:
-    """Rare ones first, then by hash."""
-    level = levels[(shingles >> U(64 - CELL_BITS)).astype(np.int64)].astype(U)
-    return shingles[np.argsort((level << U(57)) | (mix(shingles) >> U(7)), kind="stable")]
+def first_ones(shingles: np.ndarray, levels: np.ndarray, most: int) -> np.ndarray:
+    """The first elements of a set, ``most`` of them: rare ones first, then by hash."""
+    level = levels[(shingles >> U(64 - CELL_BITS)).astype(np.int64)]
+    return shingles[np.argsort(level, kind="stable")[:most]] if level.any() else shingles[:most]
 
 
 # --- root regions ---------------------------------------------------------------
 
 def postings(texts: DataFrame, rule: Rule, levels: np.ndarray, buckets: int) -> DataFrame:
-    """The first n-grams of every class as packed arrays (bucket, shingle, cls, n). A class
-    that a task meets again is not repeated within the same piece of its work."""
+    """The first n-grams of every class as packed arrays (bucket, shingle, cls, n), with n
+    below 0 for those past `Rule.indexed`. A class that a task meets again is not repeated within
+    the same piece of its work."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, raw in _pieces(batches):
@@ -193,10 +240,10 @@ def postings(texts: DataFrame, rule: Rule, levels: np.ndarray, buckets: int) ->
                 if cls in met:
                     continue
                 met.add(cls)
-                first = _ordered(s, levels)[:rule.prefix(len(s))]
+                first = first_ones(s, levels, rule.prefix(len(s)))
                 keys.append(first)
                 owners.append(np.full(len(first), cls))
-                sizes.append(np.full(len(first), len(s), np.int32))
+                sizes.append(np.where(np.arange(len(first)) < rule.indexed(len(s)), len(s), -len(s)).astype(np.int32))
             if keys:
                 yield _packed(np.concatenate(keys), np.concatenate(owners), np.concatenate(sizes), buckets)
 
@@ -216,27 +263,38 @@ def _packed(key: np.ndarray, cls: np.ndarray, n: np.ndarray, buckets: int) -> pa
 
 
 def root_regions(packed: DataFrame, rule: Rule, partitions: int) -> DataFrame:
-    """(region, cls) once each: the pivot's class names the region, and it is a member."""
+    """(region, cls) once each: the least of those that share an n-gram names their region.
+
+    A member needs another of fitting size, and the smaller of the two has the first n-gram they
+    have in common within `Rule.indexed`.
+    """
 
     def close(rows: list[tuple]) -> pa.RecordBatch | None:
         key = np.concatenate([np.frombuffer(r[0], U) for r in rows])
         cls = np.concatenate([np.frombuffer(r[1], np.int64) for r in rows])
-        n = np.concatenate([np.frombuffer(r[2], np.int32) for r in rows])
-        order = np.lexsort((cls, key))
-        key, cls, n = key[order], cls[order], n[order]
+        signed = np.concatenate([np.frombuffer(r[2], np.int32) for r in rows]).astype(np.int64)
+        order = np.lexsort((cls, np.abs(signed), key))
+        key, cls, signed = key[order], cls[order], signed[order]
         new = np.append(True, (key[1:] != key[:-1]) | (cls[1:] != cls[:-1]))
-        key, cls, n = key[new], cls[new], n[new]
-        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        count = np.diff(np.append(first, len(key)))
-        # A member needs another of fitting size: its neighbour in order of size.
-        order = np.lexsort((n, np.repeat(np.arange(len(first)), count)))
-        sized, group = n[order].astype(np.int64), np.repeat(np.arange(len(first)), count)[order]
-        fits = rule.sizes_fit(sized[1:], sized[:-1]) & (group[1:] == group[:-1])
-        useful = np.zeros(len(key), bool)
-        useful[order] = np.append(False, fits) | np.append(fits, False)
-        pivot = np.repeat(cls[first], count)
-        useful |= (pivot == cls) & np.repeat(np.logical_or.reduceat(useful, first), count)
-        pairs = np.unique(np.stack([pivot[useful], cls[useful]], 1), axis=0)
+        key, cls, signed = key[new], cls[new], signed[new]
+        n, indexed, place = np.abs(signed), signed > 0, np.arange(len(key))
+        group = np.cumsum(np.append(False, key[1:] != key[:-1]))
+        # In order of size, the next one; the last one before, and the next of the same size, that are indexed.
+        useful = indexed & np.append(rule.sizes_fit(n[1:], n[:-1]) & (group[1:] == group[:-1]), False)
+        before = np.append(-1, np.maximum.accumulate(np.where(indexed, place, -1))[:-1])
+        after = np.append(np.minimum.accumulate(np.where(indexed, place, len(key))[::-1])[::-1][1:], len(key))
+        for other in (before, after):
+            there = (other >= 0) & (other < len(key))
+            mine, other = place[there], other[there]
+            same = (group[mine] == group[other]) & (n[other] <= n[mine])
+            useful[mine] |= same & rule.sizes_fit(n[mine], n[other])
+        group, cls = group[useful], cls[useful]
+        if len(cls):
+            first = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+            pivot = np.repeat(np.minimum.reduceat(cls, first), np.diff(np.append(first, len(cls))))
+        else:
+            pivot = cls
+        pairs = np.unique(np.stack([pivot, cls], 1), axis=0)
         return pa.RecordBatch.from_arrays(
             [pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["region", "cls"])
 
@@ -275,26 +333,99 @@ def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tupl
         yield current, rows
 
 
+def near_groups(n: np.ndarray, profile: np.ndarray, rule: Rule) -> np.ndarray:
+    """The group of every member, of sizes in ascending order: no two members of different groups
+    can be linked, as far as sizes and profiles tell. Each is compared only with those of
+    fitting size that are in no group yet, so a large group costs little more than its members."""
+    profile = profile.astype(np.int16)
+    coarse = profile.reshape(len(n), COARSE, -1).sum(2, dtype=np.int16)
+    low = np.searchsorted(n, -(-rule.percent * n // 100))
+    high = np.searchsorted(n, 100 * n // rule.percent, side="right")
+    group, free = np.arange(len(n)), np.ones(len(n), bool)
+    for start in range(len(n)):
+        if not free[start]:
+            continue
+        free[start] = False
+        found = [start]
+        while found:
+            i = found.pop()
+            near = low[i] + np.flatnonzero(free[low[i]:high[i]])
+            for table in (coarse, profile):
+                most = rule.most_apart(n[near] + n[i])
+                near = near[np.abs(table[near] - table[i]).sum(1) <= most]
+            free[near] = False
+            group[near] = start
+            found += near.tolist()
+    return group
+
+
+def _sorted_profiles(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, n, profile) of rows in ascending order of n."""
+    rows.sort(key=lambda r: (r[1], r[0]))
+    return (np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64),
+            np.frombuffer(b"".join(r[2] for r in rows), np.uint8).reshape(-1, PROFILE))
+
+
 def with_possible_partner(members: DataFrame, rule: Rule, partitions: int) -> DataFrame:
-    """The members (region, cls, n, profile) of regions that fit a task, without those whose
-    profile is too far from all others'."""
+    """The groups (region, cls) of members (region, cls, n, profile) of regions that fit a task,
+    without members alone in a group. A group is named after its members, so that equal ones of
+    several regions are one."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for region, rows in _regions(batches):
-            cls = np.array([r[0] for r in rows])
-            n = np.array([r[1] for r in rows], np.int64)
-            profile = np.frombuffer(b"".join(r[2] for r in rows), np.uint8).reshape(-1, PROFILE).astype(np.int16)
-            good = np.zeros(len(cls), bool)
-            for i in range(len(cls) - 1):
-                rest = slice(i + 1, None)
-                apart = np.abs(profile[rest] - profile[i]).sum(1)
-                near = (apart <= rule.most_apart(n[rest] + n[i])) & rule.sizes_fit(n[rest], n[i])
-                good[rest] |= near
-                good[i] |= near.any()
+        for _, rows in _regions(batches):
+            cls, n, profile = _sorted_profiles(rows)
+            group = near_groups(n, profile, rule)
+            order = np.argsort(group, kind="stable")
+            first = np.flatnonzero(np.append(True, np.diff(group[order])))
+            count = np.diff(np.append(first, len(order)))
+            name = mix(np.add.reduceat(mix(cls[order].astype(U)), first) + count.astype(U)) >> U(1)
+            kept = np.repeat(count > 1, count)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(name, count)[kept].astype(np.int64)), pa.array(cls[order][kept])],
+                names=["region", "cls"])
+
+    return _by_region(members, partitions).mapInArrow(work, "region long, cls long").distinct()
+
+
+def groups_of_large(members: DataFrame, rule: Rule, partitions: int) -> DataFrame:
+    """`with_possible_partner` for regions that do not fit a task: members of one step of sizes are
+    dealt over blocks, and each block meets the others of its step and of the next one."""
+    step = F.floor(F.log("n") / rule.size_step)
+    placed = members.withColumn("step", step).withColumn("vertex", F.xxhash64("region", "cls"))
+    blocks = stored(placed.groupBy("region", "step").agg(
+        F.ceil(F.count("*") / BLOCK).alias("blocks")), "blocks")
+    for name, shift in (("own", 0), ("next", 1), ("last", -1)):
+        placed = placed.join(
+            blocks.select("region", (F.col("step") - shift).alias("step"), F.col("blocks").alias(name)),
+            ["region", "step"], "left")
+    at = F.pmod(F.xxhash64("cls"), F.col("own"))
+
+    def meetings(kind: int, low: Column, others: str, pair) -> Column:
+        """A meeting (kind, lower step, two blocks) with each block of ``others``, if any."""
+        there = F.coalesce(F.col(others), F.lit(0))
+        listed = F.transform(F.sequence(F.lit(0).cast("long"), F.greatest(there - 1, F.lit(0))),
+                             lambda j: F.xxhash64("region", F.lit(kind), low, *pair(j)))
+        return F.when(there > 0, listed).otherwise(F.array().cast("array<bigint>"))
+    inside = meetings(0, F.col("step"), "own", lambda j: (F.least(at, j), F.greatest(at, j)))
+    up = meetings(1, F.col("step"), "next", lambda j: (at, j))
+    down = meetings(1, F.col("step") - 1, "last", lambda j: (j, at))
+    met = placed.select(
+        F.explode(F.concat(inside, up, down)).alias("region"), "vertex", "n", "profile")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in _regions(batches):
+            vertex, n, profile = _sorted_profiles(rows)
+            group = near_groups(n, profile, rule)
+            other = group != np.arange(len(group))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(good.sum(), region)), pa.array(cls[good])], names=["region", "cls"])
+                [pa.array(vertex[group[other]]), pa.array(vertex[other])], names=["a", "b"])
 
-    return _by_region(members, partitions).mapInArrow(work, "region long, cls long")
+    linked = components(_by_region(met, partitions).mapInArrow(work, "a long, b long"))
+    grouped = members.select("region", "cls", F.xxhash64("region", "cls").alias("vertex")).join(
+        linked, "vertex").select("component", "cls")
+    names = grouped.groupBy("component").agg(F.xxhash64(
+        F.bit_xor(F.xxhash64("cls")), F.count("*"), F.min("cls"), F.max("cls")).alias("region"))
+    return grouped.join(names, "component").select("region", "cls").distinct()
 
 
 # --- joining regions ------------------------------------------------------------
@@ -559,12 +690,17 @@ def class_links(texts: DataFrame, classes: DataFrame, rows: DataFrame, rule: Rul
     members = roots.join(classes.select("cls", "n", "profile"), "cls").select("region", "cls", "n", "profile")
     weights = stored(members.groupBy("region").agg(
         F.sum("n").alias("weight"), F.count("*").alias("members")), "region-sizes")
-    fits = (F.col("weight") <= region_shingles) & (F.col("members") <= 4096)
+    fits = (F.col("weight") <= region_shingles) & (F.col("members") <= REGION_MEMBERS)
     small = with_possible_partner(
         members.join(weights.where(fits).select("region"), "region", "left_semi"), rule, partitions)
-    large = members.join(weights.where(~fits).select("region"), "region", "left_semi").select("region", "cls")
-    chosen = stored(small.withColumn("fits", F.lit(True)).unionByName(
-        large.withColumn("fits", F.lit(False))), "members")
+    chosen = stored(small, "members").withColumn("fits", F.lit(True))
+    large = weights.where(~fits)
+    if not large.isEmpty():
+        groups = stored(groups_of_large(
+            members.join(large.select("region"), "region", "left_semi"), rule, partitions), "groups")
+        weights = stored(groups.join(classes.select("cls", "n"), "cls").groupBy("region").agg(
+            F.sum("n").alias("weight"), F.count("*").alias("members")), "group-sizes")
+        chosen = chosen.unionByName(groups.join(weights.select("region", fits.alias("fits")), "region"))
     sets = stored(_sets(texts, chosen, classes, rule), "sets")
     held = chosen.join(sets, "cls")
     links = stored(join_regions(held.where("fits").select("region", "cls", "shingles"), rule, partitions), "links")
