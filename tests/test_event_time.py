@@ -41,6 +41,28 @@ def deliver(tx, topic, first=0):
     messages(tx, first).coalesce(1).write.mode("append").parquet(topic)
 
 
+def make_lines(spark, folder, n):
+    """The tables that transactions are made from, with ``n`` sale lines over seven years, some undated."""
+    lines = spark.range(n).select(
+        F.col("id").alias("l_orderkey"), (F.col("id") % 5).alias("l_partkey"), (F.col("id") % 3).alias("l_suppkey"),
+        F.lit(1).alias("l_linenumber"), F.lit(2.0).alias("l_quantity"), F.lit(10.0).alias("l_extendedprice"),
+        F.lit(0.05).alias("l_discount"), F.lit(0.0).alias("l_tax"), F.lit("N").alias("l_returnflag"),
+        F.lit("O").alias("l_linestatus"), F.when(F.col("id") % 50 != 7, F.expr(
+            "timestamp_ntz'1995-01-01' + make_interval(0, 0, 0, cast(id * 2500 / %d as int))" % n)).alias("l_shipdate"))
+    tables = {
+        "lineitem": lines,
+        "part": spark.sql("select id as p_partkey, 'n' as p_name, 'b' as p_brand, 'kind' as p_type, 1 as p_size, "
+                          "cast(9.5 as double) as p_retailprice from range(5)"),
+        "supplier": spark.sql("select id as s_suppkey, 's' as s_name, 0 as s_nationkey, "
+                              "cast(0 as double) as s_acctbal from range(3)"),
+        "nation": spark.sql("select 0 as n_nationkey, 'n' as n_name, 0 as n_regionkey"),
+        "region": spark.sql("select 0 as r_regionkey, 'r' as r_name"),
+    }
+    for table, rows in tables.items():
+        rows.coalesce(1).write.parquet(f"{folder}/{table}.parquet")
+    return lines
+
+
 def stream(spark, topic):
     return eventtime.coordinated_stream(spark, topic, maxFilesPerTrigger="1")
 
@@ -64,6 +86,31 @@ def test_replays_are_dropped_and_the_state_stays_small(spark, make_tx, tmp_path)
     assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]) <= 40
 
 
+def test_state_of_every_message_lies_on_disk(spark, make_tx, tmp_path, monkeypatch):
+    """Held in the heap it takes some 400 bytes a message, and would end the executors."""
+    path, ended, wait = str(tmp_path), [], live.run_to_end
+    monkeypatch.setattr(live, "run_to_end", lambda *queries: (wait(*queries), ended.extend(queries)))
+    lines = make_lines(spark, f"{path}/tables", 300)
+    found = stream_queries.stream_deduped(spark, f"{path}/tables")
+    dated = lines.where("l_shipdate is not null")  # a replay is known by the time of its message
+    assert ids(found.where("date is not null")) == sorted(r.l_orderkey for r in dated.collect())
+    assert set(ids(found)) == set(range(300))
+    told = [p["stateOperators"][0]["customMetrics"] for p in ended[0].recentProgress if p["stateOperators"]]
+    assert told and all("rocksdbCommitFlushLatency" in metrics for metrics in told)
+
+
+def test_a_delivery_reads_its_own_messages_only(spark, tmp_path):
+    make_lines(spark, str(tmp_path), 300)
+    messages = stream_queries._messages(spark, str(tmp_path))
+    files = [{r[0] for r in messages.where(piece).select(F.input_file_name()).distinct().collect()}
+             for piece in stream_queries._pieces()]
+    assert all(files) and sum(map(len, files)) == len(set.union(*files))
+    days = [messages.where(piece).agg(F.min("date"), F.max("date")).first() for piece in stream_queries._pieces()]
+    first, second = stream_queries.ENDS
+    assert days[0][1] < first <= days[1][0] <= days[1][1] < second <= days[2][0]
+    assert messages.where("date is null").select("delivery").distinct().collect() == [(2,)]
+
+
 def test_days_are_given_out_once_when_they_close(spark, make_tx, tmp_path):
     path = str(tmp_path)
     deliveries = [sales([0, 0, 1, 2]), sales([1, 3, 4]), sales([40])]
