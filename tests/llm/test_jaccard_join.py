@@ -145,6 +145,23 @@ def test_large_regions_of_strangers_need_no_round_over_the_cluster(make_docs, mo
     assert not rounds
 
 
+def test_strangers_that_meet_in_a_large_region_are_parted_by_their_profiles(make_docs, monkeypatch):
+    """As the pipeline joins them: a smaller text meets every larger one in a common n-gram, and
+    no two of them have 80 % in common, apart from one near copy."""
+    monkeypatch.setattr(op, "BLOCK", 16, raising=False)
+    cut, rounds, measure = [], [], op.measure_pivots
+    monkeypatch.setattr(op, "measure_pivots", lambda *a: rounds.append(1) or measure(*a))
+    if hasattr(op, "groups_of_large"):
+        part = op.groups_of_large
+        monkeypatch.setattr(op, "groups_of_large", lambda *a: cut.append(a[0].count()) or part(*a))
+    line = " ".join(f"v{k}" for k in range(31))
+    rows = [(i, f"{line} " + " ".join(f"only{i}x{k}" for k in range(5))) for i in range(1, 200)]
+    rows += [(0, f"{line} a b c"), (300, rows[4][1] + " more")]
+    kept = op.keep(make_docs(rows), width=5, percent=80, region_shingles=600)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, _, c in brute(rows, 5, 80)}) == list(range(200))
+    assert not rounds and max(cut) > 190
+
+
 def test_ngrams_that_are_frequent_in_no_task_are_put_last(spark):
     line = "a line that stands in the text of every single task"
     rows = [(i, f"{line} " + " ".join(f"w{i}x{k}" for k in range(9))) for i in range(40)]
